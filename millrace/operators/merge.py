@@ -64,6 +64,20 @@ def keyed_events(changes: DataFrame, shape: TableShape) -> DataFrame:
     )
 
 
+def matched(base: DataFrame, changes: DataFrame, shape: TableShape) -> DataFrame:
+    """Rows of the table that updates and deletes refer to.
+
+    The old tuple's key is compared when there is one, else the key of the new row; both sides are typed.
+    """
+    wanted = changes.where(F.col("op") != wire.INSERT)
+    keys = [
+        F.when(F.col("old").isNotNull(), F.col(f"old.{k}")).otherwise(F.col(f"new.{k}")).alias(n)
+        for k, n in zip(shape.key, key_columns(shape))
+    ]
+    hits = wanted.select("seq", "op", *keys).join(base, _same_key(shape, ""))
+    return hits.drop(*key_columns(shape))
+
+
 def held_value(shape: TableShape, index: int) -> Column:
     """What an event says about a column: its value, a link to the row it was moved from, or nothing.
 

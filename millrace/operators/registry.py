@@ -262,3 +262,18 @@ def bind(
 
 def empty_runs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RUNS)
+
+
+def published_rows(log: DataFrame, registry: Registry, tables: list[str]) -> DataFrame:
+    """Log rows of the listed tables, with their table name; decided on headers alone."""
+    rows = with_header(log).where(F.col("op").isin(*wire.CHANGES))
+    versions = registry.published(tables).select("relid", "from_seq", "to_seq", "name")
+    return bind(rows, versions, registry.small).withColumnRenamed("_v_name", "table")
+
+
+def replicated_rows(log: DataFrame, registry: Registry) -> DataFrame:
+    """Changes without those of relations that have no replica identity in force."""
+    rows = with_header(log).where(F.col("op").isin(*wire.CHANGES))
+    versions = registry.versions.where(F.col("identity") == IDENTITY_NONE)
+    skipped = bind(rows, versions.select("relid", "from_seq", "to_seq"), registry.small, how="left_anti")
+    return skipped

@@ -144,7 +144,6 @@ def conversations_log(spark: SparkSession, sf: str, moved: bool = False) -> Data
     """
     rows = table(spark, sf, "conversations")
     c, t = F.col("conv_id"), F.col("turn")
-    newest = rows.agg(F.max("conv_id")).scalar()
     place = (c * 1000 + t) * 8
 
     def values(turn: Column, role: Column) -> list[Column]:
@@ -204,3 +203,26 @@ def nation_log(spark: SparkSession, sf: str) -> DataFrame:
         (4, k == 0, enc.relation(NATION, "", "nation", "n", NATION_COLUMNS)),
         (5, F.lit(True), enc.update(NATION, values)),
     ])
+
+
+def insert_log(
+    rows: DataFrame, key: str, relid: int, name: str, columns: list[SourceColumn],
+    values: list[Column],
+) -> DataFrame:
+    """Every row of a table as an insert with the given text values."""
+    k = F.col(key)
+    return emit(rows, k * 8, [
+        (0, k == 0, enc.begin(F.lit(BASE_POSITION))),
+        (1, k == 0, enc.relation(relid, "public", name, "d", columns)),
+        (2, F.lit(True), enc.insert(relid, values)),
+    ])
+
+
+def combined_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders, customer and nation changes in one log; places are interleaved."""
+    parts = [orders_log(spark, sf), customer_log(spark, sf), nation_log(spark, sf)]
+    shifted = [
+        part.select((F.col("seq") * 4 + i).alias("seq"), "lsn", "data")
+        for i, part in enumerate(parts)
+    ]
+    return shifted[0].unionByName(shifted[1]).unionByName(shifted[2])
