@@ -36,8 +36,23 @@ def signed64(data: Column, start: int) -> Column:
     return F.conv(field_hex(data, start, 8), 16, -10).cast("bigint")
 
 
+def _code(op: str) -> str:
+    return f"{ord(op):02X}"
+
+
 def message_type(data: Column) -> Column:
-    return F.unhex(field_hex(data, 0, 1)).cast("string")
+    """The type byte as a letter; known letters are compared as hex, without conversion."""
+    code = F.upper(field_hex(data, 0, 1))
+    known = F
+    for op in (*CHANGES, *CONTROL):
+        known = known.when(code == _code(op), op)
+    return known.otherwise(F.unhex(code).cast("string"))
+
+
+def is_type(data: Column, op: str) -> Column:
+    """Whether a message is of one type, as a prefix test that a file scan can use."""
+    assert _code(op).isdigit(), "hex letters may come in either case"
+    return data.startswith("\\x" + _code(op))
 
 
 def relation_id(data: Column) -> Column:

@@ -46,13 +46,39 @@ def decode_changes(
         rows = rows.where(F.col("relid").isin(*relids) if relids else F.lit(False))
     if keep is not None:
         rows = rows.where(keep)
-    body = wire.body(F.col("data")).alias("body")
-    rows = rows.select("seq", "lsn", "op", "relid", *carry, body)
+    rows = rows.select("seq", "lsn", "op", "relid", *carry, wire.body(F.col("data")).alias("body"))
+    return _decode(rows, list(carry)).drop("raw")
+
+
+def stage_changes(log: DataFrame) -> DataFrame:
+    """Decode a log once for all tables, keeping what later steps need of the rest.
+
+    ``part`` is ``change`` for decoded changes, ``bad`` for messages to be set
+    aside, and ``control`` for everything else. ``data`` is kept for bad messages and relations.
+    """
+    rows = with_header(log)
+    wrong = wire.header_error(F.col("data"))
+    is_change = wrong.isNull() & F.col("op").isin(*wire.CHANGES)
+    body = F.when(is_change, wire.body(F.col("data")))
+    text = F.when(wrong.isNotNull() | body.isNull(), F.col("data"))
+    rows = rows.select("seq", "lsn", "op", "relid", text.alias("data"), wrong.alias("wrong"), body.alias("body"))
+    reason = F.coalesce("wrong", F.when(F.col("op").isin(*wire.CHANGES), F.col("err")))
+    data = F.coalesce("data", F.concat(F.lit("\\x"), F.hex("raw")))
+    return _decode(rows, ["data", "wrong"]).select(
+        "seq", "lsn", "op", "relid", "tag", "old", "new", "err",
+        F.when(reason.isNotNull() | (F.col("op") == wire.RELATION), data).alias("data"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), "bad").when(F.col("op").isin(*wire.CHANGES), "change")
+        .otherwise("control").alias("part"),
+    )
+
+
+def _decode(rows: DataFrame, carry: list[str]) -> DataFrame:
     return rows.mapInArrow(
         decode_batches,
         "seq bigint, lsn string, op string, relid bigint, "
         + "".join(f"{name} string, " for name in carry)
-        + f"tag string, old {VALUES}, new {VALUES}, err string",
+        + f"tag string, old {VALUES}, new {VALUES}, err string, raw binary",
     )
 
 

@@ -39,7 +39,7 @@ def relation_runs(log: DataFrame, span_bits: int = SPAN_BITS) -> DataFrame:
     text, first inside spans of the log and then across them, so no task sorts
     all messages of a relation that is announced very often.
     """
-    found = with_header(log).where(F.col("op") == wire.RELATION)
+    found = with_header(log.where(wire.is_type(F.col("data"), wire.RELATION)))
     found = found.where(wire.header_error(F.col("data")).isNull()).select("relid", "seq", "data")
 
     def changed(window) -> Column:
@@ -56,8 +56,7 @@ def relation_runs(log: DataFrame, span_bits: int = SPAN_BITS) -> DataFrame:
 def parse_relations(runs: DataFrame) -> DataFrame:
     """Read the definitions; one row per version, ``err`` set when unreadable."""
     rows = runs.select("relid", "from_seq", "to_seq", wire.body(F.col("data")).alias("body"))
-    versions = rows.mapInArrow(_parse_batches, VERSIONS)
-    return versions.withColumn("name", names.qualify(F.col("schema_name"), F.col("table_name")))
+    return rows.mapInArrow(_parse_batches, VERSIONS)
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +94,10 @@ def _parse(body: bytes | None) -> dict:
             "identity": identity.decode(), "columns": columns, "err": None,
         }
     except (TypeError, IndexError, ValueError, struct.error):
-        return {"err": "bad_relation"}
+        return {
+            "schema_name": None, "table_name": None, "identity": None, "columns": None,
+            "err": "bad_relation",
+        }
 
 
 @dataclass(frozen=True)
@@ -112,14 +114,23 @@ class TableShape:
 
 
 class Registry:
-    """All relation versions of a log."""
+    """All relation versions of a log.
 
-    def __init__(self, versions: DataFrame, small: bool):
-        readable = versions.where(F.col("err").isNull())
-        self.small = small
-        self.versions = readable.drop("err")
+    A small registry is also ``known`` on the driver, so that asking for a
+    table's shape runs no job.
+    """
+
+    def __init__(self, versions: DataFrame, known: list[dict] | None = None):
+        named = names.qualify(F.col("schema_name"), F.col("table_name"))
+        versions = versions.withColumn("name", named)
+        self.known = known
+        self.versions = versions.where(F.col("err").isNull()).drop("err")
         self.damaged = versions.where(F.col("err").isNotNull()).select("relid", "from_seq", "err")
 
+    @property
+    def small(self) -> bool:
+        return self.known is not None
+
     @classmethod
     def load(cls, log: DataFrame, limit: int = BROADCAST_VERSIONS) -> "Registry":
         """Read the relation messages of a log once.
@@ -131,19 +142,14 @@ class Registry:
 
     @classmethod
     def from_runs(cls, runs: DataFrame, limit: int = BROADCAST_VERSIONS) -> "Registry":
-        spark = runs.sparkSession
-        head = runs.limit(limit + 1).collect()
+        head = runs.orderBy("relid", "from_seq").limit(limit + 1).collect()
         if len(head) > limit:
-            return cls(parse_relations(runs), small=False)
-        rows = [
-            (r.relid, r.from_seq, r.to_seq, p.get("schema_name"), p.get("table_name"),
-             p.get("identity"), [tuple(c.values()) for c in p.get("columns", [])], p["err"])
+            return cls(parse_relations(runs))
+        known = [
+            {"relid": r.relid, "from_seq": r.from_seq, "to_seq": r.to_seq, **_parse(_unhex(r.data))}
             for r in head
-            for p in [_parse(_unhex(r.data))]
         ]
-        versions = spark.createDataFrame(rows, VERSIONS)
-        named = names.qualify(F.col("schema_name"), F.col("table_name"))
-        return cls(versions.withColumn("name", named), small=True)
+        return cls(runs.sparkSession.createDataFrame(known, VERSIONS), known)
 
     def published(self, tables: list[str]) -> DataFrame:
         """Versions of the listed tables only."""
@@ -154,30 +160,56 @@ class Registry:
         return self.versions.where(F.col("identity") != IDENTITY_NONE)
 
     def table_names(self) -> list[str]:
+        if self.small:
+            return sorted({_name(v) for v in self.known if v["err"] is None and v["identity"] != IDENTITY_NONE})
         return sorted(r.name for r in self.replicated().select("name").distinct().collect())
 
     def shape(self, table: str) -> TableShape:
         """Columns, key and relation ids of a table; reads definitions only."""
         name = names.normalize_text(table)
-        mine = self.versions.where(F.col("name") == name)
-        columns = merge_columns(mine).orderBy("from_seq", "pos").collect()
-        facts = mine.agg(
-            F.collect_set("relid").alias("relids"),
-            F.count("*").alias("versions"),
-            F.min("from_seq").alias("first_seq"),
-            F.max_by(F.struct("identity", "columns"), "from_seq").alias("last"),
-        ).first()
-        if not facts.versions:
+        if self.small:
+            mine = [v for v in self.known if v["err"] is None and _name(v) == name]
+            facts = _facts(sorted(mine, key=lambda v: v["from_seq"]))
+        else:
+            facts = _distributed_facts(self.versions.where(F.col("name") == name))
+        if facts is None:
             raise ValueError(f"no relation message for table {name}")
-        return TableShape(
-            name,
-            [SourceColumn(c["name"], c.oid, c.typmod, c.is_key) for c in columns],
-            [c["name"] for c in facts.last["columns"] if c.is_key],
-            facts.last["identity"],
-            sorted(facts.relids),
-            facts.versions,
-            facts.first_seq,
-        )
+        return TableShape(name, *facts)
+
+
+def _name(version: dict) -> str:
+    return f"{version['schema_name'] or names.DEFAULT_SCHEMA}.{version['table_name']}"
+
+
+def _facts(versions: list[dict]) -> tuple | None:
+    if not versions:
+        return None
+    union: dict[str, SourceColumn] = {}
+    for version in versions:
+        for c in version["columns"]:
+            union.setdefault(c["name"], SourceColumn(**c))
+    last = versions[-1]
+    return (
+        list(union.values()), [c["name"] for c in last["columns"] if c["is_key"]], last["identity"],
+        sorted({v["relid"] for v in versions}), len(versions), versions[0]["from_seq"],
+    )
+
+
+def _distributed_facts(versions: DataFrame) -> tuple | None:
+    facts = versions.agg(
+        F.collect_set("relid").alias("relids"),
+        F.count("*").alias("versions"),
+        F.min("from_seq").alias("first_seq"),
+        F.max_by(F.struct("identity", "columns"), "from_seq").alias("last"),
+    ).first()
+    if not facts.versions:
+        return None
+    columns = merge_columns(versions).orderBy("from_seq", "pos").collect()
+    return (
+        [SourceColumn(c["name"], c.oid, c.typmod, c.is_key) for c in columns],
+        [c["name"] for c in facts.last["columns"] if c.is_key], facts.last["identity"],
+        sorted(facts.relids), facts.versions, facts.first_seq,
+    )
 
 
 def _unhex(data: str) -> bytes | None:

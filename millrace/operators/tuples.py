@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 _PAD = np.zeros(8, np.uint8)
@@ -25,7 +26,10 @@ _OK, _BAD_HEX, _SHORT, _CUT, _BAD_KIND, _BAD_MARKER = range(6)
 
 
 def decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace ``body`` by ``tag``, ``old``, ``new`` and ``err``; other columns pass through."""
+    """Replace ``body`` by ``tag``, ``old``, ``new``, ``err``; other columns pass through.
+
+    ``raw`` holds the bytes of messages that could not be read, and nothing else.
+    """
     for batch in batches:
         for part in _by_size(batch):
             yield _decode(part)
@@ -81,6 +85,7 @@ def _decode(batch: pa.RecordBatch) -> pa.RecordBatch:
     out["old"] = _lists(buf, old, has_old & keep)
     out["new"] = _lists(buf, new, has_new & keep)
     out["err"] = pa.array(np.array(_REASONS, object)[err], pa.string())
+    out["raw"] = pc.if_else(pa.array(~keep), body.cast(pa.binary()), None)
     return pa.RecordBatch.from_pydict(out)
 
 

@@ -59,7 +59,7 @@ def replica(
         # Only updates that carry an old tuple can move a row: the rest is not decoded here.
         moves = (F.col("op") == wire.UPDATE) & (wire.tuple_marker(F.col("data")) != "N")
         moved = links.link_events(merge.keyed_events(typed(moves), shape), shape)
-        if not moved.isEmpty():
+        if moved.count():
             net = links.resolve_links(net, events, base, shape)
     return merge.merge(base, net, shape)
 

@@ -32,12 +32,14 @@ def query(fn):
 
 
 def _typed_orders(log: DataFrame, **options) -> tuple[DataFrame, reg.TableShape]:
+    log = logs.landed(log)
     registry = Registry.load(log)
     shape = registry.shape("orders")
     return table_changes(decode_changes(log, shape.relids, **options), registry, shape), shape
 
 
 def _inserted(log: DataFrame, table: str, profile: str = pgtypes.NATIVE) -> DataFrame:
+    log = logs.landed(log)
     registry = Registry.load(log)
     shape = registry.shape(table)
     return table_changes(decode_changes(log, shape.relids), registry, shape, profile).select("new.*")
@@ -74,27 +76,27 @@ def snapshot_multi(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def log_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
-    logs.orders_log(spark, sf).write.parquet(path)
+    logs.orders_log(spark, sf).repartitionByRange("seq").write.parquet(path)
     rows = read_log(spark, path, after_seq=7999)
     return rows.select("seq", wire.message_type(F.col("data")).alias("op"))
 
 
 @query
 def bounded_poll(spark: SparkSession, sf: str) -> DataFrame:
-    rows = txn.bounded_poll(logs.orders_log(spark, sf), 500)
+    rows = txn.bounded_poll(logs.landed(logs.orders_log(spark, sf)), 500)
     return rows.select("seq", wire.message_type(F.col("data")).alias("op"))
 
 
 @query
 def publication_filter(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.combined_log(spark, sf)
+    log = logs.landed(logs.combined_log(spark, sf))
     rows = reg.published_rows(log, Registry.load(log), ["orders", "public.customer"])
     return rows.select("seq", "op", "table")
 
 
 @query
 def skip_identity(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.combined_log(spark, sf)
+    log = logs.landed(logs.combined_log(spark, sf))
     return reg.replicated_rows(log, Registry.load(log)).select("seq", "op", "relid")
 
 
@@ -103,7 +105,7 @@ def skip_identity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def decode_header(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.orders_log(spark, sf)
+    log = logs.landed(logs.orders_log(spark, sf))
     rows = with_header(log).where(~F.col("op").isin(wire.BEGIN, wire.COMMIT))
     ends = txn.transaction_bounds(log).select(
         "seq", "op", _bigint("commit_lsn"), _bigint("end_lsn"), "commit_time", _bigint("xid")
@@ -168,14 +170,14 @@ def committed_only(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.orders_log(spark, sf, damaged=True)
+    log = logs.landed(logs.orders_log(spark, sf, damaged=True))
     rows = report.quarantine(log, Registry.load(log))
     return rows.select("seq", "lsn", "reason", F.length("data").isNotNull().alias("has_data"))
 
 
 @query
 def error_counts(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.orders_log(spark, sf, damaged=True)
+    log = logs.landed(logs.orders_log(spark, sf, damaged=True))
     return report.error_counts(report.quarantine(log, Registry.load(log)))
 
 
@@ -193,7 +195,7 @@ def lsn_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op_counts(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.combined_log(spark, sf)
+    log = logs.landed(logs.combined_log(spark, sf))
     return report.operation_counts(log, Registry.load(log))
 
 
@@ -202,7 +204,7 @@ def op_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def asof_binding(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.customer_log(spark, sf)
+    log = logs.landed(logs.customer_log(spark, sf))
     registry = Registry.load(log)
     versions = registry.versions.select("relid", "from_seq", "to_seq", F.size("columns").alias("width"))
     changes = with_header(log).where(F.col("op") == wire.INSERT)
@@ -471,7 +473,7 @@ def match_single_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def match_composite_key(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.conversations_log(spark, sf, moved=True)
+    log = logs.landed(logs.conversations_log(spark, sf, moved=True))
     registry = Registry.load(log)
     shape = registry.shape("conversations")
     changes = table_changes(decode_changes(log, shape.relids), registry, shape)
@@ -488,7 +490,7 @@ def match_old_or_new(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def full_row_match(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.lineitem_log(spark, sf)
+    log = logs.landed(logs.lineitem_log(spark, sf))
     registry = Registry.load(log)
     shape = registry.shape("lineitem")
     changes = table_changes(decode_changes(log, shape.relids), registry, shape)
@@ -505,12 +507,12 @@ def _only(log: DataFrame, *ops: str) -> DataFrame:
 
 
 def _apply(spark: SparkSession, sf: str, *ops: str) -> DataFrame:
-    return replica(_only(logs.orders_log(spark, sf), *ops), logs.orders_snapshot(spark, sf), "orders")
+    return replica(_only(logs.landed(logs.orders_log(spark, sf)), *ops), logs.orders_snapshot(spark, sf), "orders")
 
 
 @query
 def apply_changes(spark: SparkSession, sf: str) -> DataFrame:
-    return replica(logs.orders_log(spark, sf), logs.orders_snapshot(spark, sf), "orders")
+    return replica(logs.landed(logs.orders_log(spark, sf)), logs.orders_snapshot(spark, sf), "orders")
 
 
 @query
@@ -520,7 +522,7 @@ def apply_inserts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def apply_updates(spark: SparkSession, sf: str) -> DataFrame:
-    log = _only(logs.orders_log(spark, sf), "I", "U")
+    log = _only(logs.landed(logs.orders_log(spark, sf)), "I", "U")
     same_key = log.where((wire.message_type(F.col("data")) != "U") | (wire.tuple_marker(F.col("data")) == "N"))
     return replica(same_key, logs.orders_snapshot(spark, sf), "orders")
 
@@ -537,7 +539,7 @@ def key_change(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def net_changes(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.orders_log(spark, sf)
+    log = logs.landed(logs.orders_log(spark, sf))
     registry = Registry.load(log)
     shape = registry.shape("orders")
     changes = table_changes(decode_changes(txn.committed_only(log), shape.relids), registry, shape)
@@ -550,19 +552,19 @@ def net_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def aligned_start(spark: SparkSession, sf: str) -> DataFrame:
-    start = position_number(F.lit("1/0"))
+    start = position_number(F.lit("1/1F6C0"))  # inside the second transaction
     return replica(
-        logs.orders_log(spark, sf), logs.orders_snapshot(spark, sf), "orders", start=start
+        logs.landed(logs.orders_log(spark, sf)), logs.orders_snapshot(spark, sf), "orders", start=start
     )
 
 
 @query
 def apply_bag(spark: SparkSession, sf: str) -> DataFrame:
-    return replica(logs.lineitem_log(spark, sf), logs.table(spark, sf, "lineitem"), "lineitem")
+    return replica(logs.landed(logs.lineitem_log(spark, sf)), logs.table(spark, sf, "lineitem"), "lineitem")
 
 
 def _conversations(spark: SparkSession, sf: str, toast: str, moved: bool = False) -> DataFrame:
-    log = logs.conversations_log(spark, sf, moved)
+    log = logs.landed(logs.conversations_log(spark, sf, moved))
     return replica(log, logs.table(spark, sf, "conversations"), "conversations", toast=toast)
 
 

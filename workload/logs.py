@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.pgtypes import SourceColumn
 from millrace.functions.positions import position_text
+from millrace.shared import shared_folder
 from millrace.sources import encoder as enc
+from millrace.sources.changelog import read_log
 
 BASE_POSITION = 4_294_960_000
 BLOCK = 1000
@@ -62,6 +64,25 @@ def emit(rows: DataFrame, place: Column, messages: list[tuple[int, Column, Colum
     return found.select("seq", position.alias("lsn"), "data")
 
 
+def landed(log: DataFrame) -> DataFrame:
+    """The log as it would arrive: written to files in order of place, then read back."""
+    path = shared_folder(log.sparkSession)
+    log.repartitionByRange("seq").sortWithinPartitions("seq").write.parquet(path)
+    return read_log(log.sparkSession, path)
+
+
+def landed_files(log: DataFrame, bounds: list[Column | int]) -> str:
+    """The log in files that arrive one after another, each ending before a bound."""
+    path = shared_folder(log.sparkSession)
+    whole = landed(log)
+    low: Column | int = -1
+    for high in [*bounds, 2**62]:
+        part = whole.where((F.col("seq") >= low) & (F.col("seq") < high))
+        part.write.mode("append").parquet(path)
+        low = high
+    return path
+
+
 def brackets(
     rows: DataFrame, k: Column, described: Column
 ) -> list[tuple[int, Column, Column]]:
