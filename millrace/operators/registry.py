@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, wire
 from ..functions.pgtypes import SourceColumn
+from ..shared import local_frame
 from .decode import with_header
 
 COLUMNS = "array<struct<name:string,oid:int,typmod:int,is_key:boolean>>"
@@ -18,7 +19,6 @@ VERSIONS = (
     "relid bigint, from_seq bigint, to_seq bigint, schema_name string, table_name string, "
     f"identity string, columns {COLUMNS}, err string"
 )
-RUNS = "relid bigint, from_seq bigint, to_seq bigint, data string"
 END = 2**63 - 1
 
 # Places of the log per span, as a power of two, when a long ordered group is
@@ -149,7 +149,17 @@ class Registry:
             {"relid": r.relid, "from_seq": r.from_seq, "to_seq": r.to_seq, **_parse(_unhex(r.data))}
             for r in head
         ]
-        return cls(runs.sparkSession.createDataFrame(known, VERSIONS), known)
+        return cls(local_frame(runs.sparkSession, known, VERSIONS), known)
+
+    def adds_to(self, other: "Registry | None") -> bool:
+        """Whether this registry says anything that is not in force at the end of another."""
+        if other is None or not (self.small and other.small):
+            return True
+        said = ("schema_name", "table_name", "identity", "columns", "err")
+        final = {v["relid"]: v for v in sorted(other.known, key=lambda v: v["from_seq"])}
+        return any(
+            any(v[k] != final.get(v["relid"], {}).get(k, ...) for k in said) for v in self.known
+        )
 
     def published(self, tables: list[str]) -> DataFrame:
         """Versions of the listed tables only."""
@@ -292,10 +302,6 @@ def bind(
     return bound.drop("_v_relid", "_v_from_seq", "_v_to_seq")
 
 
-def empty_runs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RUNS)
-
-
 def published_rows(log: DataFrame, registry: Registry, tables: list[str]) -> DataFrame:
     """Log rows of the listed tables, with their table name; decided on headers alone."""
     rows = with_header(log).where(F.col("op").isin(*wire.CHANGES))

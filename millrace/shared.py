@@ -4,7 +4,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -18,6 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
+def local_frame(spark: SparkSession, rows: list[dict], schema: str | T.StructType) -> DataFrame:
+    """A few rows held by the driver as a DataFrame that needs no Python worker."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not rows:
+        return spark.createDataFrame([], fields)
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(fields)), fields)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without overriding what is configured."""
     context = spark.sparkContext

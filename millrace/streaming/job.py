@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +17,10 @@ from ..operators import bag, links, merge
 from ..operators.decode import VALUES, stage_changes
 from ..operators.project import conform, table_changes
 from ..operators.registry import (
-    IDENTITY_FULL, IDENTITY_NONE, Registry, TableShape, bind, relation_runs,
+    IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, relation_runs,
 )
 from ..operators.report import QUARANTINE, change_error
+from ..shared import local_frame
 from ..sources.changelog import stream_log
 from .store import SNAPSHOT, Progress, Store
 
@@ -27,6 +29,7 @@ STAGED = (
     "err string, data string, reason string, part string"
 )
 RELATIONS = "seq bigint, lsn string, data string"
+FEED = ["seq", "lsn", "op", "tag", "old", "new", "unchanged", "bad"]
 BAD = "seq bigint, lsn string, reason string, data string"
 
 
@@ -68,7 +71,7 @@ class Replication:
             self.store.write_manifest(table, version, held)
             tables[table] = version
         # Rows of a transaction that is still open stay pending across a reload.
-        self.store.write(self.spark.createDataFrame([], STAGED), "staged", version)
+        self.store.write(local_frame(self.spark, [], STAGED), "staged", version)
         seen = last.confirmed_seq if position is None else -1
         self.store.commit(Progress(version, seen, position, position, last.pending_from, tables))
 
@@ -106,11 +109,7 @@ class Replication:
         if facts.rows == 0:
             return last
         if facts.relations:
-            found = window.where(F.col("op") == wire.RELATION).select(*_names(RELATIONS))
-            points = relation_runs(found).select(F.col("from_seq").alias("seq"), "data")
-            points = points.withColumn("lsn", F.lit(None).cast("string"))
-            self.store.write(points.select(*_names(RELATIONS)), "registry", version)
-            self._registry = None
+            self._learn(window.where(F.col("op") == wire.RELATION), version)
         if facts.commit is None:
             progress = Progress(
                 version, last.confirmed_seq, last.confirmed_lsn, last.snapshot_lsn,
@@ -143,11 +142,24 @@ class Replication:
         self.store.commit(progress)
         return progress
 
+    def _learn(self, relations: DataFrame, version: int) -> None:
+        """Keep definitions that differ from those in force."""
+        runs = relation_runs(relations.select("seq", "lsn", "data"))
+        if self._registry is None and self.store.last().confirmed_seq >= 0:
+            self.registry()
+        if Registry.from_runs(runs).adds_to(self._registry):
+            points = runs.select(F.col("from_seq").alias("seq"), F.lit("").alias("lsn"), "data")
+            self.store.write(points, "registry", version)
+            self._registry = None
+
     def registry(self) -> Registry:
         if self._registry is None:
             # Definitions of a poll that died are the same when it is repeated.
-            stored = self.spark.read.schema(RELATIONS).parquet(self.store.path("registry"))
-            self._registry = Registry.load(stored)
+            try:
+                stored = self.spark.read.schema(RELATIONS).parquet(self.store.path("registry"))
+                self._registry = Registry.load(stored)
+            except AnalysisException:  # nothing has been announced yet
+                self._registry = Registry(local_frame(self.spark, [], VERSIONS), [])
         return self._registry
 
     def _selected(self, registry: Registry) -> list[str]:
@@ -217,7 +229,7 @@ class Replication:
                 plain = bag.counted(plain, shape)
             parts.append(plain)
         if not parts:
-            return self.spark.createDataFrame([], self._state_schema(shape))
+            return local_frame(self.spark, [], self._state_schema(shape))
         base = parts[0]
         for part in parts[1:]:
             base = base.unionByName(part)
@@ -302,13 +314,6 @@ class Replication:
         return self.store.progress()
 
 
-FEED = ["seq", "lsn", "op", "tag", "old", "new", "unchanged", "bad"]
-
-
-def _names(ddl: str) -> list[str]:
-    return [field.split()[0] for field in ddl.split(", ")]
-
-
 def latest_rows(
     spark: SparkSession, feed_path: str, feed_schema: T.StructType, shape: TableShape, target: str
 ) -> StreamingQuery:

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from ..shared import local_frame
 
 PROGRESS = (
     "version bigint, confirmed_seq bigint, confirmed_lsn string, snapshot_lsn string, "
@@ -60,12 +61,10 @@ class Store:
         return self._last
 
     def commit(self, progress: Progress) -> None:
-        row = [
-            (progress.confirmed_seq, progress.confirmed_lsn, progress.snapshot_lsn,
-             progress.pending_from, progress.tables)
-        ]
+        row = {k: v for k, v in vars(progress).items() if k != "version"}
+        row["tables"] = list(progress.tables.items())
         fields = T.StructType([f for f in self._schema(PROGRESS).fields if f.name != "version"])
-        frame = self.spark.createDataFrame(row, fields).coalesce(1)
+        frame = local_frame(self.spark, [row], fields).coalesce(1)
         frame.write.mode("overwrite").parquet(self.path("progress", progress.version))
         self._last = progress
 
@@ -101,7 +100,8 @@ class Store:
         return [tuple(r) for r in self.spark.read.schema(MANIFEST).parquet(path).collect()]
 
     def write_manifest(self, table: str, version: int, rows: list[tuple[int, int, str]]) -> None:
-        frame = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+        named = [dict(zip(("bucket", "version", "layout"), row)) for row in rows]
+        frame = local_frame(self.spark, named, MANIFEST).coalesce(1)
         frame.write.mode("overwrite").parquet(self.path("manifest", version, table))
 
     def contents(
