@@ -86,7 +86,7 @@ def header_error(data: Column) -> Column:
     for op, least in SHORTEST.items():
         short = short | ((kind == op) & (byte_count(data) < least))
     return (
-        F.when(data.isNull() | kind.isNull() | (kind == ""), "bad_hex")
+        F.when(data.isNull() | kind.isNull() | (F.length(data) < 4), "bad_hex")
         .when(~kind.isin(*CHANGES, *CONTROL), "unknown_type")
         .when(short, "short_message")
     )

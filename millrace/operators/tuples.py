@@ -10,7 +10,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
 _PAD = np.zeros(8, np.uint8)
@@ -55,8 +54,8 @@ def _decode(batch: pa.RecordBatch) -> pa.RecordBatch:
     body = batch.column("body")
     offsets = _offsets(body)
     data = body.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else _PAD[:0]
-    buf = np.concatenate([raw[offsets[0] : offsets[-1]], _PAD])
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else _PAD[:0]
+    buf = np.concatenate([whole[offsets[0] : offsets[-1]], _PAD])
     start, end = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
     err = np.zeros(len(body), np.int8)
@@ -85,7 +84,10 @@ def _decode(batch: pa.RecordBatch) -> pa.RecordBatch:
     out["old"] = _lists(buf, old, has_old & keep)
     out["new"] = _lists(buf, new, has_new & keep)
     out["err"] = pa.array(np.array(_REASONS, object)[err], pa.string())
-    out["raw"] = pc.if_else(pa.array(~keep), body.cast(pa.binary()), None)
+    raw: list = [None] * len(body)
+    for i in np.flatnonzero(~keep).tolist():
+        raw[i] = body[i].as_py()
+    out["raw"] = pa.array(raw, pa.binary())
     return pa.RecordBatch.from_pydict(out)
 
 

@@ -100,13 +100,14 @@ class Replication:
         loaded = position_number(commit["lsn"]) <= position_number(F.lit(last.snapshot_lsn))
         facts = window.agg(
             F.count("*").alias("rows"),
+            F.count_if(F.col("version") == version).alias("fresh"),
             F.count_distinct("seq").alias("places"),
             F.max(commit).alias("commit"),
             F.max(F.when(loaded, F.col("seq"))).alias("loaded"),
             F.count_if(F.col("op") == wire.RELATION).alias("relations"),
             F.collect_set("relid").alias("relids"),
         ).first()
-        if facts.rows == 0:
+        if facts.fresh == 0:
             return last
         if facts.relations:
             self._learn(window.where(F.col("op") == wire.RELATION), version)

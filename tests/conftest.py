@@ -13,7 +13,7 @@ def make_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("millrace-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("TEST_PARTITIONS", "4"))
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
