@@ -48,7 +48,7 @@ _OUT_OF_LINE = {17, 25, 705, 1043, 1560, 1700}
 _INTEGERS = (20, 21, 23)
 _TRUE, _FALSE = ("t", "true", "1"), ("f", "false", "0")
 
-NATIVE, NARROW = "native", "reference"
+NATIVE, NARROW = "native", "narrow"
 
 
 @dataclass(frozen=True)

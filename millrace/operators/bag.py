@@ -13,9 +13,8 @@ CHUNK = 1 << 16
 
 
 def counted(rows: DataFrame, shape: TableShape) -> DataFrame:
-    """Distinct rows with the number of copies."""
-    names = [c.name for c in shape.columns]
-    return rows.groupBy(*names).agg(F.count("*").alias(COPIES))
+    """Rows that count once each; they are added up where the weights are applied."""
+    return rows.select(*[c.name for c in shape.columns], F.lit(1).cast("bigint").alias(COPIES))
 
 
 def row_weights(changes: DataFrame, shape: TableShape) -> DataFrame:
@@ -29,10 +28,10 @@ def row_weights(changes: DataFrame, shape: TableShape) -> DataFrame:
     return rows.select(*[F.col(f"s.row.{n}").alias(n) for n in names], f"s.{COPIES}")
 
 
-def apply_weights(base_counted: DataFrame, weights: DataFrame, shape: TableShape) -> DataFrame:
-    """Distinct rows and copies after the changes."""
+def apply_weights(base: DataFrame, weights: DataFrame, shape: TableShape) -> DataFrame:
+    """Distinct rows and copies after the changes; added up before and after one shuffle."""
     names = [c.name for c in shape.columns]
-    both = base_counted.select(*names, COPIES).unionByName(weights.select(*names, COPIES))
+    both = base.select(*names, COPIES).unionByName(weights.select(*names, COPIES))
     return both.groupBy(*names).agg(F.sum(COPIES).alias(COPIES)).where(F.col(COPIES) > 0)
 
 

@@ -192,25 +192,24 @@ def conversations_log(spark: SparkSession, sf: str, moved: bool = False) -> Data
 def lineitem_log(spark: SparkSession, sf: str) -> DataFrame:
     """Deletes and updates with whole old rows on a table whose rows repeat."""
     rows = table(spark, sf, "lineitem").select(
-        *[c.name for c in LINEITEM_COLUMNS], "l_partkey", "l_suppkey", "l_extendedprice",
-        # Whole rows of the source file are spread over the log by their own values.
-        F.monotonically_increasing_id().alias("n"),
+        *[c.name for c in LINEITEM_COLUMNS], (F.monotonically_increasing_id() + 1).alias("n")
     )
     n = F.col("n")
     whole = [enc.text_value(F.col(c.name)) for c in LINEITEM_COLUMNS]
     changed = [*whole[:3], enc.text_value(F.lit("X"))]
-    messages = [
-        (0, n == 0, enc.begin(F.lit(BASE_POSITION))),
-        (1, n == 0, enc.relation(LINEITEM, "public", "lineitem", "f", LINEITEM_COLUMNS)),
+    opening = emit(spark.range(1), F.lit(0).cast("bigint"), [
+        (0, F.lit(True), enc.begin(F.lit(BASE_POSITION))),
+        (1, F.lit(True), enc.relation(LINEITEM, "public", "lineitem", "f", LINEITEM_COLUMNS)),
+    ])
+    log = emit(rows, n * 8, [
         (2, F.col("l_returnflag") == "R", enc.delete(LINEITEM, whole, tag="O")),
         (2, (F.col("l_returnflag") != "R") & (F.col("l_linestatus") == "O"),
          enc.update(LINEITEM, changed, whole, tag="O")),
-    ]
-    log = emit(rows, n * 8, messages)
+    ])
     closing = emit(rows.agg(F.max("n").alias("n")), n * 8, [
         (7, F.lit(True), enc.commit(F.lit(BASE_POSITION) + n * 128)),
     ])
-    return log.unionByName(closing)
+    return opening.unionByName(log).unionByName(closing)
 
 
 def nation_log(spark: SparkSession, sf: str) -> DataFrame:
