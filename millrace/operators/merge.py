@@ -26,7 +26,8 @@ def keyed_events(changes: DataFrame, shape: TableShape) -> DataFrame:
     A change of key is a tombstone for the old key and a live row for the new
     one; ``ord`` puts the tombstone first. An update matches by its old tuple
     when it has one and by the key of the new row otherwise. ``from_key`` is the key a moved
-    row had before.
+    row had before. Changes whose key does not fit its type have no effect; they are set
+    aside as bad values.
     """
     if not shape.key:
         raise ValueError(f"{shape.name} has no key; use the bag operators")
@@ -50,6 +51,8 @@ def keyed_events(changes: DataFrame, shape: TableShape) -> DataFrame:
         "seq", "op", "new", "unchanged",
         F.when(moved, old).alias("from_key"), F.explode(effects).alias("e"),
     )
+    for k in shape.key:
+        rows = rows.where(F.col(f"e.key.{k}").isNotNull())
     live = F.col("e.live")
     complete = F.array(*[F.lit(False)] * len(shape.columns))
     return rows.select(

@@ -33,7 +33,7 @@ def table_changes(
         slots: list[Column | int] = list(range(len(shape.columns)))
     else:
         order = F.array(*[F.lit(c.name) for c in shape.columns])
-        mine = registry.versions.where(F.col("name") == shape.name).select(
+        mine = registry.replicated().where(F.col("name") == shape.name).select(
             "relid", "from_seq", "to_seq",
             F.transform(
                 order, lambda name: (F.array_position(F.col("columns.name"), name) - 1).cast("int")

@@ -24,6 +24,13 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# What each side calls the same type.
+SAME = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _plain(value):
     if value is None or isinstance(value, float) and math.isnan(value):
         return None
@@ -47,6 +54,10 @@ def difference(spark, con, sf: str, fn, sql: str) -> str | None:
     wanted, theirs = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     if names != wanted:
         return f"columns {names} != {wanted}"
+    kinds = {d[0]: SAME.get(str(d[1]), str(d[1])) for d in con.execute(sql).description}
+    other = {n: (t, kinds[n]) for n, t in frame.dtypes if t != kinds[n]}
+    if other:
+        return f"types {other}"
     if mine != theirs:
         extra, missing = mine - theirs, theirs - mine
         return (

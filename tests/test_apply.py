@@ -16,14 +16,14 @@ def rows(frame):
     return sorted((tuple(r) for r in frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("seed, steps", [(1, 40), (2, 200), (3, 400), (4, 15)])
+@pytest.mark.parametrize("seed, steps", [(1, 40), (2, 200), (3, 400)])
 def test_random_history(spark, seed, steps):
     snapshot, texts, want = replay.history(seed, steps)
     found = replica(m.log(spark, texts), spark.createDataFrame(snapshot, ROW), "t")
     assert rows(found) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("seed", [5, 6])
+@pytest.mark.parametrize("seed", [5])
 def test_stored_changes_give_the_same(spark, seed, tmp_path):
     """The merge for written changes agrees with the one-pass merge."""
     snapshot, texts, want = replay.history(seed, 150)
@@ -156,6 +156,20 @@ def test_bad_value_keeps_the_row(spark):
     assert rows(replica(log, spark.createDataFrame([], ROW), "t")) == [(1, None, "x")]
 
 
+def test_bad_key_has_no_effect(spark):
+    texts = [m.begin(), m.relation(7, "t", replay.COLUMNS), m.insert(7, ["one", 1, "x"]), m.commit()]
+    assert rows(replica(m.log(spark, texts), spark.createDataFrame([(1, 1, "y")], ROW), "t")) == [(1, 1, "y")]
+
+
+def test_identity_comes_and_goes(spark):
+    """Changes sent while a table had no identity are skipped, others are not."""
+    texts = [
+        m.begin(), m.relation(7, "t", replay.COLUMNS, "n"), m.insert(7, [1, 1, "skipped"]),
+        m.relation(7, "t", replay.COLUMNS, "d"), m.insert(7, [2, 2, "kept"]), m.commit(),
+    ]
+    assert rows(replica(m.log(spark, texts), spark.createDataFrame([], ROW), "t")) == [(2, 2, "kept")]
+
+
 def test_key_types_are_compared_as_typed(spark):
     """The text of a key may be written differently from the stored value."""
     columns = [("id", 1700, True, ((10 << 16) | 2) + 4), ("n", 23, False)]
