@@ -165,6 +165,10 @@ class Registry:
         """Versions of the listed tables only."""
         return self.versions.where(F.col("name").isin([names.normalize_text(t) for t in tables]))
 
+    def publishes(self, table: str) -> bool:
+        """Whether the log ever announced a table."""
+        return not self.published([table]).isEmpty()
+
     def replicated(self) -> DataFrame:
         """Versions whose changes can be matched: identity ``n`` is left out."""
         return self.versions.where(F.col("identity") != IDENTITY_NONE)

@@ -6,6 +6,7 @@ from millrace.operators import registry as reg, report, transactions as txn
 from millrace.operators.decode import decode_changes
 from millrace.operators.project import table_changes, union_rows
 from millrace.operators.registry import Registry
+from millrace.sources.changelog import read_log
 
 A, B = [("id", 20, True), ("a", 25, False)], [("id", 23, True), ("b", 23, False), ("a", 25, False)]
 
@@ -102,13 +103,26 @@ def test_running_count_over_all_levels(spark, monkeypatch):
         assert row.n == n
 
 
-def test_poll_never_splits_a_transaction(spark):
+@pytest.mark.parametrize("bits", [1, 2, 16])
+def test_poll_never_splits_a_transaction(spark, monkeypatch, bits):
+    monkeypatch.setattr(txn, "STEP_BITS", bits)
     one = [m.begin(), m.insert(7, ["1"]), m.insert(7, ["2"]), m.commit()]
     log = m.log(spark, one * 3 + [m.begin(), m.insert(7, ["3"])])
     sizes = [txn.bounded_poll(log, n).count() for n in (1, 4, 5, 8, 12, 13, 100)]
     assert sizes == [4, 4, 8, 8, 12, 12, 12]
 
 
+def test_log_after_a_place(spark, tmp_path):
+    m.log(spark, [m.begin(), m.insert(7, ["1"]), m.commit()]).write.parquet(str(tmp_path / "log"))
+    assert read_log(spark, str(tmp_path / "log"), after_seq=0).count() == 2
+    assert read_log(spark, str(tmp_path / "log")).count() == 3
+
+
+def test_published_tables(versions_log):
+    registry = Registry.load(versions_log)
+    assert registry.publishes("u") and registry.publishes("public.t") and not registry.publishes("s.t")
+
+
 def test_nothing_committed(spark):
     log = m.log(spark, [m.begin(), m.insert(7, ["1"])])
     assert txn.committed_only(log).count() == 0

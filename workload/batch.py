@@ -77,7 +77,7 @@ def snapshot_multi(spark: SparkSession, sf: str) -> DataFrame:
 def log_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
     logs.orders_log(spark, sf).repartitionByRange("seq").write.parquet(path)
-    rows = read_log(spark, path, after_seq=7999)
+    rows = read_log(spark, path)
     return rows.select("seq", wire.message_type(F.col("data")).alias("op"))
 
 
