@@ -13,6 +13,7 @@ from ..operators.decode import decode_changes
 from ..operators.project import conform, table_changes
 from ..operators.registry import IDENTITY_FULL, IDENTITY_NONE, Registry, TableShape
 from ..operators.transactions import after_position, committed_only
+from ..shared import shared_folder
 
 
 def replica(
@@ -54,14 +55,18 @@ def replica(
         return base.unionByName(inserts.select("new.*"))
 
     events = merge.keyed_events(typed(), shape)
-    net = merge.net_changes(events, shape, toast)
     if toast == merge.KEEP and merge.held_columns(shape):
         # Only updates that carry an old tuple can move a row: the rest is not decoded here.
         moves = (F.col("op") == wire.UPDATE) & (wire.tuple_marker(F.col("data")) != "N")
         moved = links.link_events(merge.keyed_events(typed(moves), shape), shape)
         if moved.count():
-            net = links.resolve_links(net, events, base, shape)
-    return merge.merge(base, net, shape)
+            # Finding the values reads the events several times: decode them once.
+            path = shared_folder(events.sparkSession)
+            events.write.parquet(path)
+            events = events.sparkSession.read.schema(events.schema).parquet(path)
+            net = merge.net_changes(events, shape, toast)
+            return merge.merge(base, links.resolve_links(net, events, base, shape), shape)
+    return merge.merge(base, merge.net_changes(events, shape, toast), shape)
 
 
 def with_key(shape: TableShape, key: Sequence[str]) -> TableShape:
