@@ -76,20 +76,20 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
 """,
     "op7_line_windows": """
 WITH u AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS at
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS pos
   FROM documents WHERE text IS NOT NULL),
-t AS (SELECT doc_id, at, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM u),
+t AS (SELECT doc_id, pos, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS line FROM u),
 n AS (
-  SELECT doc_id, at, line, lead(line) OVER w AS l2, lead(line, 2) OVER w AS l3, lead(at, 2) OVER w AS e
-  FROM t WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY at)),
+  SELECT doc_id, pos, line, lead(line) OVER w AS l2, lead(line, 2) OVER w AS l3, lead(pos, 2) OVER w AS e
+  FROM t WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 f AS (
-  SELECT doc_id, at, e, row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, at) AS turn
+  SELECT doc_id, pos, e, row_number() OVER (PARTITION BY line, l2, l3 ORDER BY doc_id, pos) AS turn
   FROM n WHERE l3 IS NOT NULL),
-g AS (SELECT DISTINCT doc_id, unnest(range(at, e + 1)) AS at FROM f WHERE turn > 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, e + 1)) AS pos FROM f WHERE turn > 1),
 k AS (
-  SELECT u.doc_id, string_agg(raw, chr(10) ORDER BY u.at) FILTER (WHERE g.at IS NULL) AS kept,
-    count(*) AS n_lines, count(g.at) AS n_removed
-  FROM u LEFT JOIN g ON g.doc_id = u.doc_id AND g.at = u.at GROUP BY u.doc_id)
+  SELECT u.doc_id, string_agg(raw, chr(10) ORDER BY u.pos) FILTER (WHERE g.pos IS NULL) AS kept,
+    count(*) AS n_lines, count(g.pos) AS n_removed
+  FROM u LEFT JOIN g ON g.doc_id = u.doc_id AND g.pos = u.pos GROUP BY u.doc_id)
 SELECT d.doc_id, n_lines, n_removed, CASE WHEN d.text IS NOT NULL THEN coalesce(kept, '') END AS text
 FROM documents d LEFT JOIN k USING (doc_id)
 """,
