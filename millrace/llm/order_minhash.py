@@ -26,11 +26,11 @@ from . import common, words
 
 SIMILARITY, SKETCHES, PICKS = 0.8, 16, 3
 TILE = 512  # rows of one side of a block of signature comparisons
-SIGNATURE = 512  # bytes of a signature
-SLACK = 0.08  # an estimate from SIGNATURE places errs by less than this with 4.5 standard deviations
-HUB_ROUNDS = 3
+SIGNATURE = 1024  # bytes of a signature
+SLACK = 0.06  # an estimate from SIGNATURE places errs by less than this with 4.5 standard deviations
 
-_SKETCHED = "doc long, text_key binary, n int, items binary, sketches array<long>"
+_SKETCHED = "doc long, text_key binary, n int, sketches array<long>"
+_ITEMS = "doc long, text_key binary, items binary"
 
 
 def sketch(items: np.ndarray, sketches: int, picks: int) -> np.ndarray:
@@ -54,31 +54,40 @@ def sketch(items: np.ndarray, sketches: int, picks: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _tokenised(batches: Iterator[pa.RecordBatch]):
+    """(batch, word hashes, labelled windows, first window of each text, text keys) of small parts."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 1000):
+            batch = whole.slice(lo, 1000)
+            found = words.hashed_words(batch["text"])
+            wins = words.windows(found)
+            keys = [
+                hashlib.blake2b(found.hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
+                for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+            yield batch, words.labelled(wins), wins.first, keys
+
+
 def _sketch_batches(sketches: int, picks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
-                found = words.hashed_words(batch["text"])
-                wins = words.windows(found)
-                items = words.labelled(wins)
-                keys, blobs, drawn = [], [], []
-                short = items.astype(np.uint32)
-                for i in range(batch.num_rows):
-                    a, b = wins.first[i], wins.first[i + 1]
-                    seq = found.hashes[found.first[i] : found.first[i + 1]]
-                    keys.append(hashlib.blake2b(seq.tobytes(), digest_size=16).digest() if b > a else None)
-                    blobs.append(short[a:b].tobytes())
-                    drawn.append(sketch(items[a:b], sketches, picks) if b > a else np.zeros(0, np.int64))
-                first = np.concatenate([[0], np.cumsum([len(x) for x in drawn])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc"], pa.array(keys, pa.binary()), pa.array(np.diff(wins.first).astype(np.int32)),
-                     pa.array(blobs, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(first), pa.array(np.concatenate(drawn) if drawn else [], pa.int64()))],
-                    names=["doc", "text_key", "n", "items", "sketches"])
+        for batch, items, first, keys in _tokenised(batches):
+            drawn = [sketch(items[a:b], sketches, picks) if b > a else np.zeros(0, np.int64)
+                     for a, b in zip(first[:-1], first[1:], strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in drawn])]).astype(np.int32)
+            flat = pa.array(np.concatenate(drawn) if drawn else [], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"], pa.array(keys, pa.binary()), pa.array(np.diff(first).astype(np.int32)),
+                 pa.ListArray.from_arrays(pa.array(ends), flat)], names=["doc", "text_key", "n", "sketches"])
     return run
 
 
+def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, items, first, keys in _tokenised(batches):
+        short = items.astype(np.uint32)
+        blobs = [short[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc"], pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], names=["doc", "text_key", "items"])
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     """Share of windows in the best forward chain; 0 where it cannot reach ``least``."""
     if not len(a) or not len(b):
@@ -124,10 +133,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return common.landed(joined.mapInArrow(_verify_batches(least), "a long, b long, similarity double"))
 
 
-def _hub_pairs(members: DataFrame, turn: int, least: float) -> DataFrame:
-    """Each member of a bucket with the bucket's hub of this turn, unless they are linked already."""
-    order = F.struct(F.xxhash64("doc", F.lit(turn)), "doc", "n", "component") if turn else \
-        F.struct(F.lit(0).cast("long"), "doc", "n", "component")
+def _hub_pairs(members: DataFrame, least: float) -> DataFrame:
+    """Each member of a bucket with the bucket's smallest."""
+    order = F.struct("doc", "n", "component")
     hubs = members.groupBy("bucket").agg(
         F.min(order).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi")
     ).where("lo <> hi").select(
@@ -155,7 +163,7 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(signed, pa.binary())], names=["doc", "signature"])
 
 
-def _tile_pairs(least: float):
+def _tile_pairs(least: float, best: bool):
     floor = least - SLACK
 
     def run(table: pa.Table) -> pa.Table:
@@ -173,7 +181,10 @@ def _tile_pairs(least: float):
                 continue
             same = ((sig[right[at]] == sig[x]) & filled[at]).sum(axis=1)
             either = (filled[at] | (sig[x] > 0)).sum(axis=1)
-            hit = right[at[same >= floor * either]]
+            ok = same >= floor * either
+            if best and ok.any():
+                ok = np.arange(len(at)) == np.argmax(np.where(ok, same / np.maximum(either, 1), -1))
+            hit = right[at[ok]]
             a.append(np.minimum(doc[hit], doc[x]))
             b.append(np.maximum(doc[hit], doc[x]))
         ab = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
@@ -181,8 +192,9 @@ def _tile_pairs(least: float):
     return run
 
 
-def _rest_pairs(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """All pairs of a bucket between different components whose signatures do not rule them out.
+def _tiled_pairs(members: DataFrame, texts: DataFrame, least: float, best: bool) -> DataFrame:
+    """Pairs of a bucket between different components whose signatures do not rule them out: all of
+    them, or with ``best`` the most promising of each member.
 
     A bucket is cut into tiles of about ``TILE`` members; a task compares two tiles.
     """
@@ -199,7 +211,7 @@ def _rest_pairs(members: DataFrame, texts: DataFrame, least: float) -> DataFrame
         "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "n", "component",
         F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
     tiles = dealt.join(signed, "doc")
-    return tiles.groupBy("bucket", "i", "j").applyInArrow(_tile_pairs(least), "a long, b long").distinct()
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(_tile_pairs(least, best), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -208,28 +220,31 @@ def near_duplicates(
     """One row per row of ``docs`` (``doc_id``, ``text``): doc_id, class_id (smallest doc_id with the
     same words), component_id (smallest doc_id reachable by links), kept (one row per component).
 
-    Buckets of any size are handled: members are first compared with a few hubs of their bucket;
-    what is still apart afterwards is compared in full, tile by tile, and only pairs that may link
-    are written out.
+    Buckets of any size are handled: members are compared with the smallest of their bucket, then
+    with the most promising member outside their component. What is still apart afterwards is compared in full,
+    tile by tile, and only pairs that may link are written out.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     sketched = common.landed(rows.mapInArrow(_sketch_batches(sketches, picks), _SKETCHED))
     known = sketched.where("doc IS NOT NULL")
     classes = common.landed(known.where("text_key IS NOT NULL").groupBy("text_key").agg(F.min("doc").alias("class_id")))
-    # A doc_id on several rows stands for each of their texts; the class keeps them apart.
-    reps = known.join(classes, "text_key").where("doc = class_id").dropDuplicates(["text_key"])
-    texts = common.landed(reps.groupBy("doc").agg(
-        F.min_by("n", "text_key").alias("n"), F.min_by("items", "text_key").alias("items"),
-        F.min_by("sketches", "text_key").alias("sketches")))
-    drawn = texts.select("doc", "n", F.explode("sketches").alias("bucket"))
+    # A doc_id with several texts is compared by the first of them that it stands for.
+    reps = common.landed(known.join(classes, "text_key").where("doc = class_id").groupBy("doc").agg(
+        F.min("text_key").alias("text_key"), F.min_by("n", "text_key").alias("n"), F.min_by("sketches", "text_key").alias("sketches")))
+    drawn = reps.select("doc", "n", F.explode("sketches").alias("bucket"))
     shared = drawn.groupBy("bucket").count().where("count > 1").select("bucket")
     members = common.landed(drawn.join(shared, "bucket"))
+    # Windows are needed for texts in a shared bucket only: those texts are read again.
+    needed = common.landed(reps.select("doc", "text_key").join(members, "doc", "left_semi"))
+    texts = common.landed(
+        rows.join(needed.select("doc"), "doc", "left_semi").mapInArrow(_item_batches, _ITEMS)
+        .join(needed, ["doc", "text_key"], "left_semi").dropDuplicates(["doc"]).select("doc", "items"))
 
     links = None
     component = members.select("doc").distinct().withColumn("component", F.col("doc"))
-    for turn in range(HUB_ROUNDS + 1):
+    for step in ("hub", "best", "all"):
         now = members.join(component, "doc")
-        pairs = _hub_pairs(now, turn, similarity) if turn < HUB_ROUNDS else _rest_pairs(now, texts, similarity)
+        pairs = _hub_pairs(now, similarity) if step == "hub" else _tiled_pairs(now, texts, similarity, step == "best")
         found = _verified(common.landed(pairs), texts, similarity).select("a", "b")
         links = found if links is None else links.union(found)
         joined = common.components(links).withColumnRenamed("node", "doc")
