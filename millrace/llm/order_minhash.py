@@ -163,6 +163,15 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(signed, pa.binary())], names=["doc", "signature"])
 
 
+def _drawn(sketches: list[list[int]], doc: np.ndarray) -> np.ndarray:
+    """Sketches as a matrix; places that a short text lacks hold values no other text has."""
+    width = max(map(len, sketches), default=1)
+    out = -(doc[:, None] * width + np.arange(width)[None, :]) - 1
+    for i, x in enumerate(sketches):
+        out[i, : len(x)] = x
+    return out
+
+
 def _tile_pairs(least: float, best: bool):
     floor = least - SLACK
 
@@ -170,6 +179,9 @@ def _tile_pairs(least: float, best: bool):
         doc, comp = table["doc"].to_numpy(), table["component"].to_numpy()
         n, side = table["n"].to_numpy(), table["side"].to_numpy()
         sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
+        drawn = _drawn(table["sketches"].to_pylist(), doc)
+        bucket = table["bucket"][0].as_py() if len(doc) else 0
+        turn = (drawn == bucket).argmax(axis=1)
         left = np.flatnonzero(side < 2)  # side 0: both, 1: left only, 2: right only
         right = np.flatnonzero(side != 1)
         filled = sig[right] > 0
@@ -177,6 +189,8 @@ def _tile_pairs(least: float, best: bool):
         for x in left:
             fit = (comp[right] != comp[x]) & (np.minimum(n[right], n[x]) >= least * np.maximum(n[right], n[x]))
             at = np.flatnonzero(fit)
+            # a pair is looked at in the first bucket that it shares only
+            at = at[(drawn[right[at]] == drawn[x]).argmax(axis=1) == turn[x]] if len(at) else at
             if not len(at):
                 continue
             same = ((sig[right[at]] == sig[x]) & filled[at]).sum(axis=1)
@@ -192,7 +206,7 @@ def _tile_pairs(least: float, best: bool):
     return run
 
 
-def _tiled_pairs(members: DataFrame, texts: DataFrame, least: float, best: bool) -> DataFrame:
+def _tiled_pairs(members: DataFrame, texts: DataFrame, reps: DataFrame, least: float, best: bool) -> DataFrame:
     """Pairs of a bucket between different components whose signatures do not rule them out: all of
     them, or with ``best`` the most promising of each member.
 
@@ -204,7 +218,7 @@ def _tiled_pairs(members: DataFrame, texts: DataFrame, least: float, best: bool)
     rows = common.landed(members.join(mixed, "bucket"))
     signed = common.landed(
         texts.join(rows.select("doc").distinct(), "doc", "left_semi").select("doc", "items")
-        .mapInArrow(_sign_batches, "doc long, signature binary"))
+        .mapInArrow(_sign_batches, "doc long, signature binary").join(reps.select("doc", "sketches"), "doc"))
     own = F.pmod(F.xxhash64("doc", F.lit(7)), "tiles").cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select(
@@ -244,7 +258,7 @@ def near_duplicates(
     component = members.select("doc").distinct().withColumn("component", F.col("doc"))
     for step in ("hub", "best", "all"):
         now = members.join(component, "doc")
-        pairs = _hub_pairs(now, similarity) if step == "hub" else _tiled_pairs(now, texts, similarity, step == "best")
+        pairs = _hub_pairs(now, similarity) if step == "hub" else _tiled_pairs(now, texts, reps, similarity, step == "best")
         found = _verified(common.landed(pairs), texts, similarity).select("a", "b")
         links = found if links is None else links.union(found)
         joined = common.components(links).withColumnRenamed("node", "doc")
