@@ -34,7 +34,10 @@ def row_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 
 
-def positions(df: DataFrame, group: str, order: Sequence[Column], name: str, per: int = 100_000) -> DataFrame:
+PER_BUCKET = 4_000  # rows of a group that are sorted together, about
+
+
+def positions(df: DataFrame, group: str, order: Sequence[Column], name: str, per: int = PER_BUCKET) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... within each value of ``group``, gapless, in the order of hash
     buckets and ``order`` inside them.
 

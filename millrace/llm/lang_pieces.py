@@ -218,7 +218,7 @@ def _count_batches(pieces: tuple[str, ...]):
                 times = np.pad(times, ((0, 0), (0, len(numbers) - times.shape[1])))
             lang_of = np.repeat([numbers[x] for x in langs], np.diff(found.first)).astype(np.int64)
             unique, first, back = np.unique(found.hashes, return_index=True, return_inverse=True)
-            counts = np.bincount(back * len(numbers) + lang_of, minlength=len(unique) * len(numbers)).reshape(len(unique), -1)
+            counts = np.bincount(back * len(numbers) + lang_of, minlength=len(unique) * len(numbers)).reshape(len(unique), len(numbers))
             spot = np.searchsorted(known, unique)
             hit = np.zeros(len(unique), bool)
             inside = spot < len(known)

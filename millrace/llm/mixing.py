@@ -119,8 +119,7 @@ def in_mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` inside the mix, with all their columns. The last row taken from each source
     is found first; rows up to it are then kept where they stand, so texts are not shuffled."""
     marked = mixed(docs, **options)
-    per = 100_000
-    sizes = docs.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(per)).cast("long").alias("_parts"))
+    sizes = docs.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(common.PER_BUCKET)).cast("long").alias("_parts"))
     part: Column = F.pmod(F.xxhash64("doc_id"), F.col("_parts"))
     tail = marked.where("in_mix").alias("m").join(
         sizes.alias("s"), F.col("m.source").eqNullSafe(F.col("s.source"))).select(

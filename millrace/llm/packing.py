@@ -13,12 +13,14 @@ like others; an empty table gives no rows. Equal texts share a shard unless thei
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 SHARDS = 16
 BUNDLES = 16_384
-GRAIN = 64  # a group above 1 / (shards * GRAIN) of a dimension is cut into chunks of that size
+GRAIN = 4  # a group above 1 / (shards * GRAIN) of a dimension is cut into chunks of that size
 
 
 def size_of(text: Column) -> Column:
@@ -67,43 +69,36 @@ def _items(rows: DataFrame, shards: int, bundles: int) -> DataFrame:
 def _with_measures(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     return docs.select(
-        "*", F.col("doc_id").alias("_id"), F.xxhash64(text, size_of(text), crc_of(text)).alias("_key"),
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64(text, size_of(text), crc_of(text)).alias("_key"),
         size_of(text).alias("_bytes"), tokens_of(text).alias("_tokens"))
 
 
 def _placed(rows: DataFrame, shards: int, bundles: int) -> DataFrame:
-    """One row per item: _item, shard, before (rows of the shard in earlier items)."""
+    """One row per item: _item, _shard. There are at most bundles + 6 * shards * GRAIN items."""
     sums = rows.groupBy("_item").agg(
         F.sum("_bytes").alias("b"), F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("r")).orderBy("_item").toPandas()
     counts = sums[["b", "t", "r"]].to_numpy(float).reshape(-1, 3)
     shard = place(counts / np.maximum(counts.sum(axis=0), 1), shards)
-    before = np.zeros(len(sums), dtype=np.int64)
-    for s in range(shards):
-        at = np.flatnonzero(shard == s)
-        before[at] = np.concatenate([[0], np.cumsum(sums["r"].to_numpy()[at])])[:-1] if len(at) else []
     return rows.sparkSession.createDataFrame(
-        [(int(i), int(s), int(b)) for i, s, b in zip(sums["_item"], shard, before, strict=True)],
-        "_item long, shard int, before long")
+        [(int(i), int(s)) for i, s in zip(sums["_item"], shard, strict=True)], "_item long, _shard int")
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (0, 1, ... within the shard) of every row of ``docs``."""
-    rows = _with_measures(docs.select("doc_id", "text", crc_of(F.col("text")).alias("_crc"))).drop("text")
+    rows = _with_measures(docs.select("doc_id", "text")).select(
+        "_id", "_key", "_bytes", "_tokens", crc_of(F.col("_doc.text")).alias("_crc"))
     rows = _items(rows, shards, bundles)
-    where = _placed(rows, shards, bundles)
-    inside = Window.partitionBy("_item").orderBy("_id", "_crc", "_bytes")
-    return rows.withColumn("_row", F.row_number().over(inside) - 1).join(F.broadcast(where), "_item").select(
-        "doc_id", F.col("_bytes").alias("size"), F.col("_crc").alias("text_crc32"), "shard",
-        (F.col("before") + F.col("_row")).alias("slot"))
+    placed = rows.join(F.broadcast(_placed(rows, shards, bundles)), "_item")
+    return common.positions(placed, "_shard", [F.col(c) for c in ("_id", "_crc", "_bytes")], "slot").select(
+        F.col("_id").alias("doc_id"), F.col("_bytes").alias("size"), F.col("_crc").alias("text_crc32"),
+        F.col("_shard").alias("shard"), "slot")
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
     """All rows and columns of ``docs`` with their ``shard``; texts are not shuffled."""
-    names = docs.columns
     rows = _items(_with_measures(docs), shards, bundles)
-    where = _placed(rows, shards, bundles).withColumnRenamed("shard", "_shard")
-    return rows.join(F.broadcast(where), "_item").select(
-        *(F.col(f"`{c}`") for c in names if c != "shard"), F.col("_shard").alias("shard"))
+    return rows.join(F.broadcast(_placed(rows, shards, bundles)), "_item").select(
+        *(F.col(f"_doc.`{c}`").alias(c) for c in docs.columns if c != "shard"), F.col("_shard").alias("shard"))
 
 
 def write_shards(docs: DataFrame, folder: str, **options) -> None:
