@@ -87,14 +87,17 @@ class SourceColumn:
         return SCALARS[self.oid][1] if self.oid in SCALARS else T.StringType()
 
 
+def _bounded(typmod: int) -> bool:
+    """Whether the type modifier gives a precision and scale that Spark can hold."""
+    precision, scale = ((typmod - 4) >> 16) & 0xFFFF, (typmod - 4) & 0x7FF
+    return typmod >= 4 and scale <= precision <= 38
+
+
 def decimal_type(typmod: int) -> T.DecimalType:
     """Precision and scale from the type modifier; what Spark cannot hold gets the default."""
-    if typmod < 4:
-        return SCALARS[1700][1]
-    precision, scale = ((typmod - 4) >> 16) & 0xFFFF, (typmod - 4) & 0x7FF
-    if scale > 1023 or precision > 38 or scale > precision:
+    if not _bounded(typmod):
         return SCALARS[1700][1]
-    return T.DecimalType(precision, scale)
+    return T.DecimalType(((typmod - 4) >> 16) & 0xFFFF, (typmod - 4) & 0x7FF)
 
 
 def schema_of(columns: list[SourceColumn], profile: str = NATIVE) -> T.StructType:
@@ -119,6 +122,10 @@ def cast_text(text: Column, column: SourceColumn, profile: str = NATIVE) -> Colu
     if column.oid == 17:
         return F.when(text.startswith("\\x"), F.unhex(F.substring(text, 3, 2**31 - 1)))
     target = column.spark_type(profile)
+    if column.oid == 1700 and not _bounded(column.typmod):
+        # Without a usable modifier the text may hold more digits than the column; it is not rounded.
+        digits = F.regexp_extract(text, r"\.(\d*?)0*$", 1)
+        return F.when(F.length(digits) <= target.scale, text.try_cast(target))
     return text if isinstance(target, T.StringType) else text.try_cast(target)
 
 

@@ -18,8 +18,17 @@ def counted(rows: DataFrame, shape: TableShape) -> DataFrame:
 
 
 def row_weights(changes: DataFrame, shape: TableShape) -> DataFrame:
-    """Signed rows: -1 for the old tuple, +1 for the new one."""
+    """Signed rows: -1 for the old tuple, +1 for the new one.
+
+    A value that the new tuple leaves out as unchanged is taken from the old one.
+    """
     names = [c.name for c in shape.columns]
+    if "unchanged" in changes.columns and any(c.may_be_unchanged for c in shape.columns):
+        filled = F.struct(*[
+            F.when(F.get("unchanged", F.lit(i)), F.col(f"old.{n}")).otherwise(F.col(f"new.{n}")).alias(n)
+            for i, n in enumerate(names)
+        ])
+        changes = changes.withColumn("new", F.when(F.col("new").isNotNull(), filled))
     sides = F.array(
         F.struct(F.col("old").alias("row"), F.lit(-1).cast("bigint").alias(COPIES)),
         F.struct(F.col("new").alias("row"), F.lit(1).cast("bigint").alias(COPIES)),

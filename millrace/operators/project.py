@@ -30,6 +30,8 @@ def table_changes(
         rows = rows.where("err is null")
     if shape.versions == 1:
         rows = rows.where(F.col("seq") >= shape.first_seq)
+        if shape.end_seq is not None:
+            rows = rows.where(F.col("seq") < shape.end_seq)
         slots: list[Column | int] = list(range(len(shape.columns)))
     else:
         order = F.array(*[F.lit(c.name) for c in shape.columns])

@@ -111,6 +111,7 @@ class TableShape:
     relids: list[int]
     versions: int
     first_seq: int
+    end_seq: int | None = None  # from here on the relation has another name
 
 
 class Registry:
@@ -206,6 +207,7 @@ def _facts(versions: list[dict]) -> tuple | None:
     return (
         list(union.values()), [c["name"] for c in last["columns"] if c["is_key"]], last["identity"],
         sorted({v["relid"] for v in versions}), len(versions), versions[0]["from_seq"],
+        max(v["to_seq"] for v in versions),
     )
 
 
@@ -214,6 +216,7 @@ def _distributed_facts(versions: DataFrame) -> tuple | None:
         F.collect_set("relid").alias("relids"),
         F.count("*").alias("versions"),
         F.min("from_seq").alias("first_seq"),
+        F.max("to_seq").alias("end_seq"),
         F.max_by(F.struct("identity", "columns"), "from_seq").alias("last"),
     ).first()
     if not facts.versions:
@@ -222,7 +225,7 @@ def _distributed_facts(versions: DataFrame) -> tuple | None:
     return (
         [SourceColumn(c["name"], c.oid, c.typmod, c.is_key) for c in columns],
         [c["name"] for c in facts.last["columns"] if c.is_key], facts.last["identity"],
-        sorted(facts.relids), facts.versions, facts.first_seq,
+        sorted(facts.relids), facts.versions, facts.first_seq, facts.end_seq,
     )
 
 

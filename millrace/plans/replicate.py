@@ -59,7 +59,7 @@ def replica(
         # Only updates that carry an old tuple can move a row: the rest is not decoded here.
         moves = (F.col("op") == wire.UPDATE) & (wire.tuple_marker(F.col("data")) != "N")
         moved = links.link_events(merge.keyed_events(typed(moves), shape), shape)
-        if moved.count():
+        if not moved.isEmpty():
             # Finding the values reads the events several times: decode them once.
             path = shared_folder(events.sparkSession)
             events.write.parquet(path)
@@ -72,5 +72,5 @@ def replica(
 def with_key(shape: TableShape, key: Sequence[str]) -> TableShape:
     """The same table matched by other key columns."""
     return TableShape(
-        shape.name, shape.columns, list(key), "d", shape.relids, shape.versions, shape.first_seq
+        shape.name, shape.columns, list(key), "d", shape.relids, shape.versions, shape.first_seq, shape.end_seq
     )

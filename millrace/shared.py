@@ -15,9 +15,14 @@ _SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name under the cluster's checkpoint folder.
 
-    Only where none is configured, as in tests on one machine, a temporary folder is taken.
+    Only a local master may do without one, as in tests on one machine; a temporary folder is then taken.
     """
-    root = spark.conf.get(_SETTING, None) or tempfile.gettempdir()
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 

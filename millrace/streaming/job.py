@@ -258,7 +258,7 @@ class Replication:
         net = net.drop("bucket", "version")
         if self.toast == merge.KEEP and merge.held_columns(shape):
             events = merge.keyed_events(feed, shape)
-            if links.link_events(events, shape).count():
+            if not links.link_events(events, shape).isEmpty():
                 net = links.resolve_links(net, events, self._whole(shape, base), shape)
         rows = merge.merge_stored(base, net, shape)
         return rows.withColumn("bucket", self._bucket(shape))

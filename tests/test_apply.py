@@ -185,3 +185,41 @@ def test_no_unbounded_window_over_changes(spark):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_full_identity_keeps_unchanged_values(spark):
+    columns = [("id", 23, True), ("n", 23, True), ("note", 25, True)]
+    texts = [
+        m.begin(), m.relation(7, "t", columns, "f"),
+        m.update(7, [1, 5, m.U], [1, 0, "long"], "O"), m.update(7, [2, 6, None], [2, 0, "gone"], "O"), m.commit(),
+    ]
+    base = spark.createDataFrame([(1, 0, "long"), (2, 0, "gone")], "id int, n int, note string")
+    assert rows(replica(m.log(spark, texts), base, "t")) == [(1, 5, "long"), (2, 6, None)]
+
+
+def test_renamed_table_gets_no_later_rows(spark):
+    columns = [("id", 23, True), ("n", 23, False)]
+    texts = [
+        m.begin(), m.relation(7, "a", columns), m.insert(7, [1, 1]), m.relation(7, "b", columns),
+        m.insert(7, [2, 2]), m.update(7, [1, 9]), m.commit(),
+    ]
+    empty = spark.createDataFrame([], "id int, n int")
+    assert rows(replica(m.log(spark, texts), empty, "a")) == [(1, 1)]
+    assert rows(replica(m.log(spark, texts), empty, "b")) == [(1, 9), (2, 2)]
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace.shared import shared_folder
+
+    def session(master, setting=None, given=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: given)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: setting), sparkContext=context)
+
+    assert shared_folder(session("yarn", "hdfs:///c/")).startswith("hdfs:///c/millrace-")
+    assert shared_folder(session("yarn", None, "hdfs:///d")).startswith("hdfs:///d/")
+    assert shared_folder(session("local[4]")).startswith("/")
+    for master in ("yarn", "spark://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))

@@ -14,7 +14,7 @@ CASES = [
     (700, "0.5", 0.5), (701, "1e300", 1e300), (701, "-Infinity", float("-inf")), (701, "?", None),
     (16, "t", True), (16, "f", False), (16, "true", True), (16, "maybe", None),
     (1560, "1", True), (1560, "0", False),
-    (1700, "12.9", Decimal("12.900000000")), (1700, "NaN", None),
+    (1700, "12.9", Decimal("12.900000000")), (1700, "NaN", None), (1700, "0.12345678912345", None), (1700, "1.1000000000000", Decimal("1.100000000")),
     (25, "NULL", "NULL"), (18, "c", "c"), (1043, "", ""), (2950, "a-b", "a-b"), (19, "n", "n"), (705, "u", "u"),
     (17, "\\x00ff", b"\x00\xff"), (17, "00ff", None),
     (1082, "2024-02-29", dt.date(2024, 2, 29)), (1083, "10:00:00", "10:00:00"),
