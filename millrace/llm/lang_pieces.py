@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import IS_LETTER, Words, hashed_words
+from .words import IS_LETTER, Words, hashed_words, parts
 
 RUN = 32  # letters
 LONGEST = 12  # letters of the longest piece that is used
@@ -182,18 +182,6 @@ def _lattice(pieces: tuple[str, ...]) -> Lattice:
     return Lattice(list(pieces))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches cut into parts of about ``size`` bytes of text."""
-    for batch in batches:
-        column = batch["text"].cast(pa.large_string())
-        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-        lo = 0
-        while lo < batch.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + size, "right")) - 1)
-            yield batch.slice(lo, hi - lo)
-            lo = hi
-
-
 def _count_batches(pieces: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, start = _lattice(pieces), first_distribution(len(pieces) + 2)
@@ -209,7 +197,7 @@ def _count_batches(pieces: tuple[str, ...]):
                 for lang, i in numbers.items():
                     totals[lang] = totals.get(lang, 0) + counts[i]
 
-        for batch in _parts(batches):
+        for batch in parts(batches):
             found = hashed_words(batch["text"], IS_LETTER)
             langs = batch["lang"].to_pylist()
             for lang in langs:
@@ -297,7 +285,7 @@ class Scores:
 def _score_batches(pieces: tuple[str, ...], langs: list[str], probability: np.ndarray, column: str = "text"):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(pieces, probability)
-        for batch in _parts(batches):
+        for batch in parts(batches):
             total = scores.of_texts(batch[column])
             told = (total[:, -1] > 0) & bool(langs)
             total = total[:, :-1] if langs else np.zeros((len(told), 1))
@@ -323,7 +311,7 @@ def identify(docs: DataFrame, model=None) -> DataFrame:
 def _keep_batches(pieces: tuple[str, ...], langs: list[str], probability: np.ndarray, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = Scores(pieces, probability)
-        for batch in _parts(batches):
+        for batch in parts(batches):
             # str.lower and Spark's lower differ in a few letters at most; neither decides a text.
             total = scores.of_texts(pa.compute.utf8_lower(batch["text"]))
             told, total = total[:, -1] > 0, total[:, :-1]

@@ -56,15 +56,13 @@ def sketch(items: np.ndarray, sketches: int, picks: int) -> np.ndarray:
 
 def _tokenised(batches: Iterator[pa.RecordBatch]):
     """(batch, word hashes, labelled windows, first window of each text, text keys) of small parts."""
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 1000):
-            batch = whole.slice(lo, 1000)
-            found = words.hashed_words(batch["text"])
-            wins = words.windows(found)
-            keys = [
-                hashlib.blake2b(found.hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
-                for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
-            yield batch, words.labelled(wins), wins.first, keys
+    for batch in words.parts(batches):
+        found = words.hashed_words(batch["text"])
+        wins = words.windows(found)
+        keys = [
+            hashlib.blake2b(found.hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
+            for a, b in zip(found.first[:-1], found.first[1:], strict=True)]
+        yield batch, words.labelled(wins), wins.first, keys
 
 
 def _sketch_batches(sketches: int, picks: int):

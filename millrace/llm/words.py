@@ -31,7 +31,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _POWERS["n"] < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         for key, base in (("up", _BASE), ("down", _BASE_INV)):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
@@ -40,6 +40,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
+def parts(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of about ``size`` bytes of text; a longer text is a part of its own."""
+    for batch in batches:
+        column = batch["text"].cast(pa.large_string())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + size, "right")) - 1)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def text_bytes(col) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts, and where each text starts (one more at the end). Null: empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -58,7 +70,7 @@ class Words(NamedTuple):
     raw: np.ndarray | None = None  # the bytes of all texts
 
 
-def cuts(raw: np.ndarray, is_word: np.ndarray = IS_WORD, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def cuts(raw: np.ndarray, is_word: np.ndarray = IS_WORD, size: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of about ``size`` bytes that never split a word."""
     at = 0
     while at < len(raw):
