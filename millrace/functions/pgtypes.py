@@ -1,7 +1,7 @@
 """Source type numbers, the Spark types they become, and text-to-type casts."""
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -100,6 +100,36 @@ def decimal_type(typmod: int) -> T.DecimalType:
     return T.DecimalType(((typmod - 4) >> 16) & 0xFFFF, (typmod - 4) & 0x7FF)
 
 
+def widest(one: SourceColumn, other: SourceColumn) -> SourceColumn:
+    """A column that holds every value of both, which are versions of one column.
+
+    Integers and floats widen among themselves, integers and numerics meet in a numeric that has
+    room for both. What has no common type becomes text, which holds any value.
+    """
+    if (one.oid, one.typmod) == (other.oid, other.typmod):
+        return one
+    if one.oid in ARRAYS and other.oid in ARRAYS:
+        items = [SourceColumn(c.name, ARRAYS[c.oid], c.typmod) for c in (one, other)]
+        wide = widest(*items)
+        back = next((a for a, item in ARRAYS.items() if item == wide.oid), None)
+        return replace(one, oid=25, typmod=-1) if back is None else replace(one, oid=back, typmod=wide.typmod)
+    for order in ((21, 23, 20), (700, 701)):
+        if one.oid in order and other.oid in order:
+            return replace(one, oid=max(one.oid, other.oid, key=order.index), typmod=-1)
+    whole = {21: 5, 23: 10, 20: 19}
+    if {one.oid, other.oid} <= {*whole, 1700}:
+        kinds = [T.DecimalType(whole[c.oid], 0) if c.oid in whole else decimal_type(c.typmod) for c in (one, other)]
+        if all(c.oid in whole or _bounded(c.typmod) for c in (one, other)):
+            scale = max(k.scale for k in kinds)
+            precision = scale + max(k.precision - k.scale for k in kinds)
+            if precision <= 38:
+                return replace(one, oid=1700, typmod=(precision << 16 | scale) + 4)
+        return replace(one, oid=1700, typmod=-1)
+    if one.spark_type() != other.spark_type():
+        return replace(one, oid=25, typmod=-1)
+    return replace(one if one.may_be_unchanged else other, typmod=-1)
+
+
 def schema_of(columns: list[SourceColumn], profile: str = NATIVE) -> T.StructType:
     return T.StructType([T.StructField(c.name, c.spark_type(profile)) for c in columns])
 

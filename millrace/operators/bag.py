@@ -47,17 +47,14 @@ def apply_weights(base: DataFrame, weights: DataFrame, shape: TableShape) -> Dat
 def expand(rows: DataFrame) -> DataFrame:
     """Write every copy out as a row.
 
-    A row with very many copies is first cut into chunks that are spread over
-    the cluster, so its copies do not come from one task.
+    Every row is first cut into chunks of copies that are spread over the cluster, so the
+    copies of a very frequent row do not come from one task.
     """
-    few = rows.where(F.col(COPIES) <= CHUNK)
-    many = rows.where(F.col(COPIES) > CHUNK)
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(COPIES) - 1) / CHUNK))
-    many = many.withColumn("_chunk", F.explode(chunks)).withColumn(
+    cut = rows.withColumn("_chunk", F.explode(chunks)).withColumn(
         COPIES, F.least(F.lit(CHUNK), F.col(COPIES) - F.col("_chunk") * CHUNK)
     )
-    many = many.repartition("_chunk", *[c for c in rows.columns if c != COPIES]).drop("_chunk")
-    both = few.unionByName(many)
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), COPIES))).drop(
+    cut = cut.repartition("_chunk", *[c for c in rows.columns if c != COPIES]).drop("_chunk")
+    return cut.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), COPIES))).drop(
         "_copy", COPIES
     )

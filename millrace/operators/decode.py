@@ -89,3 +89,22 @@ def value_text(values: Column, slot: Column | int) -> Column:
 
 def value_kind(values: Column, slot: Column | int) -> Column:
     return F.get(values, F.lit(slot) if isinstance(slot, int) else slot)["k"]
+
+
+def message_text(op: Column, relid: Column, tag: Column, old: Column, new: Column) -> Column:
+    """The hex text of a decoded change, put together from its parts again."""
+
+    def number(value: Column, digits: int) -> Column:
+        return F.lpad(F.hex(value.cast("bigint")), digits, "0")
+
+    def item(x: Column) -> Column:
+        held = F.concat(number(F.octet_length(x["v"]), 8), F.hex(x["v"]))
+        sent = x["k"].isin(KIND_TEXT, KIND_BINARY)
+        return F.concat(number(x["k"], 2), F.when(sent, F.coalesce(held, F.lit("00000000"))).otherwise(""))
+
+    def side(mark: Column, values: Column) -> Column:
+        items = F.array_join(F.transform(values, item), "")
+        return F.when(values.isNotNull(), F.concat(F.hex(mark), number(F.size(values), 4), items)).otherwise("")
+
+    parts = F.concat(F.hex(op), number(relid, 8), side(tag, old), side(F.lit("N"), new))
+    return F.concat(F.lit("\\x"), F.lower(parts))

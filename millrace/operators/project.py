@@ -1,6 +1,7 @@
 """Typed rows from decoded tuples."""
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -93,18 +94,38 @@ def change_feed(changes: DataFrame, shape: TableShape) -> DataFrame:
     )
 
 
-def conform(rows: DataFrame, shape: TableShape, profile: str = NATIVE) -> DataFrame:
-    """Snapshot rows in the table's types and column order; missing columns are null."""
+def conform(
+    rows: DataFrame, shape: TableShape, profile: str = NATIVE, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Snapshot rows in the table's types and column order; missing columns are null.
+
+    A value that does not fit becomes null; ``snapshot_misfits`` lists those rows. ``keep``
+    names further columns to pass along.
+    """
     have = set(rows.columns)
     return rows.select(
         *[
             (F.col(f.name).try_cast(f.dataType) if f.name in have
              else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema_of(shape.columns, profile).fields
-        ]
+        ],
+        *keep,
     )
 
 
+def snapshot_misfits(rows: DataFrame, shape: TableShape, profile: str = NATIVE) -> DataFrame:
+    """Snapshot rows with values that do not fit the table's types: ``reason``, ``bad`` (names of
+    the columns) and ``data`` (the row as JSON). One scan, no shuffle."""
+    types = {f.name: f.dataType for f in schema_of(shape.columns, profile).fields}
+    bad = F.array_compact(F.array(*[
+        F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n))
+        for n, t in types.items() if n in rows.columns
+    ]))
+    marked = rows.select(F.struct(*[F.col(c) for c in rows.columns]).alias("row"), bad.alias("bad"))
+    return marked.where(F.size("bad") > 0).select(
+        F.lit("bad_value").alias("reason"), "bad", F.to_json("row").alias("data"))
+
+
 def union_rows(frames: list[DataFrame]) -> DataFrame:
     """Union by name over differing column sets; a column keeps the type it has first."""
     types: dict = {}

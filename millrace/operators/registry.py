@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, wire
-from ..functions.pgtypes import SourceColumn
+from ..functions.pgtypes import SourceColumn, widest
 from ..shared import local_frame
 from .decode import with_header
 
@@ -102,7 +102,7 @@ def _parse(body: bytes | None) -> dict:
 
 @dataclass(frozen=True)
 class TableShape:
-    """Union of a table's column lists over its versions: by name, first type wins."""
+    """Union of a table's column lists over its versions: by name, in the widest of its types."""
 
     name: str
     columns: list[SourceColumn]
@@ -202,7 +202,8 @@ def _facts(versions: list[dict]) -> tuple | None:
     union: dict[str, SourceColumn] = {}
     for version in versions:
         for c in version["columns"]:
-            union.setdefault(c["name"], SourceColumn(**c))
+            column = SourceColumn(**c)
+            union[c["name"]] = widest(union.get(c["name"], column), column)
     last = versions[-1]
     return (
         list(union.values()), [c["name"] for c in last["columns"] if c["is_key"]], last["identity"],
@@ -221,9 +222,16 @@ def _distributed_facts(versions: DataFrame) -> tuple | None:
     ).first()
     if not facts.versions:
         return None
-    columns = merge_columns(versions).orderBy("from_seq", "pos").collect()
+    # Definitions only: one row per different column of the table.
+    each = versions.select("from_seq", F.posexplode("columns").alias("pos", "col"))
+    place = F.struct("from_seq", "pos")
+    kinds = each.groupBy("col").agg(F.min(place).alias("at")).orderBy("at").collect()
+    union: dict[str, SourceColumn] = {}
+    for kind in kinds:
+        column = SourceColumn(**kind["col"].asDict())
+        union[column.name] = widest(union.get(column.name, column), column)
     return (
-        [SourceColumn(c["name"], c.oid, c.typmod, c.is_key) for c in columns],
+        list(union.values()),
         [c["name"] for c in facts.last["columns"] if c.is_key], facts.last["identity"],
         sorted(facts.relids), facts.versions, facts.first_seq, facts.end_seq,
     )

@@ -1,6 +1,7 @@
 """A continuous replica: polls of the change log, merged into versioned tables."""
 from __future__ import annotations
 
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ from ..functions.names import normalize_text
 from ..functions.pgtypes import NATIVE, schema_of
 from ..functions.positions import position_number
 from ..operators import bag, links, merge
-from ..operators.decode import VALUES, stage_changes
+from ..operators.decode import VALUES, message_text, stage_changes
 from ..operators.project import conform, table_changes
 from ..operators.registry import (
     IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, relation_runs,
@@ -59,10 +60,18 @@ class Replication:
     # Starting
 
     def bootstrap(self, snapshots: dict[str, DataFrame], position: str | None = None) -> None:
-        """Load the tables at one position; on a job that has run before, start over from them."""
+        """Load the tables at one position; on a job that has run before, start over from them.
+
+        Tables that are not named again stay as they are. They go on from the confirmed place, so
+        then the snapshots must have been taken there too.
+        """
         last = self.store.last()
         version = last.version + 1
-        tables = {}
+        tables = dict(last.tables)
+        others = set(tables) - {normalize_text(n) for n in snapshots}
+        if others and position not in (None, last.confirmed_lsn):
+            raise ValueError(
+                f"{sorted(others)} stand at {last.confirmed_lsn}: load these snapshots at that position, or all tables")
         for name, rows in snapshots.items():
             table = normalize_text(name)
             held = self.store.write_contents(
@@ -72,8 +81,11 @@ class Replication:
             tables[table] = version
         # Rows of a transaction that is still open stay pending across a reload.
         self.store.write(local_frame(self.spark, [], STAGED), "staged", version)
-        seen = last.confirmed_seq if position is None else -1
-        self.store.commit(Progress(version, seen, position, position, last.pending_from, tables))
+        if others:
+            kept = (last.confirmed_seq, last.confirmed_lsn, last.snapshot_lsn)
+        else:
+            kept = (last.confirmed_seq if position is None else -1, position, position)
+        self.store.commit(Progress(version, *kept, last.pending_from, tables))
 
     def start(
         self, log_path: str, max_files: int | None = None, checkpoint: str | None = None, **trigger
@@ -174,7 +186,8 @@ class Replication:
         store.write(typed, "changelog", version, table)
         feed = store.read("changelog", typed.schema, [version], table)
 
-        layout = f"{self._kind(shape)}:{','.join(shape.key)}:{store.buckets}"
+        types = zlib.crc32(schema_of(shape.columns, self.profile).simpleString().encode())
+        layout = f"{self._kind(shape)}:{','.join(shape.key)}:{store.buckets}:{types:08x}"
         net = self._net(feed, shape)
         if net is None:
             inserts = feed.where(F.col("op") == wire.INSERT).select("new.*")
@@ -218,15 +231,13 @@ class Replication:
         parts = []
         for layout in sorted({r[2] for r in rows}):
             mine = [r for r in rows if r[2] == layout]
-            was_bag = layout.startswith("bag:")
-            schema = schema_of(shape.columns, self.profile)
-            if was_bag:
-                schema = T.StructType([*schema.fields, T.StructField(bag.COPIES, T.LongType())])
-            part = self.store.contents(shape.name, mine, schema)
-            if was_bag and self._kind(shape) != "bag":
+            was_bag, is_bag = layout.startswith("bag:"), self._kind(shape) == "bag"
+            # A layout has one set of types, so the files tell them; older ones are widened here.
+            part = self.store.contents(shape.name, mine, None)
+            if was_bag and not is_bag:
                 part = bag.expand(part)
-            plain = part if was_bag and self._kind(shape) == "bag" else conform(part, shape, self.profile)
-            if self._kind(shape) == "bag" and not was_bag:
+            plain = conform(part, shape, self.profile, keep=[bag.COPIES] if was_bag and is_bag else [])
+            if is_bag and not was_bag:
                 plain = bag.counted(plain, shape)
             parts.append(plain)
         if not parts:
@@ -277,11 +288,15 @@ class Replication:
         unmapped = bind(decided.where("part = 'change'"), versions, registry.small, how="left_anti")
         parts = [bad, unmapped.withColumn("reason", F.lit("unmapped_relation"))]
         found = parts[0].select(*QUARANTINE).unionByName(parts[1].select(*QUARANTINE))
+        message = message_text(*[F.col(c) for c in ("op", "relid", "tag", "old", "new")])
+        messages = decided.where("part = 'change'").select("seq", message.alias("data"))
         for shape in shapes:
             schema = self._feed_schema(shape)
             feed = self.store.read("changelog", schema, [version], shape.name)
-            feed = feed.withColumns({"err": F.lit(None).cast("string"), "data": F.lit(None).cast("string")})
+            feed = feed.withColumn("err", F.lit(None).cast("string"))
             wrong = feed.withColumn("reason", change_error(shape)).where("reason is not null")
+            # The message comes from the staged rows: misfits are few.
+            wrong = wrong.select("seq", "lsn", "reason").join(messages, "seq", "left")
             found = found.unionByName(wrong.select(*QUARANTINE))
         self.store.write(found, "quarantine", version)
 

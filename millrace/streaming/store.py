@@ -105,13 +105,16 @@ class Store:
         frame.write.mode("overwrite").parquet(self.path("manifest", version, table))
 
     def contents(
-        self, table: str, rows: list[tuple[int, int, str]], schema: T.StructType
+        self, table: str, rows: list[tuple[int, int, str]], schema: T.StructType | None
     ) -> DataFrame | None:
-        """Stored rows of the given manifest entries; None when there are none."""
+        """Stored rows of the given manifest entries; None when there are none.
+
+        Without ``schema`` the files tell it; the entries must then be of one layout.
+        """
         paths = [f"{self.path('state', v, table)}/bucket={b}" for b, v, layout in rows]
         if not paths:
             return None
-        if rows[0][2] == SNAPSHOT:
+        if schema is None or rows[0][2] == SNAPSHOT:
             return self.spark.read.parquet(*paths)
         return self.spark.read.schema(schema).parquet(*paths)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import names
-from millrace.functions.pgtypes import NARROW, SCALARS, SourceColumn, cast_text, decimal_type
+from millrace.functions.pgtypes import NARROW, SCALARS, SourceColumn, cast_text, decimal_type, widest
 
 CASES = [
     (21, "-32768", -32768), (21, "40000", None), (23, "2147483647", 2147483647), (23, "1.5", None),
@@ -69,6 +69,21 @@ def test_decimal_modifier():
     assert decimal_type(((500 << 16) | 2) + 4) == T.DecimalType(38, 9)
 
 
+def test_widest():
+    def both(a, b, *mods):
+        one, other = SourceColumn("c", a, *mods[:1]), SourceColumn("c", b, *mods[1:])
+        found = {widest(one, other).spark_type(), widest(other, one).spark_type()}
+        assert len(found) == 1
+        return found.pop()
+
+    assert both(21, 20) == T.LongType() and both(700, 701) == T.DoubleType()
+    assert both(23, 1700, -1, ((12 << 16) | 2) + 4) == T.DecimalType(12, 2)
+    assert both(20, 1700, -1, ((12 << 16) | 2) + 4) == T.DecimalType(21, 2)
+    assert both(23, 701) == T.StringType() and both(1114, 25) == T.StringType()
+    assert both(1007, 1016) == T.ArrayType(T.LongType())
+    assert widest(SourceColumn("c", 19), SourceColumn("c", 25)).may_be_unchanged
+
+
 def test_reported_types():
     assert SourceColumn("c", 21).reported_type == "INT8"
     assert SourceColumn("c", 1007).reported_type == "ARRAY"
