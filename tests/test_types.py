@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from millrace.functions import names
 from millrace.functions.pgtypes import NARROW, SCALARS, SourceColumn, cast_text, decimal_type, widest
+from millrace.operators.project import snapshot_misfits
+from millrace.operators.registry import TableShape
 
 CASES = [
     (21, "-32768", -32768), (21, "40000", None), (23, "2147483647", 2147483647), (23, "1.5", None),
@@ -84,6 +86,15 @@ def test_widest():
     assert widest(SourceColumn("c", 19), SourceColumn("c", 25)).may_be_unchanged
 
 
+def test_snapshot_misfits(spark):
+    shape = TableShape("public.t", [SourceColumn("id", 23, -1, True), SourceColumn("n", 20)], ["id"], "d", [7], 1, 0)
+    rows = spark.createDataFrame([(1, "5", "x"), (5_000_000_000, "?", "y"), (None, None, None)], "id bigint, n string, other string")
+    found = snapshot_misfits(rows, shape).collect()
+    assert [(r.reason, r.bad, r.data) for r in found] == [
+        ("bad_value", ["id", "n"], '{"id":5000000000,"n":"?","other":"y"}')]
+    assert snapshot_misfits(rows.select("other"), shape).count() == 0
+
+
 def test_reported_types():
     assert SourceColumn("c", 21).reported_type == "INT8"
     assert SourceColumn("c", 1007).reported_type == "ARRAY"
