@@ -63,7 +63,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = later.groupBy("w._key").agg(F.collect_set(F.struct("w.start", "w.end")).alias("_spans"))
     spans = common.landed(spans.select(F.col("_key").alias("_of"), "_spans"))
     rows = docs.select("doc_id", F.col("text").alias("_text"), F.xxhash64("doc_id", "text").alias("_key"))
-    joined = rows.join(spans, F.col("_key") == F.col("_of"), "left").select("doc_id", "_text", "_spans")
+    # Spans grow with the texts, so they are shuffled at every size and never broadcast.
+    joined = rows.join(spans.hint("merge"), F.col("_key") == F.col("_of"), "left").select("doc_id", "_text", "_spans")
     plain = joined.where("_spans IS NULL").select(
         "doc_id", F.col("_text").alias("text"), F.size(F.split("_text", "\n")).cast("long").alias("n_lines"),
         F.when(F.col("_text").isNotNull(), F.lit(0).cast("long")).alias("n_removed"))
