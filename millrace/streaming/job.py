@@ -15,12 +15,13 @@ from ..functions.names import normalize_text
 from ..functions.pgtypes import NATIVE, schema_of
 from ..functions.positions import position_number
 from ..operators import bag, links, merge
-from ..operators.decode import VALUES, message_text, stage_changes
+from ..operators.decode import VALUES, message_text, stage_changes, with_header
 from ..operators.project import conform, table_changes
 from ..operators.registry import (
     IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, relation_runs,
 )
 from ..operators.report import QUARANTINE, change_error
+from ..operators.transactions import bounded_poll
 from ..shared import local_frame
 from ..sources.changelog import stream_log
 from .store import SNAPSHOT, Progress, Store
@@ -38,7 +39,8 @@ class Replication:
     """Keeps replicas of the tables of one change log.
 
     Log files must arrive in order of place. ``tables`` restricts the job to the
-    listed ones; ``tables_at_once`` of them are merged at the same time.
+    listed ones; ``tables_at_once`` of them are merged at the same time. ``max_changes`` cuts what
+    ``start`` takes into polls that end at the commit at which so many messages have been seen.
     """
 
     def __init__(
@@ -50,11 +52,13 @@ class Replication:
         profile: str = NATIVE,
         buckets: int = 16,
         tables_at_once: int = 4,
+        max_changes: int | None = None,
     ):
         self.spark = spark
         self.store = Store(spark, root, buckets)
         self.only = None if tables is None else {normalize_text(t) for t in tables}
         self.toast, self.profile, self.tables_at_once = toast, profile, tables_at_once
+        self.max_changes = max_changes
         self._registry: Registry | None = None
 
     # Starting
@@ -92,17 +96,30 @@ class Replication:
     ) -> StreamingQuery:
         """Follow the log; by default everything available is taken and the query ends."""
         stream = stream_log(self.spark, log_path, max_files)
-        writer = stream.writeStream.foreachBatch(lambda rows, _: self.apply(rows))
+        writer = stream.writeStream.foreachBatch(lambda rows, _: self.take(rows))
         writer = writer.option("checkpointLocation", checkpoint or f"{self.store.root}/checkpoint")
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
+    def take(self, rows: DataFrame) -> Progress:
+        """Merge one delivery, in polls of bounded size if ``max_changes`` says so."""
+        while self.max_changes:
+            before = self.store.last().confirmed_seq
+            ahead = rows.where(F.col("seq") > before)
+            if self.apply(bounded_poll(ahead, self.max_changes)).confirmed_seq == before:
+                break
+        return self.apply(rows)  # all of it, or the open transaction at its end
+
     # One poll
 
     def apply(self, rows: DataFrame) -> Progress:
         """Merge one poll. Rows already confirmed are ignored, so a poll may be repeated."""
         last = self.store.last()
         version = last.version + 1
-        staged = stage_changes(rows.where(F.col("seq") > last.confirmed_seq))
+        fresh = rows.where(F.col("seq") > last.confirmed_seq)
+        if self.only is not None:
+            self._learn(fresh, version)
+            fresh = self._listed(fresh)
+        staged = stage_changes(fresh)
         self.store.write(staged.sortWithinPartitions("part", "relid", "seq"), "staged", version)
 
         window = self.store.read("staged", STAGED, list(range(last.pending_from, version + 1)))
@@ -121,7 +138,7 @@ class Replication:
         ).first()
         if facts.fresh == 0:
             return last
-        if facts.relations:
+        if facts.relations and self.only is None:
             self._learn(window.where(F.col("op") == wire.RELATION), version)
         if facts.commit is None:
             progress = Progress(
@@ -151,6 +168,7 @@ class Replication:
             version, cut, facts.commit.lsn, last.snapshot_lsn,
             version + 1 if still_open is None else still_open,
             {**last.tables, **{t: version for t in done if t}},
+            ["quarantine", *[self.store.log_name("changelog", s.name) for s in shapes]],
         )
         self.store.commit(progress)
         return progress
@@ -165,6 +183,13 @@ class Replication:
             self.store.write(points, "registry", version)
             self._registry = None
 
+    def _listed(self, rows: DataFrame) -> DataFrame:
+        """Rows without those of other tables: told by their headers, before anything is decoded."""
+        registry = self.registry()
+        others = registry.versions.where(~F.col("name").isin(*self.only) if self.only else F.lit(True))
+        others = others.select("relid", "from_seq", "to_seq")
+        return bind(with_header(rows), others, registry.small, how="left_anti").select("seq", "lsn", "data")
+
     def registry(self) -> Registry:
         if self._registry is None:
             # Definitions of a poll that died are the same when it is repeated.
@@ -331,18 +356,30 @@ class Replication:
 
 
 def latest_rows(
-    spark: SparkSession, feed_path: str, feed_schema: T.StructType, shape: TableShape, target: str
+    spark: SparkSession, feed_path: str, feed_schema: T.StructType, shape: TableShape, target: str,
+    toast: str = merge.KEEP,
 ) -> StreamingQuery:
     """Newest row per key as a streaming aggregation over a table's change log.
 
-    For tables whose keys fit the state store; the result is replaced at every trigger.
+    For tables whose keys fit the state store. Every trigger writes a new version, which
+    ``read_latest`` shows once it is whole. A value left out as unchanged is the last one the log holds
+    for that key; null where it holds none, or only under a key the row had before. The files are followed as
+    they are: start it on logs whose polls have all finished.
     """
     feed = spark.readStream.schema(feed_schema).parquet(feed_path)
-    net = merge.net_changes(merge.keyed_events(feed, shape), shape, merge.NULL)
+    net = merge.net_changes(merge.keyed_events(feed, shape), shape, toast)
 
-    def publish(rows: DataFrame, _: int) -> None:
-        merge.live_rows(rows, shape).write.mode("overwrite").parquet(f"{target}/rows")
+    def publish(rows: DataFrame, batch: int) -> None:
+        merge.live_rows(rows, shape).write.mode("overwrite").parquet(f"{target}/rows/version={batch}")
+        done = local_frame(spark, [{"version": batch}], "version bigint").coalesce(1)
+        done.write.mode("append").parquet(f"{target}/done")
 
     writer = net.writeStream.outputMode("complete").foreachBatch(publish)
     writer = writer.option("checkpointLocation", f"{target}/checkpoint")
     return writer.trigger(availableNow=True).start()
+
+
+def read_latest(spark: SparkSession, target: str) -> DataFrame:
+    """The newest whole version that ``latest_rows`` has written."""
+    newest = spark.read.schema("version bigint").parquet(f"{target}/done").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{target}/rows/version={newest}")

@@ -16,7 +16,7 @@ from ..shared import local_frame
 
 PROGRESS = (
     "version bigint, confirmed_seq bigint, confirmed_lsn string, snapshot_lsn string, "
-    "pending_from bigint, tables map<string,bigint>"
+    "pending_from bigint, tables map<string,bigint>, logs array<string>"
 )
 MANIFEST = "bucket int, version bigint, layout string"
 SNAPSHOT = "snapshot"
@@ -24,7 +24,8 @@ SNAPSHOT = "snapshot"
 
 @dataclass(frozen=True)
 class Progress:
-    """How far the replica has come. ``tables`` maps a table to its manifest."""
+    """How far the replica has come. ``tables`` maps a table to its manifest; ``logs`` names the row
+    files of this version that count."""
 
     version: int = 0
     confirmed_seq: int = -1
@@ -32,6 +33,7 @@ class Progress:
     snapshot_lsn: str | None = None
     pending_from: int = 1
     tables: dict[str, int] = field(default_factory=dict)
+    logs: list[str] = field(default_factory=list)
 
 
 class Store:
@@ -82,15 +84,24 @@ class Store:
         self, kind: str, schema: T.StructType | str, versions: list[int] | None = None,
         table: str | None = None,
     ) -> DataFrame:
-        """Rows of some versions, or of all finished ones; ``version`` is the last column."""
+        """Rows of some versions, or of all whose progress row lists them; ``version`` is the last column.
+
+        Files that a died poll left are not listed, whatever took its version number afterwards.
+        """
         whole = self.path(kind, table=table)
         fields = self._schema(schema) if isinstance(schema, str) else schema
         fields = T.StructType([*fields.fields, T.StructField("version", T.LongType())])
         reader = self.spark.read.schema(fields).option("basePath", whole)
         if versions is None:
-            return reader.parquet(whole).where(F.col("version") <= self.last().version)
+            listed = self.progress().where(F.array_contains("logs", self.log_name(kind, table)))
+            rows = reader.parquet(whole)
+            return rows.join(listed.select("version"), "version", "left_semi").select(*rows.columns)
         return reader.parquet(*[self.path(kind, v, table) for v in versions])
 
+    @staticmethod
+    def log_name(kind: str, table: str | None = None) -> str:
+        return f"{kind}/{table}" if table else kind
+
     # Table contents
 
     def manifest(self, table: str, version: int | None) -> list[tuple[int, int, str]]:

@@ -44,8 +44,11 @@ CONVERSATIONS_COLUMNS = [
     SourceColumn("role", 1043), SourceColumn("text", 25),
 ]
 LINEITEM_COLUMNS = [
-    SourceColumn("l_orderkey", 20, is_key=True), SourceColumn("l_linenumber", 23, is_key=True),
-    SourceColumn("l_returnflag", 1043, is_key=True), SourceColumn("l_linestatus", 1043, is_key=True),
+    SourceColumn(name, oid, is_key=True) for name, oid in [
+        ("l_orderkey", 20), ("l_partkey", 20), ("l_suppkey", 20), ("l_linenumber", 23), ("l_quantity", 701),
+        ("l_extendedprice", 701), ("l_discount", 701), ("l_tax", 701), ("l_returnflag", 1043),
+        ("l_linestatus", 1043), ("l_shipdate", 1114),
+    ]
 ]
 
 
@@ -196,7 +199,7 @@ def lineitem_log(spark: SparkSession, sf: str) -> DataFrame:
     )
     n = F.col("n")
     whole = [enc.text_value(F.col(c.name)) for c in LINEITEM_COLUMNS]
-    changed = [*whole[:3], enc.text_value(F.lit("X"))]
+    changed = [enc.text_value(F.lit("X")) if c.name == "l_linestatus" else v for c, v in zip(LINEITEM_COLUMNS, whole)]
     opening = emit(spark.range(1), F.lit(0).cast("bigint"), [
         (0, F.lit(True), enc.begin(F.lit(BASE_POSITION))),
         (1, F.lit(True), enc.relation(LINEITEM, "public", "lineitem", "f", LINEITEM_COLUMNS)),

@@ -8,7 +8,8 @@ from millrace.functions import wire
 from millrace.functions.positions import position_number
 from millrace.shared import shared_folder
 from millrace.sources.changelog import stream_log
-from millrace.streaming.job import Replication, latest_rows
+from millrace.operators.transactions import running_count
+from millrace.streaming.job import Replication, latest_rows, read_latest
 
 from . import logs
 
@@ -85,13 +86,14 @@ def progress_read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    """The confirmed place after every poll, with the commits of the log it passed."""
+    """The confirmed place after every poll against the commits up to it: one closes every block of keys."""
     job, path = _orders_job(spark, sf, files=2, shift=4004, max_files=1)
     commits = spark.read.parquet(path).where(wire.is_type(F.col("data"), wire.COMMIT))
-    polls = job.progress().select("version", "confirmed_seq")
-    passed = polls.join(commits.select("seq"), F.col("seq") <= F.col("confirmed_seq"), "left")
-    counts = passed.groupBy("version").agg(F.count("seq").alias("commits"))
-    return counts.agg(F.max("commits").alias("commits"), F.bool_and(F.col("commits") >= 0).alias("sound"))
+    counted = running_count(commits.select("seq"), F.lit(True), "commits")
+    polls = job.progress().where("confirmed_seq >= 0").select("version", F.col("confirmed_seq").alias("seq"))
+    passed = polls.join(counted, "seq", "left")
+    sound = F.coalesce(F.col("seq") == F.col("commits") * logs.BLOCK * 8 - 1, F.lit(False))
+    return passed.agg(F.max("commits").alias("commits"), F.bool_and(sound).alias("sound"))
 
 
 @query
@@ -141,4 +143,4 @@ def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     feed = job.change_log("orders").drop("version")
     stream = latest_rows(spark, job.store.path("changelog", table=shape.name), feed.schema, shape, target)
     stream.awaitTermination()
-    return spark.read.parquet(f"{target}/rows")
+    return read_latest(spark, target)
