@@ -23,8 +23,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents inside the mix: up to where the first source runs out, at tempered weights."""
-    return mixing.in_mix(docs)
+    """All documents, with their place in the mix at tempered weights (mix_slot, mix_row)."""
+    return mixing.ordered(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ released block with the earliest deadline goes out, so after any number of slots
 sent between w t - 1 and w t + 1 blocks, exclusively. Weights are whole parts of ``period`` slots; the schedule repeats
 after a period, so it is computed once per period from the weights alone and joined to the blocks.
 
-The mix ends at the first slot whose source has no block left: up to there the weights hold. Later
-blocks keep their slot and are marked as outside the mix.
+Every block of a weighted source has a slot. A source that is used up leaves the schedule: its later slots are passed
+over, and the others go on at their weights to one another, so slots order all rows and drop none (``ordered``). ``in_mix`` marks
+the rows before the first slot that is passed over: up to there the weights of all sources hold.
 
 Defined results: a null source is a source of its own; a source without a positive weight has no slot; a weighted source
 without rows is left out; rows without doc_id and repeated rows count as rows; an empty table gives no rows.
@@ -80,6 +81,15 @@ def _plan(docs: DataFrame, weights: DataFrame | None, block_rows: int, period: i
     return common.landed(sized.withColumn("ends", F.lit(ends.first()["ends"]).cast("long"))), slots
 
 
+def _blocks(ranked: DataFrame, sized: DataFrame, block_rows: int) -> DataFrame:
+    """Add parts, place, ends, block and row (within the block) to rows with their rank in the source."""
+    columns = [F.col(f"r.{c}") for c in ranked.columns if c != "rank"]
+    return ranked.alias("r").join(
+        common.bounded(sized, SOURCES).alias("z"), F.col("r.source").eqNullSafe(F.col("z.source")), "left").select(
+        *columns, "z.parts", "z.place", "z.ends",
+        F.floor(F.col("r.rank") / block_rows).alias("block"), (F.col("r.rank") % block_rows).cast("int").alias("row"))
+
+
 def _slot(blocks: DataFrame, slots: DataFrame) -> DataFrame:
     """Add ``slot`` to rows with place, parts, block. The schedule has ``period`` rows, whatever the data."""
     turn = F.col("l.block") % F.col("l.parts")
@@ -98,10 +108,7 @@ def mixed(
     rows = docs.select("doc_id", "source")
     sized, slots = _plan(rows, weights, block_rows, period, temperature)
     ranked = common.positions(rows, "source", [F.col("doc_id")], "rank")
-    blocks = ranked.alias("r").join(
-        common.bounded(sized, SOURCES).alias("z"), F.col("r.source").eqNullSafe(F.col("z.source")), "left").select(
-        "r.doc_id", "r.source", "z.parts", "z.place", "z.ends",
-        F.floor(F.col("r.rank") / block_rows).alias("block"), (F.col("r.rank") % block_rows).cast("int").alias("row"))
+    blocks = _blocks(ranked, sized, block_rows)
     dealt = _slot(blocks.where("place IS NOT NULL"), slots)
     first = F.floor(F.col("block") * F.col("length") / F.col("parts"))
     last = F.ceil((F.col("block") + 1) * F.col("length") / F.col("parts"))
@@ -115,8 +122,21 @@ def mixed(
         F.lit(False).alias("in_mix")))
 
 
+def ordered(
+    docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
+    period: int = PERIOD, temperature: float = TEMPERATURE,
+) -> DataFrame:
+    """All rows of ``docs`` with a weighted source, with all their columns, and ``mix_slot`` and ``mix_row``: their place in
+    the order of the mix. Only sources that are given no positive weight are left out."""
+    sized, slots = _plan(docs.select("doc_id", "source"), weights, block_rows, period, temperature)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "source")
+    blocks = _blocks(common.positions(rows, "source", [F.col("doc_id")], "rank"), sized, block_rows)
+    return _slot(blocks.where("place IS NOT NULL"), slots).select(
+        "doc.*", F.col("slot").alias("mix_slot"), F.col("row").alias("mix_row"))
+
+
 def in_mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` inside the mix, with all their columns. The last row taken from each source
+    """The rows of ``docs`` before the first source runs out, with all their columns. The last row taken from each source
     is found first; rows up to it are then kept where they stand, so texts are not shuffled."""
     marked = mixed(docs, **options)
     sizes = docs.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(common.PER_BUCKET)).cast("long").alias("_parts"))

@@ -69,6 +69,27 @@ def test_mix_given_weights_and_edges(spark):
     assert mixing.mixed(repeated, block_rows=1).count() == 100
 
 
+def test_mix_stage_keeps_all_rows_beside_a_rare_source(spark):
+    """A hot and a five-row source against a mix dealt slot by slot, in which empty sources are passed over."""
+    counts = {"hot": 3000, "b": 400, None: 70, "rare": 5}
+    docs = sourced(spark, counts)
+    out = corpus_pipeline.mix(spark, docs, SF)
+    got = out.collect()
+    assert out.columns[:3] == docs.columns and sorted(r["doc_id"] for r in got) == list(range(sum(counts.values())))
+    assert mixing.in_mix(docs).count() < 3475
+    small = mixing.ordered(docs, block_rows=4, period=64).collect()
+    weight = {r["source"]: r["weight"] for r in mixing.mixed(docs, block_rows=4, period=64).collect()}
+    names = sorted(counts, key=lambda s: (s is not None, s))
+    left, want = dict(counts), []
+    for i in brute_schedule([round(weight[s] * 64) for s in names], 4000):
+        want += [names[i]] * min(4, left[names[i]])
+        left[names[i]] -= min(4, left[names[i]])
+    assert not any(left.values())
+    assert [r["source"] for r in sorted(small, key=lambda r: (r["mix_slot"], r["mix_row"]))] == want
+    assert len({(r["mix_slot"], r["mix_row"]) for r in small}) == len(small) == 3475
+    assert mixing.ordered(docs.limit(0)).count() == 0
+
+
 def test_mix_runs_no_python(spark):
     for df in (mixing.mixed(sourced(spark, {"a": 9, "b": 3})),
                spaced_seeds.contaminated(frame(spark, [(1, "a b")]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"))):
