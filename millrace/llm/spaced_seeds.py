@@ -4,7 +4,8 @@ A seed hashes the words of a window at fixed places and ignores the others. The
 words of which at most two were substituted hold a window of one mask that was not touched. Windows
 of texts and of benchmark items with equal hashes are hits. Around a hit, text and item are compared word by word on
 the same diagonal: they overlap if some 13 consecutive places agree in at least 80 %. For an item of 5 to 12 words all of
-its places take the part of the 13, and its seeds are five whole words.
+its places take the part of the 13; its seeds are four words, under masks that for each length leave some window
+untouched wherever the allowed fifth of its words was substituted.
 
 Words are runs of ASCII letters, digits and all non-ASCII characters, after lower().
 Defined results: null and empty texts overlap with nothing; items that are null or have under five words are
@@ -20,7 +21,9 @@ from pyspark.sql import functions as F
 from . import common
 
 MASKS = ("100101111", "111011001")
-SHORT_MASK = "11111"
+# Masks of short items and the lengths that need them.
+SHORT_MASKS = {"1111": (5, 6, 7, 8, 9, 10, 11, 12), "11011": (5, 6, 7, 10, 11), "10111": (5,), "11101": (5,)}
+LEAST = 5  # words of the shortest item
 OVERLAP, SHARE = 13, 0.8
 ITEM_WINDOWS = 1_000_000  # benchmark windows broadcast at once; a larger benchmark is taken in several turns
 ITEMS = 50_000  # items (and 50 times as many words) up to which their words are broadcast
@@ -47,13 +50,15 @@ def _previous(words: Column, at: Column, mask: Column, masks: tuple[str, ...]) -
 
 
 def _item_windows(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    short = F.size("words") < OVERLAP
+    fits = reduce(
+        lambda e, m: e.when(F.col("w.mask") == m[0], F.size("words").isin(*SHORT_MASKS[m[1]]) if m[1] in SHORT_MASKS else F.size("words") >= OVERLAP),
+        enumerate(masks), F.when(F.lit(False), F.lit(False)))
     return (
         items.select("item_id", "words", F.posexplode("words").alias("at", "word"))
         .select("item_id", "words", "at", _windows(F.col("words"), F.col("at"), masks))
         .select("item_id", "at", F.col("w.mask").alias("mask"), F.col("w.h").alias("h"),
                 _previous(F.col("words"), F.col("at"), F.col("w.mask"), masks).alias("previous"),
-                (short == (F.col("w.mask") == len(MASKS))).alias("fits"))
+                fits.alias("fits"))
         .where("h IS NOT NULL AND fits").drop("fits"))
 
 
@@ -76,12 +81,12 @@ def _agrees() -> Column:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(_key, item_id, pos) of verified overlaps, several per pair possible. ``_key`` is ``row_key``."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= len(SHORT_MASK))
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= LEAST)
     items = common.landed(items)
     facts = items.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words"),
-        F.coalesce(F.max(F.size("words") < OVERLAP), F.lit(False)).alias("short")).first()
-    masks = (*MASKS, SHORT_MASK) if facts["short"] else MASKS
+        F.collect_set(F.when(F.size("words") < OVERLAP, F.size("words"))).alias("short")).first()
+    masks = (*MASKS, *(mask for mask, lengths in SHORT_MASKS.items() if not set(lengths).isdisjoint(facts["short"])))
     theirs = items.select("item_id", F.col("words").alias("theirs"))
     small = facts["n"] <= ITEMS and facts["words"] <= 50 * ITEMS
     seeds = _item_windows(items, masks)

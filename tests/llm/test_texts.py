@@ -165,6 +165,21 @@ def test_overlaps_match_brute_force(spark):
     assert spaced_seeds.clean(frame(spark, texts), bench.limit(0)).count() == len(texts)
 
 
+def test_short_items_are_found_under_all_allowed_substitutions(spark):
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(5, 13)]
+    texts = []
+    for n, item in items:
+        w = item.split()
+        for count in (n // 5, n // 5 + 1):
+            for hurt in itertools.combinations(range(n), count):
+                part = ["other" if k in hurt else x for k, x in enumerate(w)]
+                around = prose(len(texts), 6) if len(texts) % 3 else []
+                texts.append((len(texts), " ".join(around[:3] + part + around[3:])))
+    got = spaced_seeds.contaminated(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["items"] for r in got} == {i: [k for k, t in items if brute_overlap(text, t)] for i, text in texts}
+    assert sum(r["contaminated"] for r in got) == 5 + 6 + 7 + 8 + 9 + 45 + 55 + 66
+
+
 def test_language_lattice_sums_all_cuts():
     lattice = lang_pieces.Lattice(["a", "b", "ab", "ba", "aba"])
     p = np.array([[0, 0], [0.01, 0.02], [0.3, 0.1], [0.2, 0.2], [0.1, 0.3], [0.2, 0.1], [0.1, 0.2]])
