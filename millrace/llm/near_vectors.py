@@ -5,8 +5,11 @@ orders: vectors sorted by the signs of random projections are compared within st
 in the order. Each round then joins the neighbours of every vector, and a sample of those that list it, with one
 another, and keeps the best ``neighbours`` of each vector. A vector whose whole list is above the threshold is
 saturated: its list is too short. For these the list is enlarged to all saturated vectors of the same
-component, compared tile by tile; of that enlarged list only the number of links is written, never the pairs.
-A sample of vectors is compared with all others to audit recall; below ``recall`` the graph is refined by another round.
+label, compared tile by tile; of that enlarged list only the number of links is written, never the pairs, and between tiles
+of two components one bond for each linked vector. A tile is the ball around its mean; tiles of two components whose balls are too far apart
+for a link are passed over.
+A sample of vectors is compared with all others to audit recall; below ``recall`` the graph is refined by another round, and
+after the last round all vectors of a label are compared tile by tile.
 All links are confirmed in double precision.
 
 Defined results: a vector that is null or empty, has null or non-finite components or zero length, or has a null label
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -179,25 +182,105 @@ def _tile_counts(threshold: float):
         linked = x[left] @ x[right].T >= threshold
         linked &= node[left][:, None] != node[right][None, :]
         n_left = linked @ weight[right]
-        out_node, out_n = node[left], n_left
+        bond_left, bond_right = _bonds(linked, node[left], node[right])
+        out_node, out_n, out_bond = node[left], n_left, bond_left
         if (side != 0).any():  # two different tiles: count both ways
             out_node = np.concatenate([node[left], node[right]])
             out_n = np.concatenate([n_left, weight[left] @ linked])
-        return pa.table({"node": pa.array(out_node), "n": pa.array(out_n.astype(np.int64))})
+            out_bond = np.concatenate([bond_left, bond_right])
+        return pa.table({"node": pa.array(out_node), "n": pa.array(out_n.astype(np.int64)), "bond": pa.array(out_bond)})
     return run
 
 
-def _saturated_counts(saturated: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(node, n): links of saturated vectors among the saturated of their component. saturated: node, component."""
-    sizes = saturated.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
-    own = F.pmod(F.xxhash64("node"), "tiles").cast("int")
-    dealt = saturated.join(sizes, "component").withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node",
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
-    full = dealt.join(classes.select("node", "weight", "unit"), "node")
-    return full.groupBy("component", "i", "j").applyInArrow(_tile_counts(threshold), "node long, n long").groupBy("node").agg(
-        F.sum("n").alias("n"))
+def _bonds(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector of two tiles the smallest node that links of these tiles reach."""
+    far = np.iinfo(np.int64).max
+    while True:
+        low = np.minimum(left, np.where(linked, right[None, :], far).min(axis=1, initial=far))
+        high = np.minimum(right, np.where(linked, low[:, None], far).min(axis=0, initial=far))
+        if (low == left).all() and (high == right).all():
+            return low, high
+        left, right = low, high
+
+
+def _ball(table: pa.Table) -> pa.Table:
+    """Mean direction of a tile and the largest angle to it."""
+    x = _matrix(table["unit"], np.float64)
+    mean = x.sum(axis=0)
+    size = np.sqrt(mean @ mean)
+    centre = mean / size if size > 1e-9 else x[0]
+    radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+    return pa.table({**{c: table[c][:1] for c in ("grp", "component", "own")}, "centre": pa.array([centre.tobytes()], pa.binary()), "radius": [radius]})
+
+
+def _close_tiles(threshold: float):
+    """Pairs of tiles of different components whose balls may hold a link."""
+    def run(table: pa.Table) -> pa.Table:
+        component, own, radius, side = (table[c].to_numpy() for c in ("component", "own", "radius", "side"))
+        x = _matrix(table["centre"], np.float64)
+        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+        angle = np.arccos(np.clip(x[left] @ x[right].T, -1, 1))
+        near = angle <= radius[left][:, None] + radius[right][None, :] + np.arccos(np.clip(threshold, -1, 1)) + MARGIN
+        one, two = component[left][:, None], component[right][None, :]
+        near &= one < two if not (side != 0).any() else one != two
+        i, j = np.nonzero(near)
+        i, j = left[i], right[j]
+        return pa.table({"c1": component[i], "o1": own[i], "c2": component[j], "o2": own[j]})
+    return run
+
+
+def _paired(rows: DataFrame, group: list[str], own: Column) -> DataFrame:
+    """Rows dealt to all pairs (i, j) of tiles of their group: side 0 in the tile itself, else 1 or 2. Rows have ``tiles``."""
+    return rows.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        *group, F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+        F.when(F.col("_own") == F.col("_other"), 0).when(F.col("_own") < F.col("_other"), 1).otherwise(2).alias("side"),
+        *[c for c in rows.columns if c not in (*group, "tiles")])
+
+
+def _placed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members (node, component) with their class and tile (``own`` of ``tiles`` of the component)."""
+    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    return members.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int")).join(
+        classes.select("node", "grp", "weight", "unit"), "node")
+
+
+def _inside(placed: DataFrame, threshold: float) -> DataFrame:
+    """(node, n, bond): links of vectors inside their component."""
+    full = _paired(placed.select("component", "tiles", "own", "node", "weight", "unit"), ["component"], F.col("own"))
+    return full.groupBy("component", "i", "j").applyInArrow(_tile_counts(threshold), "node long, n long, bond long")
+
+
+def _across(placed: DataFrame, threshold: float) -> DataFrame | None:
+    """(node, n, bond): links between components of one label; None if no two can be linked."""
+    if placed.select("grp", "component").distinct().groupBy("grp").count().where("count > 1").isEmpty():
+        return None
+    balls = common.landed(placed.groupBy("grp", "component", "own").applyInArrow(
+        _ball, "grp long, component long, own int, centre binary, radius double"))
+    sizes = balls.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    dealt = _paired(balls.join(sizes, "grp"), ["grp"], F.pmod(F.xxhash64("component", "own"), "tiles").cast("int"))
+    close = common.landed(dealt.groupBy("grp", "i", "j").applyInArrow(
+        _close_tiles(threshold), "c1 long, o1 int, c2 long, o2 int"))
+    sides = close.select("*", F.explode(F.array(
+        F.struct(F.lit(1).alias("side"), F.col("c1").alias("component"), F.col("o1").alias("own")),
+        F.struct(F.lit(2).alias("side"), F.col("c2").alias("component"), F.col("o2").alias("own")))).alias("s"))
+    full = sides.select("c1", "o1", "c2", "o2", "s.*").join(
+        placed.select("component", "own", "node", "weight", "unit"), ["component", "own"])
+    return common.landed(full.select("c1", "o1", "c2", "o2", "side", "node", "weight", "unit").groupBy("c1", "o1", "c2", "o2").applyInArrow(
+        _tile_counts(threshold), "node long, n long, bond long").where("n > 0"))
+
+
+def _exact(classes: DataFrame, threshold: float) -> DataFrame:
+    """(node, n_links, component) of every class, by comparing all vectors of a label tile by tile."""
+    found = common.landed(_inside(_placed(classes.select("node", F.col("grp").alias("component")), classes), threshold).where("n > 0"))
+    joined = common.components(found.select(F.col("node").alias("a"), F.col("bond").alias("b")))
+    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
+    return _named(classes, counts, joined)
+
+
+def _named(classes: DataFrame, counts: DataFrame, joined: DataFrame) -> DataFrame:
+    out = classes.select("node", "weight").join(counts, "node", "left").join(joined, "node", "left")
+    return common.landed(out.select(
+        "node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")))
 
 
 def _links(graph: DataFrame, classes: DataFrame, threshold: float, most: int) -> DataFrame:
@@ -216,10 +299,15 @@ def _links(graph: DataFrame, classes: DataFrame, threshold: float, most: int) ->
         is_full.withColumnRenamed("node", "b").withColumnRenamed("full", "fb"), "b", "left")
     listed = marked.where("NOT (coalesce(fa, false) AND coalesce(fb, false))").join(
         classes.select(F.col("node").alias("b"), "weight"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("n"))
-    counts = listed.unionByName(_saturated_counts(saturated, classes, threshold)).groupBy("node").agg(F.sum("n").alias("n"))
-    out = classes.select("node", "weight").join(counts, "node", "left").join(joined, "node", "left")
-    return common.landed(out.select(
-        "node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component")))
+    placed = _placed(saturated, classes)
+    counts = listed.unionByName(_inside(placed, threshold).select("node", "n"))
+    across = _across(placed, threshold)
+    if across is not None:
+        counts = counts.unionByName(across.select("node", "n"))
+        bonds = across.select(F.col("node").alias("a"), F.col("bond").alias("b")).where("a <> b")
+        if not bonds.isEmpty():
+            joined = common.components(found.select("a", "b").union(bonds))
+    return _named(classes, counts.groupBy("node").agg(F.sum("n").alias("n")), joined)
 
 
 def audit(classes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, audited: int = AUDITED) -> float:
@@ -270,6 +358,8 @@ def near_duplicates(
         links = _links(graph, classes, threshold, neighbours)
         if audit(classes, links, threshold) >= recall:
             break
+    else:
+        links = _exact(classes, threshold)
     named = rows.join(links, "node", "left")
     smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("component_id"))
     out = named.join(smallest, "component", "left").select(

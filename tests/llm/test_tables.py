@@ -169,6 +169,36 @@ def test_near_vectors_match_brute_force(spark):
     assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in got)
 
 
+def cap_groups(sizes, apart, spread, seed=5):
+    """Groups of vectors around centres whose cosine is about ``apart``."""
+    rng, rows = np.random.default_rng(seed), []
+    one, two = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+    for g, n in enumerate(sizes):
+        centre = np.cos(g * np.arccos(apart)) * one + np.sin(g * np.arccos(apart)) * two
+        for k in range(n):
+            v = centre + rng.standard_normal(32) * spread / np.sqrt(32)
+            rows.append((g * 1000 + k, v.tolist(), 0))
+    return rows
+
+
+def test_near_vectors_between_dense_groups(spark):
+    """Every vector has ten nearer neighbours in its own group, and still links across."""
+    rows = cap_groups([12, 12], 0.986, 0.055) + [(i + 5000, v, 1) for i, v, _ in cap_groups([300, 300, 300], 0.985, 0.05)]
+    got = near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    want = brute_links(rows)
+    assert len({c for _, _, c in want}) == 2
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == Counter(want)
+
+
+def test_near_vectors_below_recall_are_compared_exactly(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "audit", lambda *_: 0.0)
+    monkeypatch.setattr(near_vectors, "MOST_ROUNDS", 1)
+    rows = cap_groups([300, 40, 5], 0.98, 0.06) + [(9000 + k, [float(k == i) for i in range(32)], 0) for k in range(9)]
+    got = near_vectors.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), neighbours=2, rounds=1).collect()
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == Counter(brute_links(rows))
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert near_vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
