@@ -2,8 +2,11 @@
 
 A page is cut into blocks at block-level tags. Blocks inside menus, footers, forms and the like, or inside
 elements whose class, id or role names such a part, are bad. The first pass decides the others by link
-density, length and density of stop words; short blocks and those in between stay open. In the second pass open
-blocks inherit the label of the nearest decided neighbours inside the same article.
+density, length and density of stop words; short blocks, those in between and those without stop words stay open. In the second pass open
+blocks inherit the label of the nearest decided neighbours inside the same article. All blocks of a page take part; an article
+only counts as good at its edges, and not even so if more good text stands outside of articles than text inside. Where good
+blocks hold less text than the other long ones, the lists of stop words do not fit the page, and long
+blocks are judged by length and link density alone.
 
 Defined results: null and empty pages give empty text; unclosed and stray tags are tolerated; character references are
 decoded as HTML5 says; pages without any decided block keep their open blocks; repeated rows are rows like others.
@@ -52,6 +55,7 @@ _TOKEN = re.compile(
     r"|(?P<end>/)?(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|[!?/][^>]*>)", re.S | re.I)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[^\W\d_]+").findall
+_WIDE = re.compile(r"[\u2e80-\uffdc\U00020000-\U0003ffff]").findall  # a character that says as much as two letters
 
 
 def _is_beside(tag: str, attrs: str, in_article: bool) -> bool:
@@ -128,20 +132,20 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
 
 
 def first_pass(text: str, links: int, article: int) -> str:
-    """good, bad, or open: short (nothing known) or near (some stop words)."""
+    """good, bad, or open: short (nothing known), near (some stop words) or plain (long, hardly any)."""
     if links >= LINKS * len(text):
         return "bad"
-    if len(text) < SHORT:
+    if len(text) + (0 if text.isascii() else len(_WIDE(text))) < SHORT:
         return "bad" if links and not article else "short"
     found = _WORDS(text.lower())
     density = sum(map(STOP_WORDS.__contains__, found)) / max(1, len(found))
     if density >= STOP_GOOD:
         return "good"
-    return "near" if density >= STOP_SOME or article else "bad"
+    return "near" if density >= STOP_SOME or article else "plain"
 
 
 def second_pass(labels: list[str], articles: list[int]) -> list[bool]:
-    """Whether each block is kept. The edges of an article count as good, those of a page as bad."""
+    """Whether each block is kept. The edges of an article count as good, those of a page and of teasers (below 0) as bad."""
     n = len(labels)
     before: list[tuple[int, bool] | None] = [None] * n
     after: list[tuple[int, bool] | None] = [None] * n
@@ -157,12 +161,12 @@ def second_pass(labels: list[str], articles: list[int]) -> list[bool]:
         if label in ("good", "bad"):
             kept.append(label == "good")
             continue
-        edge = bool(articles[i]) or not decided
+        edge = articles[i] > 0 or not decided
         left = before[i] or (-1, edge)
         right = after[i] or (n, edge)
         if left[1] == right[1]:
             kept.append(left[1])
-        elif label == "near" or articles[i]:
+        elif label == "near" or articles[i] > 0:
             kept.append(True)
         else:
             kept.append(left[1] if i - left[0] < right[0] - i else right[1])
@@ -171,9 +175,17 @@ def second_pass(labels: list[str], articles: list[int]) -> list[bool]:
 
 def extract(page: str | None) -> str:
     found = blocks(page or "")
-    if any(x[2] for x in found):
-        found = [x for x in found if x[2]]  # a page that marks its article has it there
-    kept = second_pass([first_pass(*x) for x in found], [x[2] for x in found])
+    articles = [x[2] for x in found]
+    labels = [first_pass(*x) for x in found]
+    sizes = [len(x[0]) for x in found]
+    outside = sum(n for n, a, label in zip(sizes, articles, labels, strict=True) if not a and label == "good")
+    if any(articles) and outside > sum(n for n, a, label in zip(sizes, articles, labels, strict=True) if a and label != "bad"):
+        articles = [-a for a in articles]  # teasers beside the text
+        labels = [first_pass(text, links, 0) for text, links, _ in found]
+    good = sum(n for n, label in zip(sizes, labels, strict=True) if label == "good")
+    if good < sum(n for n, label in zip(sizes, labels, strict=True) if label in ("near", "plain")):
+        labels = ["good" if label in ("near", "plain") else label for label in labels]
+    kept = second_pass(labels, articles)
     return " ".join(x[0] for x, keep in zip(found, kept, strict=True) if keep)
 
 

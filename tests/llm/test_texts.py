@@ -284,6 +284,25 @@ def test_main_text_of_a_page(page, want):
     assert main_text.extract(page) == want
 
 
+PROSE = "The house that is in the wood was not for us and it is old. " * 4
+ITALIAN = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, quanto a dir qual era cosa dura esta selva selvaggia. " * 2
+RUSSIAN = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 2
+CHINESE = "道可道,非常道。名可名,非常名。無名天地之始;有名萬物之母。故常無欲以觀其妙。" * 2
+CODE = "int main(void) { printf(value); return 0; } struct node { struct node *next; int key; };"
+LINKED = "<div><a href=a>First link of a list</a> <a href=b>second link of a list</a></div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"{LINKED}<div>{PROSE}</div><div>{PROSE}</div><article><a href=x>Read this too</a></article>", [PROSE, PROSE]),
+    (f"<div>{PROSE}</div><div>{PROSE}</div><article><h3>Teaser</h3><p>Short teaser</p></article>{LINKED}", [PROSE, PROSE]),
+    *[(f"{LINKED}<p>{x}</p><p>{x}</p>{LINKED}", [x, x]) for x in (ITALIAN, RUSSIAN, CHINESE, CODE)],
+    (f"{LINKED}<p>{PROSE}</p><pre>{CODE}</pre><p>{PROSE}</p>{LINKED}", [PROSE, CODE, PROSE]),
+    (f"<article><p>{RUSSIAN}</p><p>Short</p></article>{LINKED}", [RUSSIAN, "Short"]),
+])
+def test_main_text_beside_teasers_and_in_other_languages(page, want):
+    assert main_text.extract(page) == " ".join(" ".join(x.split()) for x in want)
+
+
 def test_main_text_frame(spark):
     rows = [(i, f"u{i}", p) for i, (p, _) in enumerate(PAGES)] + [(None, None, "<p>x")]
     got = main_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
