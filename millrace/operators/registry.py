@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -191,6 +191,27 @@ class Registry:
             raise ValueError(f"no relation message for table {name}")
         return TableShape(name, *facts)
 
+    def runs(self, shape: TableShape) -> list[tuple[int, int | None, TableShape]]:
+        """(from_seq, to_seq, shape) of the stretches of the log in which a table is matched in one way: full rows,
+        one key, or none. Versions of identity ``n`` lie inside or between them; their changes are skipped."""
+        if self.small:
+            mine = [v for v in self.known if v["err"] is None and _name(v) == shape.name and v["identity"] != IDENTITY_NONE]
+            said = sorted((v["from_seq"], v["identity"], [c["name"] for c in v["columns"] if c["is_key"]]) for v in mine)
+        else:
+            keys = F.transform(F.filter("columns", lambda c: c["is_key"]), lambda c: c["name"])
+            mine = self.replicated().where(F.col("name") == shape.name).select("from_seq", "identity", keys.alias("key"))
+            by_place = Window.orderBy("from_seq")
+            before = F.lag(F.struct("identity", "key")).over(by_place)
+            new = mine.withColumn("new", ~F.struct("identity", "key").eqNullSafe(before)).where("new")
+            said = sorted((r.from_seq, r.identity, list(r.key)) for r in new.collect())
+        found: list[tuple[int, str, list[str]]] = []
+        for seq, identity, key in said:
+            full = identity == IDENTITY_FULL
+            if not found or (found[-1][1] == IDENTITY_FULL) != full or not full and found[-1][2] != key:
+                found.append((seq, identity, key))
+        ends = [seq for seq, *_ in found[1:]] + [None]
+        return [(seq, end, replace(shape, identity=identity, key=key)) for (seq, identity, key), end in zip(found, ends)]
+
 
 def _name(version: dict) -> str:
     return f"{version['schema_name'] or names.DEFAULT_SCHEMA}.{version['table_name']}"

@@ -11,7 +11,7 @@ from ..functions.pgtypes import NATIVE
 from ..operators import bag, links, merge
 from ..operators.decode import decode_changes
 from ..operators.project import conform, table_changes
-from ..operators.registry import IDENTITY_FULL, IDENTITY_NONE, Registry, TableShape
+from ..operators.registry import IDENTITY_FULL, Registry, TableShape
 from ..operators.transactions import after_position, committed_only
 from ..shared import shared_folder
 
@@ -26,7 +26,8 @@ def replica(
     profile: str = NATIVE,
     key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Contents of a table: its snapshot with every committed change applied.
+    """Contents of a table: its snapshot with every committed change applied, in runs of versions that
+    are matched in one way.
 
     ``start`` is the position of the snapshot; earlier changes are left out. ``key``
     overrides the replica identity, for a table whose primary key is known from the catalog.
@@ -39,8 +40,26 @@ def replica(
     if start is not None:
         rows = after_position(rows, start)
     base = conform(snapshot, shape, profile)
-    if shape.identity == IDENTITY_NONE:
-        return base
+    runs = [(shape.first_seq, None, shape)] if key is not None else registry.runs(shape)
+    for turn, (first, end, run) in enumerate(runs):
+        if turn:
+            # Every run reads what the one before left: compute it once.
+            path = shared_folder(base.sparkSession)
+            base.write.parquet(path)
+            base = base.sparkSession.read.schema(base.schema).parquet(path)
+        mine = rows
+        if turn:
+            mine = mine.where(F.col("seq") >= first)
+        if end is not None:
+            mine = mine.where(F.col("seq") < end)
+        base = _applied(mine, base, registry, run, toast, profile)
+    return base
+
+
+def _applied(
+    rows: DataFrame, base: DataFrame, registry: Registry, shape: TableShape, toast: str, profile: str
+) -> DataFrame:
+    """The table after changes that are all matched in the way of ``shape``."""
 
     def typed(kept: Column | None = None) -> DataFrame:
         decoded = decode_changes(rows, shape.relids, kept)

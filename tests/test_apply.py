@@ -170,6 +170,28 @@ def test_identity_comes_and_goes(spark):
     assert rows(replica(m.log(spark, texts), spark.createDataFrame([], ROW), "t")) == [(2, 2, "kept")]
 
 
+@pytest.mark.parametrize("limit", [4096, 0])
+def test_identity_changes_in_a_log(spark, limit):
+    """Each change is matched as its own version says."""
+    other = [(n, o, not k, *x) if n in ("id", "n") else (n, o, k, *x) for n, o, k, *x in replay.COLUMNS]
+    steps = [
+        [m.relation(7, "t", replay.COLUMNS, "d"), m.update(7, [1, 5, "a"]), m.insert(7, [3, 3, "c"])],
+        [m.relation(7, "t", replay.COLUMNS, "f"), m.update(7, [1, 6, "a"], [1, 5, "a"], "O"), m.insert(7, [3, 3, "c"])],
+        [m.relation(7, "t", replay.COLUMNS, "n"), m.insert(7, [9, 9, "skipped"])],
+        [m.relation(7, "t", other, "d"), m.update(7, [4, 6, "z"]), m.delete(7, [None, 2, None])],
+        [m.relation(7, "t", replay.COLUMNS, "n"), m.insert(7, [9, 9, "skipped"])],
+    ]
+    base = spark.createDataFrame([(1, 0, "long"), (2, 2, "b")], ROW)
+    want = [
+        [(1, 5, "a"), (2, 2, "b"), (3, 3, "c")], [(1, 6, "a"), (2, 2, "b"), (3, 3, "c"), (3, 3, "c")],
+        [(1, 6, "a"), (2, 2, "b"), (3, 3, "c"), (3, 3, "c")], [(3, 3, "c"), (3, 3, "c"), (4, 6, "z")],
+        [(3, 3, "c"), (3, 3, "c"), (4, 6, "z")],
+    ]
+    for n in range(1, 6):
+        log = m.log(spark, [m.begin(), *sum(steps[:n], []), m.commit()])
+        assert rows(replica(log, base, "t", Registry.load(log, limit))) == sorted(want[n - 1], key=str)
+
+
 def test_key_types_are_compared_as_typed(spark):
     """The text of a key may be written differently from the stored value."""
     columns = [("id", 1700, True, ((10 << 16) | 2) + 4), ("n", 23, False)]
