@@ -63,7 +63,7 @@ def stage_changes(log: DataFrame) -> DataFrame:
     text = F.when(wrong.isNotNull() | body.isNull(), F.col("data"))
     rows = rows.select("seq", "lsn", "op", "relid", text.alias("data"), wrong.alias("wrong"), body.alias("body"))
     reason = F.coalesce("wrong", F.when(F.col("op").isin(*wire.CHANGES), F.col("err")))
-    data = F.coalesce("data", F.concat(F.lit("\\x"), F.hex("raw")))
+    data = F.coalesce("data", F.concat(F.lit("\\x"), F.lower(F.hex("raw"))))
     return _decode(rows, ["data", "wrong"]).select(
         "seq", "lsn", "op", "relid", "tag", "old", "new", "err",
         F.when(reason.isNotNull() | (F.col("op") == wire.RELATION), data).alias("data"),

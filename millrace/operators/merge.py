@@ -129,16 +129,10 @@ def _same_key(shape: TableShape, side: str) -> list[Column]:
     return [F.col(f"{side}{k}") == F.col(n) for k, n in zip(shape.key, key_columns(shape))]
 
 
-def merge(base: DataFrame, net: DataFrame, shape: TableShape) -> DataFrame:
-    """Apply net changes in one pass: each side is evaluated and shuffled once."""
-    names = [c.name for c in shape.columns]
-    left = base.select(F.struct(*names).alias("b"))
-    joined = left.join(net, _same_key(shape, "b."), "full_outer")
-    after = F.struct(
-        *[merged_column(shape, i, net, F.col(f"b.{n}")).alias(n) for i, n in enumerate(names)]
-    )
-    row = F.when(F.col("last").isNull(), F.col("b")).when(F.col("last.live"), after)
-    return joined.select(row.alias("row")).where("row is not null").select("row.*")
+def linked(net: DataFrame, shape: TableShape) -> Column | None:
+    """Whether a live key lacks a value that lies under a key its row had before; None when no column can."""
+    places = [F.col(f"c_{i}.link") for i in held_columns(shape) if f"c_{i}" in net.columns]
+    return F.col("last.live") & F.coalesce(*places).isNotNull() if places else None
 
 
 def merge_stored(base: DataFrame, net: DataFrame, shape: TableShape) -> DataFrame:

@@ -2,12 +2,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.pgtypes import NATIVE, SourceColumn, array_items, cast_text, schema_of
+from ..functions.pgtypes import (
+    ARRAYS, MOST_DIGITS, NATIVE, Digits, SourceColumn, array_items, cast_text, digit_counts, most_digits,
+    open_numeric, schema_of,
+)
 from .decode import KIND_UNCHANGED, value_kind, value_text
 from .registry import Registry, TableShape, bind
 
@@ -17,18 +22,14 @@ def table_changes(
     registry: Registry,
     shape: TableShape,
     profile: str = NATIVE,
-    broken: bool = False,
 ) -> DataFrame:
     """Changes of one table with typed ``old`` and ``new`` structs.
 
     ``unchanged`` tells per column whether the new tuple left it out as
     unchanged; ``bad`` names columns whose text does not fit the type (their value is
-    null). Both cost nothing when not selected. ``broken`` keeps unreadable messages and every
-    column of ``decoded``.
+    null). Both cost nothing when not selected.
     """
-    rows = decoded.where(F.col("relid").isin(*shape.relids))
-    if not broken:
-        rows = rows.where("err is null")
+    rows = decoded.where(F.col("relid").isin(*shape.relids)).where("err is null")
     if shape.versions == 1:
         rows = rows.where(F.col("seq") >= shape.first_seq)
         if shape.end_seq is not None:
@@ -68,7 +69,7 @@ def table_changes(
         ]
     )
     return rows.select(
-        *[c for c in decoded.columns if c not in ("relid", "old", "new", "err") or broken and c == "err"],
+        *[c for c in decoded.columns if c not in ("relid", "old", "new", "err")],
         typed("old").alias("old"), typed("new").alias("new"),
         unchanged.alias("unchanged"), bad.alias("bad"),
     )
@@ -85,6 +86,89 @@ def _fits(text: Column, column: SourceColumn, profile: str) -> Column:
     return value.isNotNull()
 
 
+# Numerics without a modifier: their values tell which type holds them
+
+
+def open_numerics(shape: TableShape, profile: str = NATIVE) -> list[SourceColumn]:
+    return [c for c in shape.columns if profile == NATIVE and c.is_open_numeric]
+
+
+def with_digits(shape: TableShape, found: dict[str, Digits]) -> TableShape:
+    return replace(shape, columns=[replace(c, digits=found.get(c.name, c.digits)) for c in shape.columns])
+
+
+def _needs(rows: DataFrame, counts: dict[str, list[Column]]) -> dict[str, Digits]:
+    """Most digits per name; several columns may count for a name. One row comes back."""
+    if not counts:
+        return {}
+    each = rows.select(*[most_digits(F.array(*found)).alias(f"d{i}") for i, found in enumerate(counts.values())])
+    most = [F.max(f"d{i}.{n}").alias(f"{n}{i}") for i in range(len(counts)) for n in Digits._fields]
+    row = each.agg(*most).first()
+    return {
+        name: Digits(row[f"whole{i}"] or 0, row[f"fraction{i}"] or 0, bool(row[f"not_finite{i}"]))
+        for i, name in enumerate(counts)
+    }
+
+
+def digits_of_changes(changes: DataFrame, shape: TableShape) -> dict[str, Digits]:
+    """Digits that the open numerics of typed changes need; ``changes`` hold them as text."""
+    counts = {}
+    for c in open_numerics(shape):
+        one = SourceColumn("", ARRAYS.get(c.oid, c.oid))
+        counts[c.name] = [
+            _digits_of_texts(F.col(f"{side}.{c.name}"), one) if c.oid in ARRAYS else digit_counts(F.col(f"{side}.{c.name}"), one)
+            for side in ("old", "new")
+        ]
+    return _needs(changes, counts)
+
+
+def _digits_of_texts(items: Column, one: SourceColumn) -> Column:
+    return most_digits(F.transform(items, lambda item: digit_counts(item, one)))
+
+
+def digits_of_rows(rows: DataFrame, shape: TableShape) -> dict[str, Digits]:
+    """The same for rows as a snapshot holds them. Whole numbers and decimals tell by their type."""
+    known, counts = {}, {}
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    for c in open_numerics(shape):
+        kind = types.get(c.name)
+        if kind is None:
+            continue
+        if isinstance(kind, T.DecimalType) and kind.precision < MOST_DIGITS:
+            known[c.name] = Digits(kind.precision - kind.scale, kind.scale)
+        elif isinstance(kind, T.IntegralType):
+            known[c.name] = Digits(19, 0)
+        elif isinstance(kind, T.ArrayType):
+            one = SourceColumn("", ARRAYS.get(c.oid, c.oid))
+            counts[c.name] = [_digits_of_texts(F.transform(c.name, lambda v: _plain_text(v, kind.elementType)), one)]
+        else:
+            counts[c.name] = [digit_counts(_plain_text(F.col(c.name), kind), c)]
+    return {**known, **_needs(rows, counts)}
+
+
+def _plain_text(value: Column, kind: T.DataType) -> Column:
+    """Text of a number, without an exponent as far as a decimal can hold it."""
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return F.coalesce(value.cast("string").try_cast("decimal(38,18)").cast("string"), value.cast("string"))
+    return value.cast("string")
+
+
+def settled(changes: DataFrame, shape: TableShape) -> DataFrame:
+    """Typed changes whose open numerics are still text, in the types that ``shape`` gives them."""
+    targets = {c.name: c.spark_type() for c in open_numerics(shape)}
+    if not targets:
+        return changes
+
+    def side(name: str) -> Column:
+        fields = [
+            F.col(f"{name}.{c.name}").try_cast(targets[c.name]).alias(c.name) if c.name in targets else F.col(f"{name}.{c.name}")
+            for c in shape.columns
+        ]
+        return F.when(F.col(name).isNotNull(), F.struct(*fields)).alias(name)
+
+    return changes.select(*[side(c) if c in ("old", "new") else c for c in changes.columns])
+
+
 def change_feed(changes: DataFrame, shape: TableShape) -> DataFrame:
     """``seq, op``, the old key and the new columns of every change, flat."""
     return changes.select(
@@ -102,24 +186,32 @@ def conform(
     A value that does not fit becomes null; ``snapshot_misfits`` lists those rows. ``keep``
     names further columns to pass along.
     """
-    have = set(rows.columns)
-    return rows.select(
-        *[
-            (F.col(f.name).try_cast(f.dataType) if f.name in have
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema_of(shape.columns, profile).fields
-        ],
-        *keep,
-    )
+    return rows.select(*[v.alias(n) for n, v in _conformed(rows, shape, profile).items()], *keep)
+
+
+def _conformed(rows: DataFrame, shape: TableShape, profile: str) -> dict[str, Column]:
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    open_ = {c.name for c in open_numerics(shape, profile)}
+
+    def value(name: str, kind: T.DataType) -> Column:
+        if name not in have:
+            return F.lit(None).cast(kind)
+        if name not in open_ or have[name] == kind and not isinstance(kind, T.StringType):
+            return F.col(name).try_cast(kind)
+        if isinstance(kind, T.ArrayType) and isinstance(have[name], T.ArrayType):
+            item = have[name].elementType
+            return F.transform(name, lambda v: open_numeric(_plain_text(v, item), kind.elementType))
+        return open_numeric(_plain_text(F.col(name), have[name]), kind)
+
+    return {f.name: value(f.name, f.dataType) for f in schema_of(shape.columns, profile).fields}
 
 
 def snapshot_misfits(rows: DataFrame, shape: TableShape, profile: str = NATIVE) -> DataFrame:
     """Snapshot rows with values that do not fit the table's types: ``reason``, ``bad`` (names of
     the columns) and ``data`` (the row as JSON). One scan, no shuffle."""
-    types = {f.name: f.dataType for f in schema_of(shape.columns, profile).fields}
     bad = F.array_compact(F.array(*[
-        F.when(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull(), F.lit(n))
-        for n, t in types.items() if n in rows.columns
+        F.when(F.col(n).isNotNull() & value.isNull(), F.lit(n))
+        for n, value in _conformed(rows, shape, profile).items() if n in rows.columns
     ]))
     marked = rows.select(F.struct(*[F.col(c) for c in rows.columns]).alias("row"), bad.alias("bad"))
     return marked.where(F.size("bad") > 0).select(

@@ -179,6 +179,20 @@ class Registry:
             return sorted({_name(v) for v in self.known if v["err"] is None and v["identity"] != IDENTITY_NONE})
         return sorted(r.name for r in self.replicated().select("name").distinct().collect())
 
+    def effective(self) -> DataFrame:
+        """All versions with their columns in the types their table has over all versions: what a change's
+        values must fit. A relation that is not replicated keeps its own types."""
+        if self.small:
+            tables = {t: self.shape(t) for t in self.table_names()}
+            rows = [
+                {**v, "columns": _widened(v["columns"], tables.get(_name(v)))} for v in self.known if v["err"] is None
+            ]
+            return local_frame(self.versions.sparkSession, rows, VERSIONS).drop("err")
+        fields = "relid bigint, from_seq bigint, to_seq bigint, schema_name string, table_name string, " \
+            f"identity string, columns {COLUMNS}"
+        # Definitions only: a table's versions meet in one task.
+        return self.versions.groupBy("name").applyInArrow(_widen_versions, fields)
+
     def shape(self, table: str) -> TableShape:
         """Columns, key and relation ids of a table; reads definitions only."""
         name = names.normalize_text(table)
@@ -213,6 +227,22 @@ class Registry:
         return [(seq, end, replace(shape, identity=identity, key=key)) for (seq, identity, key), end in zip(found, ends)]
 
 
+def _widened(columns: list[dict], shape: "TableShape | None") -> list[dict]:
+    wide = {c.name: c for c in shape.columns} if shape else {}
+    return [{**c, "oid": wide[c["name"]].oid, "typmod": wide[c["name"]].typmod} if c["name"] in wide else c for c in columns]
+
+
+def _widen_versions(versions: pa.Table) -> pa.Table:
+    names_of = ["relid", "from_seq", "to_seq", "schema_name", "table_name", "identity", "columns"]
+    versions = versions.select(names_of)
+    rows = sorted(versions.to_pylist(), key=lambda v: v["from_seq"])
+    facts = _facts([v for v in rows if v["identity"] != IDENTITY_NONE])
+    shape = TableShape("", *facts) if facts else None
+    for v in rows:
+        v["columns"] = _widened(v["columns"], shape)
+    return pa.Table.from_pylist(rows, versions.schema)
+
+
 def _name(version: dict) -> str:
     return f"{version['schema_name'] or names.DEFAULT_SCHEMA}.{version['table_name']}"
 

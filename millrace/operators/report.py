@@ -1,16 +1,14 @@
 """Monitoring tables."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import wire
-from .decode import decode_changes, with_header
-from .project import table_changes
-from .registry import IDENTITY_FULL, Registry, TableShape, bind
-from .transactions import with_transaction
+from ..functions.pgtypes import fits
+from .decode import message_text, stage_changes, with_header
+from .registry import IDENTITY_FULL, IDENTITY_NONE, Registry, bind
+from .transactions import in_bracket, transaction_brackets
 
 QUARANTINE = ["seq", "lsn", "reason", "data"]
 
@@ -28,16 +26,23 @@ def operation_counts(log: DataFrame, registry: Registry | None = None) -> DataFr
 
 
 def transaction_summary(log: DataFrame) -> DataFrame:
-    """Rows changed and position range per transaction."""
+    """Rows changed and position range per transaction.
+
+    Only Begin rows are put in order. The rows between them are looked up in the brackets by step of the log and added up
+    where they stand, so that one row per transaction and task is shuffled. The brackets go to the tasks when Spark
+    finds them small; else both sides meet by step.
+    """
     slim = with_header(log).select("seq", "op")
-    rows = with_transaction(slim).where(F.col("txn_id") > 0)
+    brackets = transaction_brackets(slim)
+    rows = in_bracket(slim, brackets)
+    newest = slim.where(F.col("op") == wire.COMMIT).agg(F.max("seq")).scalar()
     return rows.groupBy("txn_id").agg(
         F.min("seq").alias("first_seq"),
         F.max("seq").alias("last_seq"),
         F.count_if(F.col("op") == wire.INSERT).alias("inserts"),
         F.count_if(F.col("op") == wire.UPDATE).alias("updates"),
         F.count_if(F.col("op") == wire.DELETE).alias("deletes"),
-        F.bool_or("committed").alias("committed"),
+        F.bool_or(F.coalesce(F.col("seq") <= newest, F.lit(False))).alias("committed"),
     )
 
 
@@ -45,42 +50,47 @@ def quarantine(log: DataFrame, registry: Registry) -> DataFrame:
     """Messages that cannot be applied, with the reason nearest to the wire.
 
     A value that does not fit its type is listed too, although the rest of its
-    row is applied. The branches are disjoint, so nothing is shuffled.
+    row is applied. One scan and one decoding, whatever the number of tables: every change is bound to its version, which brings
+    the types its values are checked against. Nothing is shuffled.
     """
-    versions = registry.versions.select("relid", "from_seq", "to_seq", "identity")
-    rows = with_header(log)
-    is_change = F.col("op").isin(*wire.CHANGES)
-    headers = bind(rows, versions, registry.small, how="left").withColumn(
-        "reason",
-        F.coalesce(
-            wire.header_error(F.col("data")),
-            F.when(is_change & F.col("_v_identity").isNull(), "unmapped_relation"),
-        ),
-    )
-    relations = rows.where(F.col("op") == wire.RELATION).join(
-        F.broadcast(registry.damaged) if registry.small else registry.damaged, "relid"
-    )
-    relations = relations.where("seq = from_seq").withColumn("reason", F.col("err"))
-    parts = [headers, relations]
-    sound = wire.header_error(F.col("data")).isNull()
-    for table in registry.table_names():
-        shape = registry.shape(table)
-        decoded = decode_changes(log, shape.relids, keep=sound, carry=["data"])
-        parts.append(
-            table_changes(decoded, registry, shape, broken=True).withColumn(
-                "reason", change_error(shape)
-            )
-        )
-    found = [part.where("reason is not null").select(*QUARANTINE) for part in parts]
-    return reduce(DataFrame.unionByName, found)
-
-
-def change_error(shape: TableShape) -> Column:
-    """Reason a decoded change of a table is set aside, or null."""
-    unmatched = (F.col("op") != wire.INSERT) & F.lit(not shape.key and shape.identity != IDENTITY_FULL)
-    return F.coalesce(
-        F.col("err"), F.when(unmatched, "no_key"), F.when(F.size("bad") > 0, "bad_value")
-    )
+    found = set_aside(stage_changes(log), registry).unionByName(damaged_relations(log, registry))
+    return found.select(*QUARANTINE)
+
+
+def set_aside(staged: DataFrame, registry: Registry) -> DataFrame:
+    """QUARANTINE rows among decoded messages (``part`` as ``stage_changes`` says), in one pass."""
+    versions = registry.effective().select("relid", "from_seq", "to_seq", "identity", "columns")
+    bound = bind(staged.where("part <> 'control'"), versions, registry.small, how="left")
+    reason = F.when(F.col("part") == "bad", _bad_reason()).otherwise(_change_reason())
+    message = message_text(*[F.col(c) for c in ("op", "relid", "tag", "old", "new")])
+    return bound.withColumn("reason", reason).where("reason is not null").select(
+        "seq", "lsn", "reason", F.coalesce("data", message).alias("data"))
+
+
+def _bad_reason() -> Column:
+    """A change of a relation that nothing is known of is unmapped, whatever else is wrong with its tuples."""
+    unmapped = F.col("op").isin(*wire.CHANGES) & (F.col("reason") == F.col("err")) & F.col("_v_identity").isNull()
+    return F.when(unmapped, "unmapped_relation").otherwise(F.col("reason"))
+
+
+def _change_reason() -> Column:
+    identity, columns = F.col("_v_identity"), F.col("_v_columns")
+    sent = F.coalesce("new", "old")
+    # A null list of values has no misfits; a value beyond the known columns has nothing to fit.
+    pairs = F.arrays_zip(columns.alias("c"), sent.alias("v"))
+    misfit = F.exists(pairs, lambda p: p["v"]["v"].isNotNull() & ~fits(
+        p["v"]["v"].cast("string"), p["c"]["oid"], p["c"]["typmod"]))
+    keyed = F.exists(columns, lambda c: c["is_key"])
+    unmatched = (F.col("op") != wire.INSERT) & (identity != IDENTITY_FULL) & ~keyed
+    return F.when(identity.isNull(), "unmapped_relation").when(identity == IDENTITY_NONE, None).when(
+        unmatched, "no_key").when(misfit, "bad_value")
+
+
+def damaged_relations(log: DataFrame, registry: Registry) -> DataFrame:
+    """Relation messages that could not be read."""
+    rows = with_header(log).where(F.col("op") == wire.RELATION)
+    hit = rows.join(F.broadcast(registry.damaged) if registry.small else registry.damaged, "relid")
+    return hit.where("seq = from_seq").select("seq", "lsn", F.col("err").alias("reason"), "data")
 
 
 def error_counts(quarantined: DataFrame) -> DataFrame:

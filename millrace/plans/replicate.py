@@ -1,7 +1,8 @@
 """Snapshot plus change log to table contents, in one batch."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,9 @@ from ..functions import wire
 from ..functions.pgtypes import NATIVE
 from ..operators import bag, links, merge
 from ..operators.decode import decode_changes
-from ..operators.project import conform, table_changes
+from ..operators.project import (
+    conform, digits_of_changes, digits_of_rows, open_numerics, settled, table_changes, with_digits,
+)
 from ..operators.registry import IDENTITY_FULL, Registry, TableShape
 from ..operators.transactions import after_position, committed_only
 from ..shared import shared_folder
@@ -30,7 +33,8 @@ def replica(
     are matched in one way.
 
     ``start`` is the position of the snapshot; earlier changes are left out. ``key``
-    overrides the replica identity, for a table whose primary key is known from the catalog.
+    overrides the replica identity, for a table whose primary key is known from the catalog. Net changes are
+    written before they are merged, so Spark knows their size: few of them leave the table where it is.
     """
     registry = registry or Registry.load(log)
     shape = registry.shape(table)
@@ -39,53 +43,64 @@ def replica(
     rows = committed_only(log)
     if start is not None:
         rows = after_position(rows, start)
-    base = conform(snapshot, shape, profile)
     runs = [(shape.first_seq, None, shape)] if key is not None else registry.runs(shape)
+
+    open_ = open_numerics(shape, profile)
+    changes = None
+    if open_:
+        # The values tell the type, so they are read before they are merged: decode them once.
+        changes = _stored(table_changes(decode_changes(rows, shape.relids), registry, shape, profile))
+        found = digits_of_changes(changes, shape)
+        for name, need in digits_of_rows(snapshot, shape).items():
+            found[name] = found[name].with_(need)
+        shape = with_digits(shape, found)
+        changes = settled(changes, shape)
+        runs = [(first, end, replace(run, columns=shape.columns)) for first, end, run in runs]
+
+    base = conform(snapshot, shape, profile)
     for turn, (first, end, run) in enumerate(runs):
         if turn:
             # Every run reads what the one before left: compute it once.
-            path = shared_folder(base.sparkSession)
-            base.write.parquet(path)
-            base = base.sparkSession.read.schema(base.schema).parquet(path)
-        mine = rows
-        if turn:
-            mine = mine.where(F.col("seq") >= first)
-        if end is not None:
-            mine = mine.where(F.col("seq") < end)
-        base = _applied(mine, base, registry, run, toast, profile)
+            base = _stored(base)
+        low = first if turn else None
+
+        def typed(run: TableShape = run, low: int | None = low, end: int | None = end) -> DataFrame:
+            source = rows if changes is None else changes
+            if low is not None:
+                source = source.where(F.col("seq") >= low)
+            if end is not None:
+                source = source.where(F.col("seq") < end)
+            if changes is not None:
+                return source
+            return table_changes(decode_changes(source, run.relids), registry, run, profile)
+
+        base = _applied(typed, base, run, toast)
     return base
 
 
-def _applied(
-    rows: DataFrame, base: DataFrame, registry: Registry, shape: TableShape, toast: str, profile: str
-) -> DataFrame:
-    """The table after changes that are all matched in the way of ``shape``."""
+def _stored(rows: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read back."""
+    path = shared_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    def typed(kept: Column | None = None) -> DataFrame:
-        decoded = decode_changes(rows, shape.relids, kept)
-        return table_changes(decoded, registry, shape, profile)
 
+def _applied(typed: Callable[[], DataFrame], base: DataFrame, shape: TableShape, toast: str) -> DataFrame:
+    """The table after changes that are all matched in the way of ``shape``."""
     if shape.identity == IDENTITY_FULL:
         return bag.expand(
             bag.apply_weights(bag.counted(base, shape), bag.row_weights(typed(), shape), shape)
         )
     if not shape.key:
-        inserts = typed(F.col("op") == wire.INSERT)
-        return base.unionByName(inserts.select("new.*"))
-
-    events = merge.keyed_events(typed(), shape)
-    if toast == merge.KEEP and merge.held_columns(shape):
-        # Only updates that carry an old tuple can move a row: the rest is not decoded here.
-        moves = (F.col("op") == wire.UPDATE) & (wire.tuple_marker(F.col("data")) != "N")
-        moved = links.link_events(merge.keyed_events(typed(moves), shape), shape)
-        if not moved.isEmpty():
-            # Finding the values reads the events several times: decode them once.
-            path = shared_folder(events.sparkSession)
-            events.write.parquet(path)
-            events = events.sparkSession.read.schema(events.schema).parquet(path)
-            net = merge.net_changes(events, shape, toast)
-            return merge.merge(base, links.resolve_links(net, events, base, shape), shape)
-    return merge.merge(base, merge.net_changes(events, shape, toast), shape)
+        return base.unionByName(typed().where(F.col("op") == wire.INSERT).select("new.*"))
+
+    net = _stored(merge.net_changes(merge.keyed_events(typed(), shape), shape, toast))
+    linked = merge.linked(net, shape)
+    if linked is not None and not net.where(linked).isEmpty():
+        # Some row changed its key and left a value out: it is found among the events, which are read several times.
+        events = _stored(merge.keyed_events(typed(), shape))
+        net = _stored(links.resolve_links(net, events, base, shape))
+    return merge.merge_stored(base, net, shape)
 
 
 def with_key(shape: TableShape, key: Sequence[str]) -> TableShape:

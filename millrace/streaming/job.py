@@ -3,26 +3,31 @@ from __future__ import annotations
 
 import zlib
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import wire
 from ..functions.names import normalize_text
-from ..functions.pgtypes import NATIVE, schema_of
+from ..functions.pgtypes import NATIVE, Digits, schema_of
 from ..functions.positions import position_number
 from ..operators import bag, links, merge
-from ..operators.decode import VALUES, message_text, stage_changes, with_header
-from ..operators.project import conform, table_changes
+from ..operators.decode import VALUES, stage_changes, with_header
+from ..operators.project import (
+    conform, digits_of_changes, digits_of_rows, open_numerics, settled, snapshot_misfits, table_changes, with_digits,
+)
 from ..operators.registry import (
     IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, relation_runs,
 )
-from ..operators.report import QUARANTINE, change_error
-from ..operators.transactions import bounded_poll
-from ..shared import local_frame
+from ..operators.report import QUARANTINE, set_aside
+from ..operators.transactions import INDEX, commit_index, poll_end
+from ..shared import local_frame, shared_folder
 from ..sources.changelog import stream_log
 from .store import SNAPSHOT, Progress, Store
 
@@ -35,6 +40,17 @@ FEED = ["seq", "lsn", "op", "tag", "old", "new", "unchanged", "bad"]
 BAD = "seq bigint, lsn string, reason string, data string"
 
 
+class Applied(NamedTuple):
+    """What a poll left of one table: its buckets (None when none changed), the newest contents version used, the digits
+    its numerics need, and snapshot rows that did not fit."""
+
+    table: str
+    held: list[tuple[int, int, str]] | None
+    state: int
+    digits: dict[str, Digits]
+    misfits: DataFrame | None
+
+
 class Replication:
     """Keeps replicas of the tables of one change log.
 
@@ -70,26 +86,24 @@ class Replication:
         then the snapshots must have been taken there too.
         """
         last = self.store.last()
-        version = last.version + 1
-        tables = dict(last.tables)
+        version, state = last.version + 1, last.state + 1
+        tables, held = dict(last.tables), {}
         others = set(tables) - {normalize_text(n) for n in snapshots}
         if others and position not in (None, last.confirmed_lsn):
             raise ValueError(
                 f"{sorted(others)} stand at {last.confirmed_lsn}: load these snapshots at that position, or all tables")
         for name, rows in snapshots.items():
             table = normalize_text(name)
-            held = self.store.write_contents(
-                rows.withColumn("bucket", F.lit(0)), table, version, SNAPSHOT
-            )
-            self.store.write_manifest(table, version, held)
+            held[table] = self.store.write_contents(rows.withColumn("bucket", F.lit(0)), table, state, SNAPSHOT)
             tables[table] = version
-        # Rows of a transaction that is still open stay pending across a reload.
-        self.store.write(local_frame(self.spark, [], STAGED), "staged", version)
+        self.store.write_manifests(version, held)
         if others:
             kept = (last.confirmed_seq, last.confirmed_lsn, last.snapshot_lsn)
         else:
             kept = (last.confirmed_seq if position is None else -1, position, position)
-        self.store.commit(Progress(version, *kept, last.pending_from, tables))
+        # Rows of a transaction that is still open stay pending across a reload.
+        digits = {k: d for k, d in last.digits.items() if k.split("/")[0] not in held}
+        self.store.commit(Progress(version, *kept, last.pending, last.pending_seq, last.pending_twice, state, tables, [], digits))
 
     def start(
         self, log_path: str, max_files: int | None = None, checkpoint: str | None = None, **trigger
@@ -101,12 +115,18 @@ class Replication:
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
     def take(self, rows: DataFrame) -> Progress:
-        """Merge one delivery, in polls of bounded size if ``max_changes`` says so."""
-        while self.max_changes:
-            before = self.store.last().confirmed_seq
-            ahead = rows.where(F.col("seq") > before)
-            if self.apply(bounded_poll(ahead, self.max_changes)).confirmed_seq == before:
-                break
+        """Merge one delivery, in polls of bounded size if ``max_changes`` says so. Where they end is told by an index
+        of the delivery's commits, which is made once."""
+        if self.max_changes:
+            ahead = rows.where(F.col("seq") > self.store.last().confirmed_seq)
+            path = shared_folder(self.spark)
+            commit_index(ahead).write.parquet(path)
+            index = self.spark.read.schema(INDEX).parquet(path)
+            while True:
+                cut = poll_end(ahead, index, self.max_changes, self.store.last().confirmed_seq)
+                if cut is None:
+                    break
+                self.apply(rows.where(F.col("seq") <= cut))
         return self.apply(rows)  # all of it, or the open transaction at its end
 
     # One poll
@@ -121,58 +141,78 @@ class Replication:
             fresh = self._listed(fresh)
         staged = stage_changes(fresh)
         self.store.write(staged.sortWithinPartitions("part", "relid", "seq"), "staged", version)
-
-        window = self.store.read("staged", STAGED, list(range(last.pending_from, version + 1)))
-        window = window.where(F.col("seq") > last.confirmed_seq)
-        commit = F.when(F.col("op") == wire.COMMIT, F.struct("seq", "lsn"))
-        # Transactions that committed before the snapshot are part of it.
-        loaded = position_number(commit["lsn"]) <= position_number(F.lit(last.snapshot_lsn))
-        facts = window.agg(
-            F.count("*").alias("rows"),
-            F.count_if(F.col("version") == version).alias("fresh"),
-            F.count_distinct("seq").alias("places"),
-            F.max(commit).alias("commit"),
-            F.max(F.when(loaded, F.col("seq"))).alias("loaded"),
-            F.count_if(F.col("op") == wire.RELATION).alias("relations"),
-            F.collect_set("relid").alias("relids"),
-        ).first()
-        if facts.fresh == 0:
+        now = self._rows([f"staged/{version}"])
+        facts = self._facts(now, last)
+        if facts.rows == 0:
             return last
         if facts.relations and self.only is None:
-            self._learn(window.where(F.col("op") == wire.RELATION), version)
+            self._learn(now.where(F.col("op") == wire.RELATION), version)
+        twice = facts.rows > facts.places or last.pending_twice or bool(last.pending) and facts.oldest <= last.pending_seq
+        newest = max(facts.newest, last.pending_seq)
         if facts.commit is None:
-            progress = Progress(
-                version, last.confirmed_seq, last.confirmed_lsn, last.snapshot_lsn,
-                last.pending_from, last.tables,
-            )
+            # Only this poll's rows were read; those of earlier polls wait where they are.
+            progress = replace(
+                last, version=version, pending=[*last.pending, f"staged/{version}"],
+                pending_seq=newest, pending_twice=twice, logs=[])
             self.store.commit(progress)
             return progress
 
-        cut = facts.commit.seq
-        low = -1 if facts.loaded is None else facts.loaded
+        cut, low = facts.commit.seq, -1 if facts.loaded is None else facts.loaded
+        window = self._rows([*last.pending, f"staged/{version}"]).where(F.col("seq") > last.confirmed_seq)
+        if twice:
+            self.store.write(_once(window).drop("version"), "once", version)
+            window = self._rows([f"once/{version}"])
         decided = window.where(F.col("seq").between(low + 1, cut))
-        if facts.places < facts.rows:
-            decided = decided.dropDuplicates(["seq"])
+        pending = []
+        if newest > cut:  # only the open transaction at the end is carried on
+            self.store.write(window.where(F.col("seq") > cut).drop("version"), "open", version)
+            pending = [f"open/{version}"]
+
         registry = self.registry()
         changes = decided.where("part = 'change'")
+        named = {r.relid for r in changes.select("relid").distinct().collect()}
         shapes = [registry.shape(t) for t in self._selected(registry)]
-        shapes = [s for s in shapes if set(s.relids) & set(facts.relids)]
+        shapes = [s for s in shapes if set(s.relids) & named]
         with ThreadPoolExecutor(self.tables_at_once) as pool:
-            done = list(
-                pool.map(lambda s: self._apply_table(s, changes, registry, last, version), shapes)
-            )
-        self._set_aside(decided, registry, shapes, version)
-
-        still_open = window.where(F.col("seq") > cut).agg(F.min("version")).first()[0]
+            done = list(pool.map(
+                lambda s: self._apply_table(s, changes, registry, last, version, (low + 1, cut)), shapes))
+        self._set_aside(decided, registry, [d.misfits for d in done if d.misfits is not None], version)
+        held = {d.table: d.held for d in done if d.held is not None}
+        if held:
+            self.store.write_manifests(version, held)
+        digits = dict(last.digits)
+        for d in done:
+            digits.update({f"{d.table}/{name}": list(map(int, need)) for name, need in d.digits.items()})
         progress = Progress(
-            version, cut, facts.commit.lsn, last.snapshot_lsn,
-            version + 1 if still_open is None else still_open,
-            {**last.tables, **{t: version for t in done if t}},
-            ["quarantine", *[self.store.log_name("changelog", s.name) for s in shapes]],
-        )
+            version, cut, facts.commit.lsn, last.snapshot_lsn, pending, newest if pending else -1, False,
+            max([last.state, *[d.state for d in done]]), {**last.tables, **{t: version for t in held}},
+            ["quarantine", *[self.store.log_name("changelog", s.name) for s in shapes]], digits)
         self.store.commit(progress)
         return progress
 
+    def _rows(self, parts: list[str]) -> DataFrame:
+        """Decoded rows of some ``kind/version`` files."""
+        frames = []
+        for kind in sorted({p.split("/")[0] for p in parts}):
+            versions = [int(p.split("/")[1]) for p in parts if p.startswith(f"{kind}/")]
+            frames.append(self.store.read(kind, STAGED, versions))
+        return reduce(DataFrame.unionByName, frames)
+
+    def _facts(self, now: DataFrame, last: Progress) -> Row:
+        """What a poll's own rows hold, by one job: places are counted by bitmaps, so rows are not shuffled."""
+        commit = F.when(F.col("op") == wire.COMMIT, F.struct("seq", "lsn"))
+        # Transactions that committed before the snapshot are part of it.
+        loaded = position_number(commit["lsn"]) <= position_number(F.lit(last.snapshot_lsn))
+        per_span = _spans(now.where(F.col("seq") > last.confirmed_seq)).agg(
+            F.count(F.lit(1)).alias("rows"), _places().alias("places"), F.max(commit).alias("commit"),
+            F.max(F.when(loaded, F.col("seq"))).alias("loaded"), F.min("seq").alias("oldest"), F.max("seq").alias("newest"),
+            F.count_if(F.col("op") == wire.RELATION).alias("relations"))
+        zero = F.lit(0)
+        return per_span.agg(
+            F.coalesce(F.sum("rows"), zero).alias("rows"), F.coalesce(F.sum("places"), zero).alias("places"),
+            F.max("commit").alias("commit"), F.max("loaded").alias("loaded"), F.min("oldest").alias("oldest"),
+            F.max("newest").alias("newest"), F.coalesce(F.sum("relations"), zero).alias("relations")).first()
+
     def _learn(self, relations: DataFrame, version: int) -> None:
         """Keep definitions that differ from those in force."""
         runs = relation_runs(relations.select("seq", "lsn", "data"))
@@ -204,38 +244,73 @@ class Replication:
         return [t for t in registry.table_names() if self.only is None or t in self.only]
 
     def _apply_table(
-        self, shape: TableShape, changes: DataFrame, registry: Registry, last: Progress, version: int
-    ) -> str | None:
+        self, shape: TableShape, changes: DataFrame, registry: Registry, last: Progress, version: int,
+        places: tuple[int, int],
+    ) -> Applied:
+        """Merge the poll's changes of one table, run by run: every run of versions that are matched in one way
+        reads what the one before left. One manifest is left at the end."""
         store, table = self.store, shape.name
         typed = table_changes(changes, registry, shape, self.profile).select(*FEED)
         store.write(typed, "changelog", version, table)
         feed = store.read("changelog", typed.schema, [version], table)
-
+        held = store.manifest(table, last.tables.get(table))
+        raw = [r for r in held if r[2] == SNAPSHOT]
+        found: dict[str, Digits] = {}
+        if open_numerics(shape, self.profile):
+            found = digits_of_changes(feed, shape)
+            if raw:
+                for name, need in digits_of_rows(store.contents(table, raw, None), shape).items():
+                    found[name] = found[name].with_(need)
+            for name in found:
+                found[name] = found[name].with_(Digits(*last.digits.get(f"{table}/{name}", (0, 0, 0))))
+            shape = with_digits(shape, found)
+            feed = settled(feed, shape)
+        misfits = snapshot_misfits(store.contents(table, raw, None), shape, self.profile) if raw else None
+
+        runs = [
+            (first, end, replace(run, columns=shape.columns)) for first, end, run in registry.runs(shape)
+            if first <= places[1] and (end is None or end > places[0])
+        ]
+        if len(runs) > 1:
+            starts = F.array(*[F.lit(first) for first, *_ in runs])
+            number = F.size(F.filter(starts, lambda first: first <= F.col("seq")))
+            filled = {r.n for r in feed.select(number.alias("n")).distinct().collect()}
+            runs = [r for i, r in enumerate(runs, 1) if i in filled]
+        state, changed = last.state, False
+        for turn, (first, end, run) in enumerate(runs):
+            mine = feed
+            if len(runs) > 1:
+                mine = feed.where(F.col("seq") >= first)
+                mine = mine if end is None else mine.where(F.col("seq") < end)
+            after = self._apply_run(run, mine, held, version, turn, state + 1)
+            if after is not None:
+                held, state, changed = after, state + 1, True
+        return Applied(table, held if changed else None, state, found, misfits)
+
+    def _apply_run(
+        self, shape: TableShape, feed: DataFrame, held: list, version: int, turn: int, state: int
+    ) -> list[tuple[int, int, str]] | None:
+        """Buckets after the changes of one run, written as contents version ``state``; None when nothing changes."""
+        store, table = self.store, shape.name
         types = zlib.crc32(schema_of(shape.columns, self.profile).simpleString().encode())
         layout = f"{self._kind(shape)}:{','.join(shape.key)}:{store.buckets}:{types:08x}"
         net = self._net(feed, shape)
         if net is None:
             inserts = feed.where(F.col("op") == wire.INSERT).select("new.*")
-            held = store.manifest(table, last.tables.get(table))
-            rows = inserts.withColumn("bucket", F.lit(0))
-            added = store.write_contents(rows, table, version, layout)
-            store.write_manifest(table, version, held + added)
-            return table
-
-        store.write(net, "net", version, table, by=["bucket"])
-        net = store.read("net", net.schema, [version], table)
-        touched = {r.bucket for r in net.select("bucket").distinct().collect()}
+            return held + store.write_contents(inserts.withColumn("bucket", F.lit(0)), table, state, layout)
+
+        kept_as = f"{table}@{turn}" if turn else table
+        store.write(net, "net", version, kept_as, by=["bucket"])
+        touched = set(store.buckets_in("net", version, kept_as))
         if not touched:
             return None
-        held = store.manifest(table, last.tables.get(table))
+        net = store.read("net", net.schema, [version], kept_as)
         same_layout = all(row[2] == layout for row in held)
         rewritten = [r for r in held if r[0] in touched or not same_layout]
         kept = [r for r in held if r not in rewritten]
         base = self._base(shape, rewritten)
-        merged = self._merged(shape, base, net, feed)
-        added = store.write_contents(merged, table, version, layout)
-        store.write_manifest(table, version, kept + added)
-        return table
+        merged = self._merged(shape, base, net, feed, held)
+        return kept + store.write_contents(merged, table, state, layout)
 
     def _kind(self, shape: TableShape) -> str:
         if shape.identity == IDENTITY_FULL:
@@ -286,47 +361,31 @@ class Replication:
         return net.withColumn("bucket", self._bucket(shape, "_k_"))
 
     def _merged(
-        self, shape: TableShape, base: DataFrame, net: DataFrame, feed: DataFrame
+        self, shape: TableShape, base: DataFrame, net: DataFrame, feed: DataFrame, held: list
     ) -> DataFrame:
         if self._kind(shape) == "bag":
             rows = bag.apply_weights(base, net, shape)
             return rows.withColumn("bucket", self._bucket(shape))
         net = net.drop("bucket", "version")
-        if self.toast == merge.KEEP and merge.held_columns(shape):
+        linked = merge.linked(net, shape)
+        if linked is not None and not net.where(linked).isEmpty():
             events = merge.keyed_events(feed, shape)
-            if not links.link_events(events, shape).isEmpty():
-                net = links.resolve_links(net, events, self._whole(shape, base), shape)
+            # A moved row's old key may lie in any bucket of the table before this run.
+            net = links.resolve_links(net, events, self._base(shape, held) if held else base, shape)
         rows = merge.merge_stored(base, net, shape)
         return rows.withColumn("bucket", self._bucket(shape))
 
-    def _whole(self, shape: TableShape, base: DataFrame) -> DataFrame:
-        """The whole table before this poll: a moved row's old key may lie in any bucket."""
-        held = self.store.manifest(shape.name, self.store.last().tables.get(shape.name))
-        return self._base(shape, held) if held else base
-
-    def _set_aside(
-        self, decided: DataFrame, registry: Registry, shapes: list[TableShape], version: int
-    ) -> None:
-        """Messages of this poll that could not be applied whole."""
-        versions = registry.versions.select("relid", "from_seq", "to_seq")
-        bad = decided.where("part = 'bad'")
-        unmapped = bind(decided.where("part = 'change'"), versions, registry.small, how="left_anti")
-        parts = [bad, unmapped.withColumn("reason", F.lit("unmapped_relation"))]
-        found = parts[0].select(*QUARANTINE).unionByName(parts[1].select(*QUARANTINE))
-        message = message_text(*[F.col(c) for c in ("op", "relid", "tag", "old", "new")])
-        messages = decided.where("part = 'change'").select("seq", message.alias("data"))
-        for shape in shapes:
-            schema = self._feed_schema(shape)
-            feed = self.store.read("changelog", schema, [version], shape.name)
-            feed = feed.withColumn("err", F.lit(None).cast("string"))
-            wrong = feed.withColumn("reason", change_error(shape)).where("reason is not null")
-            # The message comes from the staged rows: misfits are few.
-            wrong = wrong.select("seq", "lsn", "reason").join(messages, "seq", "left")
-            found = found.unionByName(wrong.select(*QUARANTINE))
-        self.store.write(found, "quarantine", version)
+    def _set_aside(self, decided: DataFrame, registry: Registry, misfits: list[DataFrame], version: int) -> None:
+        """Messages of this poll that could not be applied whole, and snapshot rows that did not fit when they were first merged."""
+        found = set_aside(decided, registry)
+        for rows in misfits:
+            found = found.unionByName(rows.select(
+                F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("lsn"), "reason", "data"))
+        self.store.write(found.select(*QUARANTINE), "quarantine", version)
 
     def _feed_schema(self, shape: TableShape) -> T.StructType:
-        row = schema_of(shape.columns, self.profile)
+        # Numerics without a modifier are kept as text here, whatever type their table has by now.
+        row = schema_of([replace(c, digits=None) for c in shape.columns], self.profile)
         flags, words = T.ArrayType(T.BooleanType()), T.ArrayType(T.StringType())
         base = T.StructType.fromDDL("seq bigint, lsn string, op string, tag string")
         return base.add("old", row).add("new", row).add("unchanged", flags).add("bad", words)
@@ -339,14 +398,20 @@ class Replication:
         rows = self.store.manifest(table, last.tables.get(table))
         if rows and all(r[2] == SNAPSHOT for r in rows):
             return self.store.contents(table, rows, None)
-        shape = self.registry().shape(table)
+        shape = self._known(self.registry().shape(table))
         found = self._base(shape, rows)
         return bag.expand(found) if self._kind(shape) == "bag" else found
 
     def change_log(self, name: str) -> DataFrame:
         """Every committed change of a table, typed, in versions."""
-        shape = self.registry().shape(name)
-        return self.store.read("changelog", self._feed_schema(shape), table=shape.name)
+        shape = self._known(self.registry().shape(name))
+        return settled(self.store.read("changelog", self._feed_schema(shape), table=shape.name), shape)
+
+    def _known(self, shape: TableShape) -> TableShape:
+        """The table with the digits that its numerics have needed so far."""
+        digits = self.store.last().digits
+        return with_digits(shape, {
+            c.name: Digits(*digits[f"{shape.name}/{c.name}"]) for c in shape.columns if f"{shape.name}/{c.name}" in digits})
 
     def quarantine(self) -> DataFrame:
         return self.store.read("quarantine", BAD)
@@ -355,6 +420,24 @@ class Replication:
         return self.store.progress()
 
 
+def _spans(rows: DataFrame) -> GroupedData:
+    return rows.groupBy(F.bitmap_bucket_number("seq").alias("span"))
+
+
+def _places() -> Column:
+    """Different places of a span: its rows are marked in a bitmap in the tasks that hold them."""
+    return F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("seq")))
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """Every place once. Only rows of spans in which some place came twice are shuffled."""
+    spans = _spans(rows).agg(F.count(F.lit(1)).alias("n"), _places().alias("places"))
+    again = spans.where("n > places").select(F.col("span").alias("_span"))
+    marked = rows.withColumn("_span", F.bitmap_bucket_number("seq"))
+    single = marked.join(again, "_span", "left_anti")
+    return single.unionByName(marked.join(again, "_span", "left_semi").dropDuplicates(["seq"])).drop("_span")
+
+
 def latest_rows(
     spark: SparkSession, feed_path: str, feed_schema: T.StructType, shape: TableShape, target: str,
     toast: str = merge.KEEP,

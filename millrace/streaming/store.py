@@ -6,6 +6,7 @@ died half way leaves files nobody refers to, and its successor overwrites them.
 """
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -16,24 +17,35 @@ from ..shared import local_frame
 
 PROGRESS = (
     "version bigint, confirmed_seq bigint, confirmed_lsn string, snapshot_lsn string, "
-    "pending_from bigint, tables map<string,bigint>, logs array<string>"
+    "pending array<string>, pending_seq bigint, pending_twice boolean, state bigint, tables map<string,bigint>, logs array<string>, "
+    "digits map<string,array<int>>"
 )
-MANIFEST = "bucket int, version bigint, layout string"
+MANIFEST = "table string, bucket int, version bigint, layout string"
+_BUCKET = re.compile(r"/bucket=(\d+)/")
 SNAPSHOT = "snapshot"
 
 
 @dataclass(frozen=True)
 class Progress:
-    """How far the replica has come. ``tables`` maps a table to its manifest; ``logs`` names the row
-    files of this version that count."""
+    """How far the replica has come.
+
+    ``pending`` names the row files that hold open transactions, up to the place ``pending_seq``, where some place may
+    stand twice if ``pending_twice``; ``state`` is the newest version
+    of table contents; ``tables`` maps a table to its manifest; ``logs`` names the row files of this version that count;
+    ``digits`` tells what the values of numerics without a modifier have needed so far, by ``table/column``.
+    """
 
     version: int = 0
     confirmed_seq: int = -1
     confirmed_lsn: str | None = None
     snapshot_lsn: str | None = None
-    pending_from: int = 1
+    pending: list[str] = field(default_factory=list)
+    pending_seq: int = -1
+    pending_twice: bool = False
+    state: int = 0
     tables: dict[str, int] = field(default_factory=dict)
     logs: list[str] = field(default_factory=list)
+    digits: dict[str, list[int]] = field(default_factory=dict)
 
 
 class Store:
@@ -42,6 +54,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self._last: Progress | None = None
+        self._manifests: dict[int, dict[str, list[tuple[int, int, str]]]] = {}
 
     def path(self, kind: str, version: int | None = None, table: str | None = None) -> str:
         parts = [self.root, kind] + ([table] if table else [])
@@ -59,12 +72,12 @@ class Store:
                 rows = self.progress().orderBy(F.desc("version")).limit(1).collect()
             except AnalysisException:
                 rows = []
-            self._last = Progress(**rows[0].asDict()) if rows else Progress()
+            self._last = Progress(**rows[0].asDict()) if rows else Progress()  # maps and arrays come as dicts and lists
         return self._last
 
     def commit(self, progress: Progress) -> None:
         row = {k: v for k, v in vars(progress).items() if k != "version"}
-        row["tables"] = list(progress.tables.items())
+        row["tables"], row["digits"] = list(progress.tables.items()), list(progress.digits.items())
         fields = T.StructType([f for f in self._schema(PROGRESS).fields if f.name != "version"])
         frame = local_frame(self.spark, [row], fields).coalesce(1)
         frame.write.mode("overwrite").parquet(self.path("progress", progress.version))
@@ -105,15 +118,25 @@ class Store:
     # Table contents
 
     def manifest(self, table: str, version: int | None) -> list[tuple[int, int, str]]:
+        """(bucket, version, layout) of a table's buckets, as written by a poll; read once."""
         if version is None:
             return []
-        path = self.path("manifest", version, table)
-        return [tuple(r) for r in self.spark.read.schema(MANIFEST).parquet(path).collect()]
-
-    def write_manifest(self, table: str, version: int, rows: list[tuple[int, int, str]]) -> None:
-        named = [dict(zip(("bucket", "version", "layout"), row)) for row in rows]
-        frame = local_frame(self.spark, named, MANIFEST).coalesce(1)
-        frame.write.mode("overwrite").parquet(self.path("manifest", version, table))
+        if version not in self._manifests:
+            rows = self.spark.read.schema(MANIFEST).parquet(self.path("manifest", version)).collect()
+            found: dict[str, list[tuple[int, int, str]]] = {}
+            for r in rows:
+                found.setdefault(r.table, []).append((r.bucket, r.version, r.layout))
+            self._manifests[version] = found
+        return self._manifests[version].get(table, [])
+
+    def write_manifests(self, version: int, tables: dict[str, list[tuple[int, int, str]]]) -> None:
+        """One small file per poll for all tables that it changed."""
+        rows = [
+            {"table": t, "bucket": b, "version": v, "layout": layout} for t, held in tables.items() for b, v, layout in held
+        ]
+        frame = local_frame(self.spark, rows, MANIFEST).coalesce(1)
+        frame.write.mode("overwrite").parquet(self.path("manifest", version))
+        self._manifests[version] = tables
 
     def contents(
         self, table: str, rows: list[tuple[int, int, str]], schema: T.StructType | None
@@ -134,10 +157,14 @@ class Store:
     ) -> list[tuple[int, int, str]]:
         """Write bucketed rows and list the buckets that hold any."""
         self.write(frame, "state", version, table, by=["bucket"])
+        return [(b, version, layout) for b in self.buckets_in("state", version, table)]
+
+    def buckets_in(self, kind: str, version: int, table: str) -> list[int]:
+        """Buckets that a written version has files of: told by the names of the files, without a job."""
+        path = self.path(kind, version, table)
         plain = T.StructType([T.StructField("bucket", T.IntegerType())])
-        written = self.spark.read.schema(plain).option("basePath", self.path("state", version, table))
-        found = written.parquet(self.path("state", version, table)).select("bucket").distinct()
-        return [(r.bucket, version, layout) for r in found.collect() if r.bucket is not None]
+        files = self.spark.read.schema(plain).option("basePath", path).parquet(path).inputFiles()
+        return sorted({int(m.group(1)) for m in map(_BUCKET.search, files) if m})
 
     def bucket_of(self, columns: list[Column]) -> Column:
         """Bucket number by the hash Spark shuffles with.
