@@ -5,10 +5,12 @@ from dataclasses import dataclass, replace
 from operator import itemgetter
 from typing import NamedTuple
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shared import local_frame
+
 # Type numbers of the source database, and what each is read as.
 SCALARS = {
     16: ("bool", T.BooleanType()),
@@ -234,6 +236,27 @@ def widest(one: SourceColumn, other: SourceColumn) -> SourceColumn:
     return replace(one if one.may_be_unchanged else other, typmod=-1)
 
 
+def type_table(spark: SparkSession) -> DataFrame:
+    """All known type numbers: ``oid, source_type, reported_type, spark_type``, as fixed above."""
+    known = [SourceColumn("", oid) for oid in (*SCALARS, *ARRAYS)]
+    rows = [
+        {"oid": c.oid, "source_type": c.type_name, "reported_type": c.reported_type, "spark_type": c.spark_type().simpleString()}
+        for c in known
+    ]
+    return local_frame(spark, rows, "oid int, source_type string, reported_type string, spark_type string")
+
+
+def spark_type_text(spark_type: Column, oid: Column, typmod: Column) -> Column:
+    """Name of a column's Spark type: the precision of a numeric comes from its modifier."""
+    modifier = typmod - 4
+    precision, scale = F.shiftright(modifier, 16).bitwiseAND(0xFFFF), modifier.bitwiseAND(0x7FF)
+    bounded = (typmod >= 4) & (scale <= precision) & (precision <= MOST_DIGITS)
+    decimal = F.format_string("decimal(%d,%d)", precision, scale)
+    return F.when(bounded & (oid == _NUMERIC), decimal).when(
+        bounded & oid.isin(*[a for a, item in ARRAYS.items() if item == _NUMERIC]), F.format_string("array<%s>", decimal)
+    ).otherwise(F.coalesce(spark_type, F.lit("string")))
+
+
 def schema_of(columns: list[SourceColumn], profile: str = NATIVE) -> T.StructType:
     return T.StructType([T.StructField(c.name, c.spark_type(profile)) for c in columns])
 

@@ -305,6 +305,18 @@ def merge_columns(versions: DataFrame) -> DataFrame:
     )
 
 
+def column_report(registry: Registry, types: DataFrame) -> DataFrame:
+    """(table, pos, column_name, oid, typmod, and the columns of ``types``) of all replicated tables: the union of each
+    table's columns, in the order of their first appearance, joined to a table of types by type number."""
+    each = registry.effective().where(F.col("identity") != IDENTITY_NONE).select(
+        names.qualify(F.col("schema_name"), F.col("table_name")).alias("table"), "from_seq", F.posexplode("columns").alias("at", "c"))
+    place = F.struct("from_seq", "at")
+    found = each.groupBy("table", F.col("c.name").alias("column_name")).agg(
+        F.min(place).alias("place"), F.first("c.oid").alias("oid"), F.first("c.typmod").alias("typmod"))
+    in_table = Window.partitionBy("table").orderBy("place")  # columns of one table
+    return found.withColumn("pos", F.row_number().over(in_table) - 1).drop("place").join(F.broadcast(types), "oid", "left")
+
+
 def key_positions(versions: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Key columns of every version with their positions in table order.
 

@@ -23,8 +23,10 @@ def _byte(char: str) -> Column:
     return F.lit(f"{ord(char):02X}")
 
 
-def _name(text: str) -> Column:
-    return F.lit(text.encode().hex().upper() + "00")
+def _name(text: Column | str) -> Column:
+    if isinstance(text, str):
+        return F.lit(text.encode().hex().upper() + "00")
+    return F.concat(F.hex(text.cast("binary")), F.lit("00"))
 
 
 def _message(char: str, *parts: Column) -> Column:
@@ -62,7 +64,7 @@ def commit(position: Column, micros: Column | int = 0) -> Column:
 
 
 def relation(
-    relid: int, schema: str, table: str, identity: str, columns: Sequence[SourceColumn]
+    relid: Column | int, schema: Column | str, table: Column | str, identity: str, columns: Sequence[SourceColumn]
 ) -> Column:
     described = [
         part

@@ -240,17 +240,12 @@ def snapshot_typed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def schema_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Per column: source type, document type and Spark type, read from the log."""
-    registry = Registry.load(logs.combined_log(spark, sf))
-    rows = [
-        (shape.name, i, c.name, c.type_name, c.reported_type, c.spark_type().simpleString())
-        for shape in map(registry.shape, registry.table_names())
-        for i, c in enumerate(shape.columns)
-    ]
-    return spark.createDataFrame(
-        rows, "table_name string, pos int, column_name string, source_type string, "
-        "reported_type string, spark_type string"
-    )
+    """Per column: source type, document type and Spark type, for the tables of a log and one table per part."""
+    log = logs.landed(logs.combined_log(spark, sf).unionByName(logs.catalog_log(spark, sf)))
+    rows = reg.column_report(Registry.load(log), pgtypes.type_table(spark))
+    return rows.select(
+        F.col("table").alias("table_name"), "pos", "column_name", F.coalesce("source_type", F.lit("other")).alias("source_type"),
+        "reported_type", pgtypes.spark_type_text(F.col("spark_type"), F.col("oid"), F.col("typmod")).alias("spark_type"))
 
 
 @query
@@ -317,9 +312,13 @@ def cast_numeric(spark: SparkSession, sf: str) -> DataFrame:
         SourceColumn("c_custkey", 20, is_key=True),
         SourceColumn("money", 1700, ((15 << 16) | 2) + 4),
         SourceColumn("tenths", 1700, ((15 << 16) | 1) + 4),
-        SourceColumn("free", 1700),
+        SourceColumn("free", 1700), SourceColumn("long_fraction", 1700), SourceColumn("long_whole", 1700),
+    ]
+    k = F.col("c_custkey").cast("string")
+    values = [enc.text_value(F.col(c)) for c in ("c_custkey", "c_acctbal", "c_acctbal", "c_acctbal")] + [
+        enc.text_value(F.concat(k, F.lit(".12345678912345"))),
+        enc.text_value(F.when(F.col("c_custkey") % 3 == 0, "NaN").otherwise(F.concat(F.lit("9" * 34), k))),
     ]
-    values = [enc.text_value(F.col(c)) for c in ("c_custkey", "c_acctbal", "c_acctbal", "c_acctbal")]
     log = logs.insert_log(
         logs.table(spark, sf, "customer"), "c_custkey", logs.CUSTOMER, "customer", columns, values
     )
@@ -455,11 +454,11 @@ def primary_key_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def key_positions(spark: SparkSession, sf: str) -> DataFrame:
-    registry = Registry.load(logs.combined_log(spark, sf))
+    """Keys as the relation messages mark them, and as the catalog of ``primary_key_lookup`` tells."""
+    registry = Registry.load(logs.landed(logs.catalog_log(spark, sf)))
     marked = reg.key_positions(registry.versions).withColumn("by", F.lit("message"))
-    catalog = logs.table(spark, sf, "nation").agg(
-        F.lit("public.nation").alias("name"), F.lit("n_nationkey").alias("column_name")
-    )
+    catalog = primary_key_lookup(spark, sf).select(
+        F.concat_ws(".", "table_schema", "table_name").alias("name"), "column_name")
     looked_up = reg.key_positions(registry.versions, catalog).withColumn("by", F.lit("catalog"))
     return marked.unionByName(looked_up)
 
@@ -537,6 +536,35 @@ def key_change(spark: SparkSession, sf: str) -> DataFrame:
     return _apply(spark, sf, "I", "U")
 
 
+@query
+def identity_change(spark: SparkSession, sf: str) -> DataFrame:
+    return replica(logs.landed(logs.identity_log(spark, sf)), logs.table(spark, sf, "orders"), "orders")
+
+
+@query
+def exact_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows matched by numerics of 14 fractional digits; decimals are given as text."""
+    base = logs.numeric_rows(spark, sf).drop("c_custkey")
+    found = replica(logs.landed(logs.numeric_log(spark, sf)), base, "customer")
+    return found.select(*[F.col(c).cast("string").alias(c) for c in found.columns])
+
+
+@query
+def widened_types(spark: SparkSession, sf: str) -> DataFrame:
+    log = logs.landed(logs.widening_log(spark, sf))
+    return replica(log, logs.table(spark, sf, "part").limit(0).select("p_partkey", "p_size", "p_name"), "part")
+
+
+@query
+def renamed_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of one relation id under two names."""
+    log = logs.landed(logs.renaming_log(spark, sf))
+    registry = Registry.load(log)
+    empty = logs.table(spark, sf, "supplier").limit(0).select("s_suppkey", "s_nationkey")
+    parts = [replica(log, empty, t, registry).withColumn("name", F.lit(t)) for t in ("supplier", "vendor")]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def net_changes(spark: SparkSession, sf: str) -> DataFrame:
     log = logs.landed(logs.orders_log(spark, sf))
@@ -563,6 +591,13 @@ def apply_bag(spark: SparkSession, sf: str) -> DataFrame:
     return replica(logs.landed(logs.lineitem_log(spark, sf)), logs.table(spark, sf, "lineitem"), "lineitem")
 
 
+@query
+def bag_toast(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows matched as a whole whose updates leave a value out."""
+    log = logs.landed(logs.lineitem_log(spark, sf, left_out=True))
+    return replica(log, logs.table(spark, sf, "lineitem"), "lineitem")
+
+
 def _conversations(spark: SparkSession, sf: str, toast: str, moved: bool = False) -> DataFrame:
     log = logs.landed(logs.conversations_log(spark, sf, moved))
     return replica(log, logs.table(spark, sf, "conversations"), "conversations", toast=toast)

@@ -142,6 +142,124 @@ def orders_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").where("o_orderkey % 10 <> 0")
 
 
+def identity_bounds(rows: DataFrame, key: str) -> list[Column]:
+    """First keys of the stretches in which the table has full identity, none, and a key again: whole blocks."""
+    last = F.floor(F.max(key) / BLOCK)
+    return [rows.agg((F.floor(last * n / 6) * BLOCK).cast("bigint")).scalar() for n in (2, 4, 5)]
+
+
+def identity_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes of ``orders`` while its identity goes from key to full row, to none, and back to the key.
+
+    In the full stretch rows that were changed by key before are changed again by their whole values; in the last stretch
+    rows are deleted by key again. What is sent without identity is to be skipped.
+    """
+    rows = table(spark, sf, "orders")
+    k, names = F.col("o_orderkey"), [c.name for c in ORDERS_COLUMNS]
+    full, none, back = identity_bounds(rows, "o_orderkey")
+    earlier = rows.select(*[F.col(n).alias(f"j_{n}") for n in names])
+    rows = rows.join(earlier, F.col("j_o_orderkey") == k - full, "left")
+    j = F.col("j_o_orderkey")
+
+    def values(prefix: str = "", **new: Column) -> list[Column]:
+        return [enc.text_value(new.get(n, F.col(f"{prefix}{n}"))) for n in names]
+
+    def key_only(key: Column) -> list[Column]:
+        return [enc.text_value(key)] + [enc.null_value()] * (len(names) - 1)
+
+    first, whole, skipped, last = k < full, (k >= full) & (k < none), (k >= none) & (k < back), k >= back
+    described = enc.relation(ORDERS, "public", "orders", "d", ORDERS_COLUMNS)
+    for condition, identity in ((whole, "f"), (skipped, "n")):
+        described = F.when(condition, enc.relation(ORDERS, "public", "orders", identity, ORDERS_COLUMNS)).otherwise(described)
+    kept = F.when(j % 7 == 1, "U").otherwise(F.col("j_o_orderstatus"))
+    messages = [
+        *brackets(rows, k, described),
+        (2, (first | skipped) & (k % 7 == 1), enc.update(ORDERS, values(o_orderstatus=F.lit("U")))),
+        (3, whole & (k % 7 == 1), enc.update(ORDERS, values(o_orderstatus=F.lit("U")), values(), tag="O")),
+        (4, whole & (k % 5 == 0) & (j < full) & (j % 13 != 5), enc.update(
+            ORDERS, values("j_", o_orderstatus=F.lit("F")), values("j_", o_orderstatus=kept), tag="O")),
+        (5, first & (k % 13 == 5), enc.delete(ORDERS, key_only(k))),
+        (5, whole & (k % 13 == 5), enc.delete(
+            ORDERS, values(o_orderstatus=F.when(k % 7 == 1, "U").otherwise(F.col("o_orderstatus"))), tag="O")),
+        (6, last & (k % 11 == 3), enc.delete(ORDERS, key_only(k - back))),
+    ]
+    return emit(rows, k * 8, messages)
+
+
+NUMERIC_COLUMNS = [SourceColumn("id", 1700, is_key=True), SourceColumn("v", 1700), SourceColumn("w", 1700)]
+
+
+def numeric_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as numerics without a modifier: keys with 14 fractional digits, values with 34 whole ones, NaN."""
+    k = F.col("c_custkey")
+    huge = F.concat(F.lit("1234567890123456789012345678"), F.lpad(k.cast("string"), 6, "0"))
+    return table(spark, sf, "customer").select(
+        "c_custkey", F.concat(k.cast("string"), F.lit(".12345678912345")).alias("id"),
+        F.concat(k.cast("string"), F.lit(".5")).alias("v"), F.when(k % 3 == 0, "NaN").otherwise(huge).alias("w"))
+
+
+def numeric_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates and deletes by numeric keys, some written with further zeros."""
+    rows = numeric_rows(spark, sf)
+    k, names = F.col("c_custkey"), [c.name for c in NUMERIC_COLUMNS]
+    padded = F.concat(F.lit("0"), "id", F.lit("00"))
+    last = rows.agg(F.max("c_custkey")).scalar()
+    return emit(rows, k * 8, [
+        (0, k == 0, enc.begin(F.lit(BASE_POSITION))),
+        (1, k == 0, enc.relation(CUSTOMER, "public", "customer", "d", NUMERIC_COLUMNS)),
+        (2, k % 7 == 1, enc.update(CUSTOMER, [
+            enc.text_value(padded), enc.text_value(F.concat(F.lit("-"), k.cast("string"), F.lit(".125000000001000"))),
+            enc.text_value(F.col("w"))])),
+        (3, k % 13 == 5, enc.delete(CUSTOMER, [enc.text_value(padded)] + [enc.null_value()] * (len(names) - 1))),
+        (7, k == last, enc.commit(F.lit(BASE_POSITION))),
+    ])
+
+
+def widening_log(spark: SparkSession, sf: str) -> DataFrame:
+    """All parts as inserts; the size is a small integer at first and a long one from the middle on."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", "p_name")
+    k = F.col("p_partkey")
+    half = rows.agg(F.floor((F.max("p_partkey") + 1) / 2)).scalar()
+    narrow = [SourceColumn("p_partkey", 20, is_key=True), SourceColumn("p_size", 21), SourceColumn("p_name", 1043)]
+    wide = [narrow[0], SourceColumn("p_size", 20), narrow[2]]
+    size = F.when(k < half, F.col("p_size").cast("bigint")).otherwise(F.col("p_size").cast("bigint") * 10_000_000)
+    values = [enc.text_value(k), enc.text_value(size), enc.text_value(F.col("p_name"))]
+    return emit(rows, k * 8, [
+        (0, k == 0, enc.begin(F.lit(BASE_POSITION))),
+        (1, k == 0, enc.relation(PART, "public", "part", "d", narrow)),
+        (2, k == half, enc.relation(PART, "public", "part", "d", wide)),
+        (3, F.lit(True), enc.insert(PART, values)),
+        (7, k == rows.agg(F.max("p_partkey")).scalar(), enc.commit(F.lit(BASE_POSITION))),
+    ])
+
+
+def renaming_log(spark: SparkSession, sf: str) -> DataFrame:
+    """All suppliers as inserts; the table is renamed in the middle."""
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    k = F.col("s_suppkey")
+    half = rows.agg(F.floor((F.max("s_suppkey") + 1) / 2)).scalar()
+    columns = [SourceColumn("s_suppkey", 20, is_key=True), SourceColumn("s_nationkey", 23)]
+    return emit(rows, k * 8, [
+        (0, k == 0, enc.begin(F.lit(BASE_POSITION))),
+        (1, k == 0, enc.relation(NATION, "public", "supplier", "d", columns)),
+        (2, k == half, enc.relation(NATION, "public", "vendor", "d", columns)),
+        (3, F.lit(True), enc.insert(NATION, [enc.text_value(F.col(c.name)) for c in columns])),
+        (7, k == rows.agg(F.max("s_suppkey")).scalar(), enc.commit(F.lit(BASE_POSITION))),
+    ])
+
+
+CATALOG_BASE = 100_000  # relation ids of the tables that are drawn from parts
+
+
+def catalog_log(spark: SparkSession, sf: str) -> DataFrame:
+    """One relation message per part: a table ``brand.t<part>`` with seven columns."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_brand")
+    k = F.col("p_partkey")
+    columns = [SourceColumn(f"c{i}", 20, is_key=i == 2) for i in range(1, 8)]
+    described = enc.relation(F.lit(CATALOG_BASE) + k, F.col("p_brand"), F.concat(F.lit("t"), k.cast("string")), "d", columns)
+    return emit(rows, k * 8, [(1, F.lit(True), described)])
+
+
 def customer_log(spark: SparkSession, sf: str) -> DataFrame:
     """All customers as inserts; the last column appears halfway."""
     rows = table(spark, sf, "customer")
@@ -192,14 +310,19 @@ def conversations_log(spark: SparkSession, sf: str, moved: bool = False) -> Data
     return log.unionByName(closing)
 
 
-def lineitem_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Deletes and updates with whole old rows on a table whose rows repeat."""
+def lineitem_log(spark: SparkSession, sf: str, left_out: bool = False) -> DataFrame:
+    """Deletes and updates with whole old rows on a table whose rows repeat.
+
+    With ``left_out`` updates leave the return flag out as unchanged.
+    """
     rows = table(spark, sf, "lineitem").select(
         *[c.name for c in LINEITEM_COLUMNS], (F.monotonically_increasing_id() + 1).alias("n")
     )
     n = F.col("n")
     whole = [enc.text_value(F.col(c.name)) for c in LINEITEM_COLUMNS]
     changed = [enc.text_value(F.lit("X")) if c.name == "l_linestatus" else v for c, v in zip(LINEITEM_COLUMNS, whole)]
+    if left_out:
+        changed = [enc.unchanged_value() if c.name == "l_returnflag" else v for c, v in zip(LINEITEM_COLUMNS, changed)]
     opening = emit(spark.range(1), F.lit(0).cast("bigint"), [
         (0, F.lit(True), enc.begin(F.lit(BASE_POSITION))),
         (1, F.lit(True), enc.relation(LINEITEM, "public", "lineitem", "f", LINEITEM_COLUMNS)),

@@ -134,6 +134,49 @@ def stream_toast_moved(spark: SparkSession, sf: str) -> DataFrame:
     return job.table("conversations")
 
 
+@query
+def stream_identity_change(spark: SparkSession, sf: str) -> DataFrame:
+    """The identity of a table changes several times in one poll."""
+    path = logs.landed_files(logs.identity_log(spark, sf), [])
+    job = Replication(spark, shared_folder(spark), tables=["orders"], buckets=4)
+    job.bootstrap({"orders": logs.table(spark, sf, "orders")})
+    job.start(path).awaitTermination()
+    return job.table("orders")
+
+
+@query
+def stream_exact_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """Numerics without a modifier over two polls."""
+    newest = logs.table(spark, sf, "customer").agg(F.max("c_custkey")).first()[0]
+    path = logs.landed_files(logs.numeric_log(spark, sf), [newest // 2 * 8])
+    job = Replication(spark, shared_folder(spark), buckets=4)
+    job.bootstrap({"customer": logs.numeric_rows(spark, sf).drop("c_custkey")})
+    job.start(path, 1).awaitTermination()
+    found = job.table("customer")
+    return found.select(*[F.col(c).cast("string").alias(c) for c in found.columns])
+
+
+@query
+def bounded_polls(spark: SparkSession, sf: str) -> DataFrame:
+    """One delivery taken in polls of at least 1,000 messages each."""
+    path = logs.landed_files(logs.orders_log(spark, sf), [])
+    job = Replication(spark, shared_folder(spark), tables=["orders"], buckets=4, max_changes=1000)
+    job.bootstrap({"orders": logs.orders_snapshot(spark, sf)})
+    job.start(path).awaitTermination()
+    return job.table("orders")
+
+
+@query
+def resync(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the log is applied, the table is loaded anew at that place, and the whole log is delivered again."""
+    job, path = _orders_job(spark, sf, files=2, max_files=1)
+    last = job.store.last()
+    again = Replication(spark, shared_folder(spark), tables=["orders"], buckets=4)
+    again.bootstrap({"orders": job.table("orders")}, position=last.confirmed_lsn)
+    again.start(path).awaitTermination()
+    return again.table("orders")
+
+
 @query
 def stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Newest rows per key from the change log of a finished job."""
