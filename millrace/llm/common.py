@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share. Only a local master may do without the setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None and spark.sparkContext.master.startswith("local["):
         folder = "/tmp/millrace-checkpoints"
     if folder is None:
@@ -42,12 +42,13 @@ def positions(df: DataFrame, group: str, order: Sequence[Column], name: str, per
     buckets and ``order`` inside them.
 
     No group is sorted in one task: a group of n rows is cut into about n / ``per`` buckets by hash
-    of ``order``'s first column, buckets are counted, and the running counts are added to the
-    positions inside the buckets. Null is a group of its own.
+    of ``order``, buckets are counted, and the running counts are added to the
+    positions inside the buckets. Null is a group of its own. ``order`` should tell rows apart (see ``numbered``): rows that are
+    equal in it share a bucket.
     """
     sizes = df.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(per)).cast("long").alias("_parts"))
     keyed = df.alias("l").join(sizes.alias("r"), F.col(f"l.{group}").eqNullSafe(F.col(f"r.{group}")))
-    keyed = keyed.select("l.*", F.pmod(F.xxhash64(order[0]), "_parts").alias("_part"))
+    keyed = keyed.select("l.*", F.pmod(F.xxhash64(*order), "_parts").alias("_part"))
     before = (
         keyed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.sum("_n").over(
@@ -63,6 +64,12 @@ def positions(df: DataFrame, group: str, order: Sequence[Column], name: str, per
     ).drop("_part", "_row")
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once, with a number of their own in ``name``: equal rows and rows without an id can be told apart,
+    and a later step that reads them again finds the same numbers."""
+    return landed(df.withColumn(name, F.monotonically_increasing_id()))
+
+
 def components(links: DataFrame, rounds: int = 64) -> DataFrame:
     """Connected components of links (``a`` long, ``b`` long): (``node``, ``component``), the
     smallest node reachable.

@@ -7,15 +7,15 @@ sent between w t - 1 and w t + 1 blocks, exclusively. Weights are whole parts of
 after a period, so it is computed once per period from the weights alone and joined to the blocks.
 
 Every block of a weighted source has a slot. A source that is used up leaves the schedule: its later slots are passed
-over, and the others go on at their weights to one another, so slots order all rows and drop none (``ordered``). ``in_mix`` marks
-the rows before the first slot that is passed over: up to there the weights of all sources hold.
+over, and the others go on at their weights to one another, so slots order all rows and drop none (``ordered``). The column ``in_mix``
+marks the rows before the first slot that is passed over: up to there the weights of all sources hold.
 
 Defined results: a null source is a source of its own; a source without a positive weight has no slot; a weighted source
 without rows is left out; rows without doc_id and repeated rows count as rows; an empty table gives no rows.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -47,23 +47,34 @@ def parts_of_period(weights: DataFrame, period: int) -> DataFrame:
 
 
 def schedule(parts: DataFrame) -> DataFrame:
-    """(place, turn, slot, length): slot of each source's blocks within one period."""
-    row = parts.agg(F.sort_array(F.collect_list(F.struct("place", "parts"))).alias("p")).select(
-        F.col("p.parts").alias("x"), F.expr("aggregate(p.parts, 0L, (s, v) -> s + v)").alias("length"))
-    # Fold over the slots: sent = blocks sent by each source; out = source of each slot so far.
-    pick = (
-        "array_min(transform(x, (v, i) -> if(acc.sent[i] * length div v <= t, "
-        "struct(((acc.sent[i] + 1) * length + v - 1) div v AS due, i AS i), null))).i")
-    folded = row.select("x", "length", F.expr(
-        f"""aggregate(sequence(0L, length - 1),
-            named_struct('sent', transform(x, v -> 0L), 'out', cast(array() AS array<int>)),
-            (acc, t) -> aggregate(array({pick}), acc, (a, w) -> named_struct(
-                'sent', transform(a.sent, (c, i) -> if(i = w, c + 1, c)), 'out', a.out || array(w))),
-            acc -> acc.out)""").alias("out")).where("length IS NOT NULL")
-    slots = folded.select("length", F.posexplode("out").alias("slot", "place"))
-    return slots.select(
-        "place", (F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1).alias("turn"),
-        F.col("slot").cast("long").alias("slot"), "length")
+    """(place, turn, slot, length): slot of each source's blocks within one period.
+
+    Releases and deadlines come from the weights by arithmetic, in parallel. What has to be done in order is the
+    choice per slot: the waiting blocks are kept as a sorted list of (deadline, place), packed into one number; every slot merges in what
+    it releases and takes the first. The list holds one block per source at most.
+    """
+    everything = Window.partitionBy()  # one row per source
+    sized = parts.select(
+        "place", "parts", F.sum("parts").over(everything).alias("length"), F.count(F.lit(1)).over(everything).alias("sources"))
+    jobs = sized.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("turn"))
+    jobs = jobs.select(
+        "length", "sources", F.expr("turn * length div parts").alias("release"),
+        F.expr("((turn + 1) * length + parts - 1) div parts * sources + place").alias("due"))
+    released = jobs.groupBy("length", "sources", "release").agg(F.collect_list("due").alias("due"))
+    slots = sized.select("length", "sources").distinct().select("length", "sources", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1)).alias("slot"))
+    per_slot = slots.join(released.select(F.col("release").alias("slot"), "due"), "slot", "left").groupBy("length", "sources").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("slot", "due"))), lambda s: F.coalesce(
+            s["due"], F.array().cast("array<bigint>"))).alias("x"))
+    step = (
+        "transform(array(sort_array(acc.waiting || due)), "
+        "w -> named_struct('waiting', slice(w, 2, size(w)), 'out', acc.out || array(w[0])))[0]")
+    nothing = "cast(array() AS array<bigint>)"
+    folded = per_slot.select("length", "sources", F.expr(
+        f"aggregate(x, named_struct('waiting', {nothing}, 'out', {nothing}), (acc, due) -> {step}, acc -> acc.out)").alias("out"))
+    taken = folded.select("length", "sources", F.posexplode("out").alias("slot", "due"))
+    taken = taken.select(F.expr("cast(due % sources AS int)").alias("place"), F.col("slot").cast("long").alias("slot"), "length")
+    return taken.select(
+        "place", (F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1).alias("turn"), "slot", "length")
 
 
 def _plan(docs: DataFrame, weights: DataFrame | None, block_rows: int, period: int, temperature: float):
@@ -91,10 +102,11 @@ def _blocks(ranked: DataFrame, sized: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _slot(blocks: DataFrame, slots: DataFrame) -> DataFrame:
-    """Add ``slot`` to rows with place, parts, block. The schedule has ``period`` rows, whatever the data."""
+    """Add ``slot`` to rows with place, parts, block. The schedule has a row per slot of the period, at least four per
+    source; beyond ``SOURCES`` sources it is joined by shuffle, on (source, turn)."""
     turn = F.col("l.block") % F.col("l.parts")
     joined = blocks.alias("l").join(
-        F.broadcast(slots).alias("s"), (F.col("l.place") == F.col("s.place")) & (turn == F.col("s.turn")))
+        common.bounded(slots, 4 * SOURCES).alias("s"), (F.col("l.place") == F.col("s.place")) & (turn == F.col("s.turn")))
     return joined.select(
         "l.*", (F.floor(F.col("l.block") / F.col("l.parts")) * F.col("s.length") + F.col("s.slot")).alias("slot"), "s.length")
 
@@ -105,9 +117,9 @@ def mixed(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, source, weight (as scheduled), block, release, deadline,
     slot, place (within the block), in_mix. ``weights``: source, weight; else ``tempered``."""
-    rows = docs.select("doc_id", "source")
+    rows = common.numbered(docs.select("doc_id", "source"), "_uid")
     sized, slots = _plan(rows, weights, block_rows, period, temperature)
-    ranked = common.positions(rows, "source", [F.col("doc_id")], "rank")
+    ranked = common.positions(rows, "source", [F.col("doc_id"), F.col("_uid")], "rank")
     blocks = _blocks(ranked, sized, block_rows)
     dealt = _slot(blocks.where("place IS NOT NULL"), slots)
     first = F.floor(F.col("block") * F.col("length") / F.col("parts"))
@@ -127,24 +139,14 @@ def ordered(
     period: int = PERIOD, temperature: float = TEMPERATURE,
 ) -> DataFrame:
     """All rows of ``docs`` with a weighted source, with all their columns, and ``mix_slot`` and ``mix_row``: their place in
-    the order of the mix. Only sources that are given no positive weight are left out."""
-    sized, slots = _plan(docs.select("doc_id", "source"), weights, block_rows, period, temperature)
-    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "source")
-    blocks = _blocks(common.positions(rows, "source", [F.col("doc_id")], "rank"), sized, block_rows)
-    return _slot(blocks.where("place IS NOT NULL"), slots).select(
-        "doc.*", F.col("slot").alias("mix_slot"), F.col("row").alias("mix_row"))
-
-
-def in_mix(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` before the first source runs out, with all their columns. The last row taken from each source
-    is found first; rows up to it are then kept where they stand, so texts are not shuffled."""
-    marked = mixed(docs, **options)
-    sizes = docs.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(common.PER_BUCKET)).cast("long").alias("_parts"))
-    part: Column = F.pmod(F.xxhash64("doc_id"), F.col("_parts"))
-    tail = marked.where("in_mix").alias("m").join(
-        sizes.alias("s"), F.col("m.source").eqNullSafe(F.col("s.source"))).select(
-        F.col("m.source").alias("_source"), "_parts", F.struct(part.alias("part"), F.col("doc_id").alias("id")).alias("at"))
-    last = common.landed(tail.groupBy("_source", "_parts").agg(F.max("at").alias("_at")))
-    joined = docs.alias("d").join(common.bounded(last, SOURCES).alias("z"), F.col("d.source").eqNullSafe(F.col("z._source")))
-    own = F.struct(F.pmod(F.xxhash64("d.doc_id"), F.col("z._parts")).alias("part"), F.col("d.doc_id").alias("id"))
-    return joined.where(own <= F.col("z._at")).select("d.*")
+    the order of the mix (columns of these names are replaced). Only sources that are given no positive weight are left out.
+
+    The order is found on numbered narrow rows; texts are shuffled once, by row number, to meet it."""
+    plain = [c for c in docs.columns if c not in ("mix_slot", "mix_row")]
+    whole = common.numbered(docs.select(F.struct(*(F.col(f"`{c}`") for c in plain)).alias("doc")), "_uid")
+    rows = whole.select("_uid", "doc.doc_id", "doc.source")
+    sized, slots = _plan(rows, weights, block_rows, period, temperature)
+    ranked = common.positions(rows, "source", [F.col("doc_id"), F.col("_uid")], "rank")
+    dealt = _slot(_blocks(ranked, sized, block_rows).where("place IS NOT NULL"), slots)
+    return whole.join(dealt.select("_uid", F.col("slot").alias("mix_slot"), F.col("row").alias("mix_row")), "_uid").select(
+        *(F.col(f"doc.`{c}`").alias(c) for c in plain), "mix_slot", "mix_row")

@@ -7,14 +7,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pytest
-from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-import oracle
 from millrace.llm import merkle, spellings, toxic_spans
 from test_texts import DOCS, ODD, frame
 
@@ -102,12 +98,6 @@ def test_manifest_edges(spark):
     assert merkle.manifest(clashing).first().root == leaf
 
 
-@pytest.mark.parametrize("name", ["op12_spellings", "op13_manifest"])
-def test_query_equals_its_sql(spark, name):
-    con = oracle.connect(SF)
-    assert oracle.difference(spark, con, SF, entry.queries()[name], entry.oracle_sql()[name]) is None
-
-
 # Spelling variants
 
 
