@@ -1,14 +1,14 @@
 """Shards balanced by bytes, tokens and rows at once: vector bin packing.
 
 What is packed are groups of equal texts. Groups are hashed into a fixed number of bundles; a group
-that holds a large share of any dimension is packed by itself, cut into chunks no larger than that
-share (so a group with a third of all rows spreads over shards). Bundles and chunks are placed
+that holds a large share of any dimension is packed by itself, whole as long as it fits into a shard, and else cut into chunks
+(so a group with a third of all rows spreads over shards). Bundles, groups and chunks are placed
 from largest to smallest, each on the shard where the dot product of its vector with what the shard
 still has room for is highest. Only the bundles' sums reach the driver: their number is set by
 ``bundles`` and ``shards``, not by the data.
 
 Defined results: a null text counts one byte, no token, one row; rows without doc_id and repeated rows are rows
-like others; an empty table gives no rows. Equal texts share a shard unless their group is cut.
+like others; an empty table gives no rows. Equal texts share a shard unless they are more than a shard of any dimension.
 """
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ from . import common
 
 SHARDS = 16
 BUNDLES = 16_384
-GRAIN = 4  # a group above 1 / (shards * GRAIN) of a dimension is cut into chunks of that size
+GRAIN = 4  # a group above 1 / (shards * GRAIN) of a dimension is packed by itself; chunks are of that size
 
 
 def size_of(text: Column) -> Column:
@@ -47,30 +47,40 @@ def place(vectors: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
-def _items(rows: DataFrame, shards: int, bundles: int) -> DataFrame:
-    """Add ``_item``, the bundle or chunk of a row with ``_key``, ``_id``, ``_bytes``, ``_tokens``."""
+def _large(rows: DataFrame, shards: int) -> DataFrame | None:
+    """(_large, _chunks) of groups that are packed by themselves: at most 3 * shards * GRAIN, by arithmetic. None without rows."""
     groups = rows.groupBy("_key").agg(
         F.sum("_bytes").alias("b"), F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("r"))
     total = groups.agg(F.sum("b").alias("tb"), F.sum("t").alias("tt"), F.sum("r").alias("tr")).first()
     if not total["tr"]:
-        return rows.withColumn("_item", F.lit(0).cast("long"))
+        return None
     share = F.greatest(*(F.col(c) / F.lit(float(max(total[t], 1)))
                          for c, t in (("b", "tb"), ("t", "tt"), ("r", "tr"))))
-    # At most 3 * shards * GRAIN groups can be above the limit, so this table is small by arithmetic.
-    large = groups.withColumn("_chunks", F.ceil(share * shards * GRAIN).cast("long")).where("_chunks > 1").select(
-        F.col("_key").alias("_large"), "_chunks")
+    chunks = F.when(share * shards > 1, F.ceil(share * shards * GRAIN)).otherwise(1).cast("long")
+    return common.landed(groups.where(share * shards * GRAIN > 1).select(F.col("_key").alias("_large"), chunks.alias("_chunks")))
+
+
+def _items(rows: DataFrame, large: DataFrame | None, bundles: int) -> DataFrame:
+    """Add ``_item``, the bundle, group or chunk of a row with ``_key``, ``_chunk``."""
+    if large is None:
+        return rows.withColumn("_item", F.lit(0).cast("long"))
     marked = rows.join(F.broadcast(large), F.col("_key") == F.col("_large"), "left")
-    own = F.xxhash64("_key", F.pmod(F.xxhash64("_id", F.lit(1)), "_chunks"))
+    own = F.xxhash64("_key", F.pmod("_chunk", "_chunks"))
     return marked.withColumn(
         "_item", F.when(F.col("_large").isNull(), F.pmod(F.xxhash64("_key"), F.lit(bundles))).otherwise(
             F.when(own >= 0, -own - 1).otherwise(own))).drop("_large", "_chunks")
 
 
-def _with_measures(docs: DataFrame) -> DataFrame:
+def _key(text: Column) -> Column:
+    return F.xxhash64(text, size_of(text), crc_of(text))
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """Narrow rows, measured and written once; ``_uid`` tells equal ones apart."""
     text = F.col("text")
-    return docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64(text, size_of(text), crc_of(text)).alias("_key"),
-        size_of(text).alias("_bytes"), tokens_of(text).alias("_tokens"))
+    return common.numbered(docs.select(
+        F.col("doc_id").alias("_id"), _key(text).alias("_key"), size_of(text).alias("_bytes"), tokens_of(text).alias("_tokens"),
+        crc_of(text).alias("_crc"), F.xxhash64("doc_id", F.lit(1)).alias("_chunk")), "_uid")
 
 
 def _placed(rows: DataFrame, shards: int, bundles: int) -> DataFrame:
@@ -85,19 +95,25 @@ def _placed(rows: DataFrame, shards: int, bundles: int) -> DataFrame:
 
 def assign(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot (0, 1, ... within the shard) of every row of ``docs``."""
-    rows = _with_measures(docs.select("doc_id", "text")).select(
-        "_id", "_key", "_bytes", "_tokens", crc_of(F.col("_doc.text")).alias("_crc"))
-    rows = _items(rows, shards, bundles)
+    measured = _measured(docs.select("doc_id", "text"))
+    # A cut group is dealt by row: rows without an id, or of one id, are spread as well.
+    rows = _items(measured.withColumn("_chunk", F.col("_uid")), _large(measured, shards), bundles)
     placed = rows.join(F.broadcast(_placed(rows, shards, bundles)), "_item")
-    return common.positions(placed, "_shard", [F.col(c) for c in ("_id", "_crc", "_bytes")], "slot").select(
+    return common.positions(placed, "_shard", [F.col("_id"), F.col("_uid")], "slot").select(
         F.col("_id").alias("doc_id"), F.col("_bytes").alias("size"), F.col("_crc").alias("text_crc32"),
         F.col("_shard").alias("shard"), "slot")
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
-    """All rows and columns of ``docs`` with their ``shard``; texts are not shuffled."""
-    rows = _items(_with_measures(docs), shards, bundles)
-    return rows.join(F.broadcast(_placed(rows, shards, bundles)), "_item").select(
+    """All rows and columns of ``docs`` with their ``shard``; texts are not shuffled. The chunk of a cut group's row
+    follows from its doc_id."""
+    measured = _measured(docs.select("doc_id", "text"))
+    large = _large(measured, shards)
+    placed = _placed(_items(measured, large, bundles), shards, bundles)
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"), _key(F.col("text")).alias("_key"),
+        F.xxhash64("doc_id", F.lit(1)).alias("_chunk"))
+    return _items(whole, large, bundles).join(F.broadcast(placed), "_item").select(
         *(F.col(f"_doc.`{c}`").alias(c) for c in docs.columns if c != "shard"), F.col("_shard").alias("shard"))
 
 
