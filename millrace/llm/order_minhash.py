@@ -19,12 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, words
 
 SIMILARITY, SKETCHES, PICKS = 0.8, 16, 3
+# Finer sketches, by the size of a text in windows; sizes in both ranges get both, so that two texts of similar size always
+# have one kind in common. Two texts of similarity 0.8 share one of them with probability 0.9999 at least.
+FINE = ((0, 30, 32, 3), (24, 2**31, 64, 8))  # least and most windows, sketches, picks
+ROUNDS = 3  # of hubs among texts that are still apart
 TILE = 512  # rows of one side of a block of signature comparisons
 SIGNATURE = 1024  # bytes of a signature
 SLACK = 0.06  # an estimate from SIGNATURE places errs by less than this with 4.5 standard deviations
@@ -131,12 +135,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return common.landed(joined.mapInArrow(_verify_batches(least), "a long, b long, similarity double"))
 
 
-def _hub_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest."""
-    order = F.struct("doc", "n", "component")
-    hubs = members.groupBy("bucket").agg(
-        F.min(order).alias("hub"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo <> hi").select(
+def _mixed(members: DataFrame) -> DataFrame:
+    """(bucket, size, largest) of buckets with several components; ``largest`` is the component with most members."""
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+    per_bucket = sizes.groupBy("bucket").agg(
+        F.sum("k").alias("size"), F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("k", "component")).alias("largest"))
+    return per_bucket.where("parts > 1").drop("parts")
+
+
+def _hub_pairs(members: DataFrame, least: float, order: Column, outside: bool) -> DataFrame:
+    """Each member of a mixed bucket with the bucket's hub: the member that comes first by ``order``, with ``outside`` among those
+    outside of the largest component. One row per member."""
+    mixed = _mixed(members).select("bucket", "largest")
+    rows = members.join(mixed, "bucket")
+    who = F.struct(order.alias("order"), "doc", "n", "component")
+    hub = F.min(F.when(F.col("component") != F.col("largest"), who)) if outside else F.min(who)
+    hubs = rows.groupBy("bucket").agg(hub.alias("hub")).select(
         "bucket", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
     near = F.least("n", "hub_n") >= F.lit(least) * F.greatest("n", "hub_n")
     return members.join(hubs, "bucket").where("component <> hub_component").where(near).select(
@@ -155,14 +169,25 @@ def signature(items: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fine_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Finer sketches and signatures of texts in shared buckets."""
     for batch in batches:
-        signed = [signature(np.frombuffer(x, np.uint32)).tobytes() for x in batch["items"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(signed, pa.binary())], names=["doc", "signature"])
+        drawn, signed = [], []
+        for x in batch["items"].to_pylist():
+            items = np.frombuffer(x, np.uint32)
+            wide = words.mix(items.astype(np.uint64))
+            kinds = [sketch(wide, count, picks) ^ picks for lo, hi, count, picks in FINE if lo <= len(items) <= hi]
+            drawn.append(np.unique(np.concatenate(kinds)))
+            signed.append(signature(items).tobytes())
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in drawn])]).astype(np.int32)
+        flat = pa.array(np.concatenate(drawn) if drawn else [], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc"], batch["n"], pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(signed, pa.binary())],
+            names=["doc", "n", "sketches", "signature"])
 
 
 def _drawn(sketches: list[list[int]], doc: np.ndarray) -> np.ndarray:
-    """Sketches as a matrix; places that a short text lacks hold values no other text has."""
+    """Sketches (sorted) as a matrix; places that a text with fewer lacks hold values no other text has."""
     width = max(map(len, sketches), default=1)
     out = -(doc[:, None] * width + np.arange(width)[None, :]) - 1
     for i, x in enumerate(sketches):
@@ -179,7 +204,6 @@ def _tile_pairs(least: float, best: bool):
         sig = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
         drawn = _drawn(table["sketches"].to_pylist(), doc)
         bucket = table["bucket"][0].as_py() if len(doc) else 0
-        turn = (drawn == bucket).argmax(axis=1)
         left = np.flatnonzero(side < 2)  # side 0: both, 1: left only, 2: right only
         right = np.flatnonzero(side != 1)
         filled = sig[right] > 0
@@ -187,8 +211,10 @@ def _tile_pairs(least: float, best: bool):
         for x in left:
             fit = (comp[right] != comp[x]) & (np.minimum(n[right], n[x]) >= least * np.maximum(n[right], n[x]))
             at = np.flatnonzero(fit)
-            # a pair is looked at in the first bucket that it shares only
-            at = at[(drawn[right[at]] == drawn[x]).argmax(axis=1) == turn[x]] if len(at) else at
+            # a pair is looked at in the smallest bucket that it shares only
+            if len(at):
+                shared = np.isin(drawn[right[at]], drawn[x])
+                at = at[np.where(shared, drawn[right[at]], np.iinfo(np.int64).max).min(axis=1) == bucket]
             if not len(at):
                 continue
             same = ((sig[right[at]] == sig[x]) & filled[at]).sum(axis=1)
@@ -204,37 +230,47 @@ def _tile_pairs(least: float, best: bool):
     return run
 
 
-def _tiled_pairs(members: DataFrame, texts: DataFrame, reps: DataFrame, least: float, best: bool) -> DataFrame:
+def _tiled_pairs(members: DataFrame, fine: DataFrame, least: float, best: bool) -> DataFrame:
     """Pairs of a bucket between different components whose signatures do not rule them out: all of
     them, or with ``best`` the most promising of each member.
 
-    A bucket is cut into tiles of about ``TILE`` members; a task compares two tiles.
+    Only members outside of the largest component ask; a pair of different components has such a member. A bucket is cut into tiles
+    of about ``TILE`` members, which stay where they are, and those who ask are sent to all tiles, ``TILE`` at a time.
     """
-    mixed = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo <> hi").select("bucket", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
-    rows = common.landed(members.join(mixed, "bucket"))
-    signed = common.landed(
-        texts.join(rows.select("doc").distinct(), "doc", "left_semi").select("doc", "items")
-        .mapInArrow(_sign_batches, "doc long, signature binary").join(reps.select("doc", "sketches"), "doc"))
-    own = F.pmod(F.xxhash64("doc", F.lit(7)), "tiles").cast("int")
-    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "n", "component",
-        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
-    tiles = dealt.join(signed, "doc")
+    rows = members.join(_mixed(members), "bucket").withColumn("asks", F.col("component") != F.col("largest"))
+    asking = rows.where("asks").groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("shifts"))
+    rows = common.landed(rows.join(asking, "bucket").withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")))
+    tile = F.pmod(F.xxhash64("doc", F.lit(7)), "tiles").cast("int")
+    shift = F.pmod(F.xxhash64("doc", F.lit(8)), "shifts").cast("int")
+    zero = F.lit(0)
+    stay = rows.select("bucket", "doc", "component", tile.alias("i"), F.explode(F.sequence(zero, F.col("shifts") - 1)).alias("j"), F.lit(2).alias("side"))
+    ask = rows.where("asks").select(
+        "bucket", "doc", "component", F.explode(F.sequence(zero, F.col("tiles") - 1)).alias("i"), shift.alias("j"), F.lit(1).alias("side"))
+    tiles = stay.unionByName(ask).join(fine, "doc")
     return tiles.groupBy("bucket", "i", "j").applyInArrow(_tile_pairs(least, best), "a long, b long").distinct()
 
 
+def _rejoined(component: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after further links (a, b): only links between components are followed."""
+    def side(name: str) -> DataFrame:
+        return component.select(F.col("doc").alias(name), F.col("component").alias(f"c{name}"))
+
+    between = found.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("ca <> cb")
+    joined = common.components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("onto"))
+    return common.landed(component.join(moved, "component", "left").select("doc", F.coalesce("onto", "component").alias("component")))
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picks: int = PICKS,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``): doc_id, class_id (smallest doc_id with the
     same words), component_id (smallest doc_id reachable by links), kept (one row per component).
 
-    Buckets of any size are handled: members are compared with the smallest of their bucket, then
-    with the most promising member outside their component. What is still apart afterwards is compared in full,
-    tile by tile, and only pairs that may link are written out.
+    Buckets of any size are handled. Members are compared with the smallest of their bucket. Texts that are still in a bucket
+    with others are sketched again, finer, so that texts which merely share a passage part; there they are compared with hubs, first
+    with the text that shares most, then with others from outside of the largest component. Each of these steps looks at a member
+    of a bucket once. What is still apart afterwards is compared with all others of its finer bucket.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     sketched = common.landed(rows.mapInArrow(_sketch_batches(sketches, picks), _SKETCHED))
@@ -252,17 +288,26 @@ def near_duplicates(
         rows.join(needed.select("doc"), "doc", "left_semi").mapInArrow(_item_batches, _ITEMS)
         .join(needed, ["doc", "text_key"], "left_semi").dropDuplicates(["doc"]).select("doc", "items"))
 
-    links = None
-    component = members.select("doc").distinct().withColumn("component", F.col("doc"))
-    for step in ("hub", "best", "all"):
-        now = members.join(component, "doc")
-        pairs = _hub_pairs(now, similarity) if step == "hub" else _tiled_pairs(now, texts, reps, similarity, step == "best")
-        found = _verified(common.landed(pairs), texts, similarity).select("a", "b")
-        links = found if links is None else links.union(found)
-        joined = common.components(links).withColumnRenamed("node", "doc")
-        component = common.landed(
-            members.select("doc").distinct().join(joined, "doc", "left")
-            .select("doc", F.coalesce("component", "doc").alias("component")))
+    component = common.landed(members.select("doc").distinct().withColumn("component", F.col("doc")))
+
+    def after(pairs: DataFrame) -> DataFrame:
+        return _rejoined(component, _verified(common.landed(pairs), texts, similarity))
+
+    component = after(_hub_pairs(members.join(component, "doc"), similarity, F.lit(0), False))
+    apart = members.join(component, "doc")
+    apart = apart.join(_mixed(apart).select("bucket"), "bucket", "left_semi").select("doc", "n").distinct()
+    fine = common.landed(texts.join(apart, "doc").select("doc", "n", "items").mapInArrow(
+        _fine_batches, "doc long, n int, sketches array<long>, signature binary"))
+    drawn = common.landed(fine.select("doc", "n", F.explode("sketches").alias("bucket")))
+    sizes = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shares = drawn.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("share"))
+    closer = common.landed(drawn.join(sizes.select("bucket"), "bucket", "left_semi").join(shares, "doc"))
+    for turn in range(ROUNDS):
+        order = -F.col("share") if turn == 0 else F.xxhash64("doc", F.lit(turn))
+        component = after(_hub_pairs(closer.join(component, "doc"), similarity, order, turn > 0))
+    for best in (True, False):
+        now = closer.drop("share").join(component, "doc")
+        component = after(_tiled_pairs(now, fine, similarity, best))
 
     own = known.select("doc", "text_key").join(classes, "text_key", "left")
     placed = own.join(component.withColumnRenamed("doc", "class_id"), "class_id", "left").select(
