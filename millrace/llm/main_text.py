@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -40,8 +41,10 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var".split())
 SKIPPED = frozenset("aside button datalist dialog fieldset footer form head menu nav select".split())
 RAW = "script|style|noscript|template|svg|textarea|iframe|object|title|math|canvas|audio|video"
+ELEMENTS = BLOCKS | VOID | INLINE | SKIPPED | frozenset(RAW.split("|"))
 ENDS_P = BLOCKS - {"html", "body"}
 # Words in class, id or role that name parts beside the article.
 BESIDE = frozenset(
@@ -50,83 +53,133 @@ BESIDE = frozenset(
     "notice notices notification pager pagination popup promo promotion recommended related reply replies respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe tagcloud toolbar topbar widget".split())
 
+# Of compound names, the last part says what it is, unless it only says where or how; then the first one does.
+PARTS = frozenset(
+    "ad ads advert advertisement banner breadcrumb breadcrumbs comment comments cookie cookies footer menu modal nav navbar navigation "
+    "newsletter notice notices pagination popup promo sidebar social subscribe toolbar widget".split())
+FRAMES = frozenset(
+    "area bar block body bottom box button buttons container content group inner item items left list links main outer panel posts right row section "
+    "slot top wrap wrapper".split())
+
+# Attributes as HTML reads them: a quote opens a value behind "=" only, a value without quotes ends at white space. No part is tried twice.
+_ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+"""
 _TOKEN = re.compile(
-    rf"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|(?P<raw>{RAW})\b[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|(?P<end>/)?(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|[!?/][^>]*>)", re.S | re.I)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+    rf"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[.*?(?:\]\]>|\Z)|(?P<raw>{RAW})(?=[\s/>]){_ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{_ATTRS})>|[!?/][^>]*>)", re.S | re.I)
+_OPENS = re.compile(r"</?[a-zA-Z]|<[!?]")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_NAMED = re.compile(r"(?:^|[\s\"'/])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _WIDE = re.compile(r"[\u2e80-\uffdc\U00020000-\U0003ffff]").findall  # a character that says as much as two letters
 
 
+def _names_beside(name: str) -> bool:
+    """Whether one word of a class, id or role names a part beside the article."""
+    parts = re.split(r"[-_]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower().strip("-_"))
+    if len(parts) == 1:
+        return parts[0] in BESIDE
+    return "".join(parts) in BESIDE or parts[-1] in PARTS or (
+        parts[0] in BESIDE - {"header", "hidden"} and all(x in FRAMES for x in parts[1:]))
+
+
 def _is_beside(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in SKIPPED or tag == "header" and not in_article:
         return True
     if not attrs or tag in ("html", "body", "main", "article"):
         return False
-    named = " ".join(x for m in _NAMED.findall(attrs) for x in m if x)
-    return bool(named) and not BESIDE.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))
+    return any(_names_beside(name) for m in _NAMED.findall(attrs) for x in m for name in x.split())
+
+
+class _Open:
+    """The open elements of a page: every question is answered by counters, whatever the depth."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, int]] = []  # tag, skipped, article
+        self.counts: Counter[str] = Counter()
+        self.blocks: list[int] = []  # places of block elements in the stack
+
+    def top(self) -> tuple[str, bool, int]:
+        return self.stack[-1] if self.stack else ("", False, 0)
+
+    def push(self, tag: str, skipped: bool, article: int) -> None:
+        if tag in BLOCKS:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, skipped, article))
+        self.counts[tag] += 1
+
+    def cut(self, length: int) -> None:
+        """Close all elements from a place on."""
+        while len(self.stack) > length:
+            self.counts[self.stack.pop()[0]] -= 1
+        while self.blocks and self.blocks[-1] >= length:
+            self.blocks.pop()
+
+    def close(self, tag: str) -> None:
+        if self.counts[tag]:
+            at = len(self.stack) - 1
+            while self.stack[at][0] != tag:
+                at -= 1
+            self.cut(at)
 
 
 def blocks(page: str) -> list[tuple[str, int, int]]:
-    """(text, characters in links, article number or 0) of the blocks outside skipped parts."""
+    """(text, characters in links, article number or 0) of the blocks outside skipped parts. Markup is never text: a tag without
+    an end takes the rest of the page, as in browsers, unless it is no element of HTML. Time is linear in the page."""
     found: list[tuple[str, int, int]] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, skipped, article
+    open_ = _Open()
     parts: list[str] = []
-    state = {"links": 0, "articles": 0}
+    links, articles = 0, 0
+
+    def add(raw: str) -> int:
+        if not raw or open_.top()[1]:
+            return 0
+        parts.append(raw)
+        return len(html.unescape(raw).strip()) if open_.counts["a"] else 0
 
     def close_block() -> None:
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            article = stack[-1][2] if stack else 0
-            found.append((text, state["links"], article))
+            found.append((text, links, open_.top()[2]))
         parts.clear()
-        state["links"] = 0
-
-    def add(raw: str) -> None:
-        if raw and not (stack and stack[-1][1]):
-            parts.append(raw)
-            if any(x[0] == "a" for x in stack):
-                state["links"] += len(html.unescape(raw).strip())
 
     at = 0
-    opened = page.find("<")
-    while opened >= 0:
-        m = _TOKEN.match(page, opened)
-        if m is None:  # a bare "<" is text
-            opened = page.find("<", opened + 1)
-            continue
-        add(page[at:opened])
+    while (opens := _OPENS.search(page, at)) is not None:  # a bare "<" is text
+        links += add(page[at : opens.start()])
+        m = _TOKEN.match(page, opens.start())
+        if m is None:  # no end up to the end of the page
+            name = _NAME.match(page, opens.start())
+            known = name is None or name[1].lower() in ELEMENTS or page.find(">", opens.start()) >= 0
+            at = len(page) if known else opens.start()
+            break
         at = m.end()
-        opened = page.find("<", at)
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         if tag in BLOCKS:
             close_block()
+            links = 0
         elif tag == "br":
             parts.append(" ")
         if tag in VOID:
             continue
         if m["end"]:
-            if any(x[0] == tag for x in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            open_.close(tag)
             continue
         if tag == "body":
-            stack.clear()
-        if tag in ENDS_P:
-            cut = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), None)
-            if cut is not None and stack[cut][0] == "p" or cut is not None and tag == "li" == stack[cut][0]:
-                del stack[cut:]
-        above = stack[-1] if stack else ("", False, 0)
-        article = above[2]
-        if tag in ("article", "main") and not article and not above[1]:
-            state["articles"] += 1
-            article = state["articles"]
-        stack.append((tag, above[1] or _is_beside(tag, m["attrs"], bool(above[2])), article))
+            open_.cut(0)
+        if tag in ENDS_P and open_.blocks:
+            cut = open_.blocks[-1]
+            if open_.stack[cut][0] == "p" or tag == "li" == open_.stack[cut][0]:
+                open_.cut(cut)
+        _, skipped, article = open_.top()
+        within = bool(article)
+        if tag in ("article", "main") and not article and not skipped:
+            articles += 1
+            article = articles
         if m["attrs"].endswith("/") and tag not in BLOCKS:
-            stack.pop()
-    add(page[at:])
+            continue
+        open_.push(tag, skipped or _is_beside(tag, m["attrs"], within), article)
+    links += add(page[at:])
     close_block()
     return found
 

@@ -2,6 +2,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -275,7 +276,12 @@ PAGES = [
     ("<header><p>Site</p></header><main><p>In &nbsp; main</p><div role=navigation><p>next</p></div></main><div id='cookieNotice'>We use cookies</div>", "In main"),
     ("<body><div><a href=a>one</a> <a href=b>two</a></div><p>" + "The house that is in the wood was not for us and it is old. " * 3 + "</p><p>Short end</p></body>",
      ("The house that is in the wood was not for us and it is old. " * 3).strip()),
-    ("a < b and <unclosed", "a < b and <unclosed"),
+    ("a < b and <unclosed", "a < b and <unclosed"), ("<p>before <a href=x", "before"), ("<p>x<3 <b", "x<3"),
+    ("<p title=it's>A</p><p>B</p><p title=that's>C</p>", "A B C"), ("<p>1 <b class=x/>bold</b> <i title = \"a>b\">it</i></p>", "1 bold it"),
+    ("<article><p>some text here and <a href=\"x\"\">a link</a> with more words behind it</p>", "some text here and a link with more words behind it"),
+    ("<section class=\"related-work\"><p>Prose</p></section><div class='post-header hidden-xs'>Head</div><div class='siteFooter'>f</div>"
+     "<div class='x sidebar-left'>g</div><div class=comment-list>h</div>", "Prose Head"),
+    ("<svg/onload=x>t</svg><scripty>kept</scripty>", "kept"),
 ]
 
 
@@ -284,6 +290,16 @@ def test_main_text_of_a_page(page, want):
     assert main_text.extract(page) == want
 
 
+@pytest.mark.parametrize("unit", ["<b>x ", "<a ", '<a x="', "<p>x ", "</b", "< ", "<div><a>", "<x y='", "<u", "<i>z</b>"])
+def test_pages_of_a_megabyte_take_linear_time(unit):
+    took = []
+    for size in (100_000, 1_000_000):
+        began = time.perf_counter()
+        main_text.extract((unit * (size // len(unit) + 1))[:size])
+        took.append(time.perf_counter() - began)
+    assert took[1] < 2 and took[1] < 40 * max(took[0], 0.005)
+
+
 PROSE = "The house that is in the wood was not for us and it is old. " * 4
 ITALIAN = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, quanto a dir qual era cosa dura esta selva selvaggia. " * 2
 RUSSIAN = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 2
