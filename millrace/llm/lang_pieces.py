@@ -6,7 +6,7 @@ them up. A text's likelihood is the product over its words. Piece probabilities
 training word is cut in all ways under a first distribution (pieces weighted by rank), and its
 posterior piece counts are added to its language. Counting covers all training rows.
 
-Words are runs of letters of the lower-cased text. Runs of more than ``RUN`` letters are cut into runs of
+Words are runs of letters (Unicode category L) of the lower-cased text. Runs of more than ``RUN`` letters are cut into runs of
 ``RUN`` before they are cut into pieces. A letter that is no piece counts as the piece "unknown".
 
 Defined results: text null or without a letter gives `und` and score 0; rows with null or empty lang or null text teach nothing;
@@ -16,13 +16,13 @@ remainder is null) for training and are scored like others.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ UNKNOWN = 1  # number of the piece "unknown"
 TABLE_BITS = 20
 _BASE, _ALL = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
-_LETTERS = re.compile(r"[^\W\d_]+").findall
+_LETTERS = regex.compile(r"\p{L}+").findall
 _SPACE = "▁"
 
 

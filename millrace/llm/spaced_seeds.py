@@ -3,12 +3,12 @@
 A seed hashes the words of a window at fixed places and ignores the others. The masks below are such that any 13
 words of which at most two were substituted hold a window of one mask that was not touched. Windows
 of texts and of benchmark items with equal hashes are hits. Around a hit, text and item are compared word by word on
-the same diagonal: they overlap if some 13 consecutive places agree in at least 80 %. For an item of 5 to 12 words all of
-its places take the part of the 13; its seeds are four words, under masks that for each length leave some window
+the same diagonal: they overlap if some 13 consecutive places agree in at least 80 %. For an item of fewer words all of
+its places take the part of the 13. Up to four words none may differ, and the item is its own seed; from 5 to 12 words seeds are four words, under masks that for each length leave some window
 untouched wherever the allowed fifth of its words was substituted.
 
 Words are runs of ASCII letters, digits and all non-ASCII characters, after lower().
-Defined results: null and empty texts overlap with nothing; items that are null or have under five words are
+Defined results: null and empty texts overlap with nothing; items that are null or have no word are
 matched by nothing; rows without doc_id and repeated rows are judged by their text like others.
 """
 from __future__ import annotations
@@ -22,8 +22,7 @@ from . import common
 
 MASKS = ("100101111", "111011001")
 # Masks of short items and the lengths that need them.
-SHORT_MASKS = {"1111": (5, 6, 7, 8, 9, 10, 11, 12), "11011": (5, 6, 7, 10, 11), "10111": (5,), "11101": (5,)}
-LEAST = 5  # words of the shortest item
+SHORT_MASKS = {"1": (1,), "11": (2,), "111": (3,), "1111": (4, 5, 6, 7, 8, 9, 10, 11, 12), "11011": (5, 6, 7, 10, 11), "10111": (5,), "11101": (5,)}
 OVERLAP, SHARE = 13, 0.8
 ITEM_WINDOWS = 1_000_000  # benchmark windows broadcast at once; a larger benchmark is taken in several turns
 ITEMS = 50_000  # items (and 50 times as many words) up to which their words are broadcast
@@ -81,7 +80,7 @@ def _agrees() -> Column:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(_key, item_id, pos) of verified overlaps, several per pair possible. ``_key`` is ``row_key``."""
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= LEAST)
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     items = common.landed(items)
     facts = items.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("words"),
