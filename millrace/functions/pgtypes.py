@@ -178,7 +178,7 @@ def fits(text: Column, oid: Column, typmod: Column) -> Column:
     """Whether a value's text fits the type of a number in ``oid`` and ``typmod``: one check for all types, by their numbers."""
     number = F.coalesce(*[F.when(oid == array, F.lit(item)) for array, item in ARRAYS.items()])
     lost = F.exists(array_items(text), lambda item: item.isNotNull() & ~_fits_scalar(item, number, typmod))
-    return F.when(oid.isin(*ARRAYS), ~lost).otherwise(_fits_scalar(text, oid, typmod))
+    return F.when(oid.isin(*ARRAYS), F.coalesce(~lost, F.lit(False))).otherwise(_fits_scalar(text, oid, typmod))
 
 
 def _fits_scalar(text: Column, oid: Column, typmod: Column) -> Column:
@@ -293,9 +293,12 @@ def open_numeric(text: Column, target: T.DataType) -> Column:
 def array_items(text: Column) -> Column:
     """Items of ``{a,b,"c,d"}`` as text, with null for a bare ``NULL``.
 
-    Text without quotes is split on commas. Otherwise the items are matched one
+    Bounds in front, as in ``[0:2]={a,b,c}``, are dropped. Arrays of arrays do not fit a type of one
+    dimension: they, and text without the outer braces, give null. Text without quotes is split on commas. Otherwise the items are matched one
     by one, so commas inside quotes do not split and escapes are undone.
     """
+    text = F.regexp_replace(text, r"^(\[[-+0-9]+:[-+0-9]+\])+=", "")
+    flat = text.rlike(r"^\{(?!\s*\{)(?s:.*)\}$")
     inner = F.regexp_replace(text, r"^\{|\}$", "")
     plain = F.transform(F.split(inner, ",", -1), lambda item: F.when(item != "NULL", item))
     # The leading comma makes every item, an empty quoted one too, match non-empty text.
@@ -310,7 +313,7 @@ def array_items(text: Column) -> Column:
         ).when(item != "NULL", item),
     )
     return (
-        F.when(text.isNull(), None)
+        F.when(~flat | text.isNull(), None)
         .when(inner == "", F.array().cast("array<string>"))
         .when(F.contains(text, F.lit('"')), quoted)
         .otherwise(plain)

@@ -31,7 +31,9 @@ CASES = [
     (1000, "{t,f,NULL}", [True, False, None]), (1561, "{1,0}", [True, False]),
     (1009, '{a,"b,c","d\\"e","NULL",NULL,""}', ["a", "b,c", 'd"e', "NULL", None, ""]),
     (1015, "{a,b}", ["a", "b"]), (1002, "{x}", ["x"]), (2951, "{p,q}", ["p", "q"]),
-    (1009, "{a,,b}", ["a", "", "b"]),
+    (1009, "{a,,b}", ["a", "", "b"]), (1007, "[0:2]={1,NULL,3}", [1, None, 3]), (1009, "[-1:0][1:1]={a,b}", ["a", "b"]),
+    (1007, "{{1,2},{3,4}}", None), (1009, "{{a,b},{c,d}}", None), (1009, '{"{a","b}"}', ["{a", "b}"]), (1007, "1,2", None),
+    (1009, "{a\nb,c}", ["a\nb", "c"]), (1009, "[1:2][1:1]={{a},{b}}", None),
 ]
 
 
