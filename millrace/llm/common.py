@@ -82,8 +82,11 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
     spark = links.sparkSession
     cur = landed(links.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    sign = None
     for _ in range(rounds):
+        # All hang on a smallest node when no such node hangs on another.
+        roots = cur.select(F.col("b").alias("a"))
+        if cur.join(roots, "a", "left_semi").isEmpty():
+            break
         both = cur.union(cur.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -93,11 +96,6 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
         cur = landed(
             joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .union(joined.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        now = tuple(cur.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == sign:
-            break
-        sign = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

@@ -28,7 +28,7 @@ SIMILARITY, SKETCHES, PICKS = 0.8, 16, 3
 # Finer sketches, by the size of a text in windows; sizes in both ranges get both, so that two texts of similar size always
 # have one kind in common. Two texts of similarity 0.8 share one of them with probability 0.9999 at least.
 FINE = ((0, 30, 32, 3), (24, 2**31, 64, 8))  # least and most windows, sketches, picks
-ROUNDS = 3  # of hubs among texts that are still apart
+HUBS = 3  # of a finer bucket
 TILE = 512  # rows of one side of a block of signature comparisons
 SIGNATURE = 1024  # bytes of a signature
 SLACK = 0.06  # an estimate from SIGNATURE places errs by less than this with 4.5 standard deviations
@@ -143,14 +143,19 @@ def _mixed(members: DataFrame) -> DataFrame:
     return per_bucket.where("parts > 1").drop("parts")
 
 
-def _hub_pairs(members: DataFrame, least: float, order: Column, outside: bool) -> DataFrame:
-    """Each member of a mixed bucket with the bucket's hub: the member that comes first by ``order``, with ``outside`` among those
-    outside of the largest component. One row per member."""
+def _hub_pairs(members: DataFrame, least: float, order: Column, more: int = 0) -> DataFrame:
+    """Each member of a mixed bucket with the bucket's hubs: the member that comes first by ``order`` and ``more`` others from
+    outside of the largest component, by hash. One row per member and hub."""
     mixed = _mixed(members).select("bucket", "largest")
     rows = members.join(mixed, "bucket")
-    who = F.struct(order.alias("order"), "doc", "n", "component")
-    hub = F.min(F.when(F.col("component") != F.col("largest"), who)) if outside else F.min(who)
-    hubs = rows.groupBy("bucket").agg(hub.alias("hub")).select(
+
+    def first(by: Column) -> Column:
+        return F.struct(by.alias("order"), "doc", "n", "component")
+
+    outside = [
+        F.min(F.when(F.col("component") != F.col("largest"), first(F.xxhash64("doc", F.lit(i))))) for i in range(more)]
+    found = rows.groupBy("bucket").agg(F.array(F.min(first(order.cast("long"))), *outside).alias("hubs"))
+    hubs = found.select("bucket", F.explode(F.array_compact("hubs")).alias("hub")).select(
         "bucket", F.col("hub.doc").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.component").alias("hub_component"))
     near = F.least("n", "hub_n") >= F.lit(least) * F.greatest("n", "hub_n")
     return members.join(hubs, "bucket").where("component <> hub_component").where(near).select(
@@ -195,7 +200,7 @@ def _drawn(sketches: list[list[int]], doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tile_pairs(least: float, best: bool):
+def _tile_pairs(least: float):
     floor = least - SLACK
 
     def run(table: pa.Table) -> pa.Table:
@@ -220,8 +225,6 @@ def _tile_pairs(least: float, best: bool):
             same = ((sig[right[at]] == sig[x]) & filled[at]).sum(axis=1)
             either = (filled[at] | (sig[x] > 0)).sum(axis=1)
             ok = same >= floor * either
-            if best and ok.any():
-                ok = np.arange(len(at)) == np.argmax(np.where(ok, same / np.maximum(either, 1), -1))
             hit = right[at[ok]]
             a.append(np.minimum(doc[hit], doc[x]))
             b.append(np.maximum(doc[hit], doc[x]))
@@ -230,9 +233,8 @@ def _tile_pairs(least: float, best: bool):
     return run
 
 
-def _tiled_pairs(members: DataFrame, fine: DataFrame, least: float, best: bool) -> DataFrame:
-    """Pairs of a bucket between different components whose signatures do not rule them out: all of
-    them, or with ``best`` the most promising of each member.
+def _tiled_pairs(members: DataFrame, fine: DataFrame, least: float) -> DataFrame:
+    """All pairs of a bucket between different components whose signatures do not rule them out.
 
     Only members outside of the largest component ask; a pair of different components has such a member. A bucket is cut into tiles
     of about ``TILE`` members, which stay where they are, and those who ask are sent to all tiles, ``TILE`` at a time.
@@ -247,7 +249,7 @@ def _tiled_pairs(members: DataFrame, fine: DataFrame, least: float, best: bool)
     ask = rows.where("asks").select(
         "bucket", "doc", "component", F.explode(F.sequence(zero, F.col("tiles") - 1)).alias("i"), shift.alias("j"), F.lit(1).alias("side"))
     tiles = stay.unionByName(ask).join(fine, "doc")
-    return tiles.groupBy("bucket", "i", "j").applyInArrow(_tile_pairs(least, best), "a long, b long").distinct()
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(_tile_pairs(least), "a long, b long").distinct()
 
 
 def _rejoined(component: DataFrame, found: DataFrame) -> DataFrame:
@@ -268,9 +270,8 @@ def near_duplicates(
     same words), component_id (smallest doc_id reachable by links), kept (one row per component).
 
     Buckets of any size are handled. Members are compared with the smallest of their bucket. Texts that are still in a bucket
-    with others are sketched again, finer, so that texts which merely share a passage part; there they are compared with hubs, first
-    with the text that shares most, then with others from outside of the largest component. Each of these steps looks at a member
-    of a bucket once. What is still apart afterwards is compared with all others of its finer bucket.
+    with others are sketched again, finer, so that texts which merely share a passage part; there they are compared with ``HUBS``
+    hubs: the text that shares most, and others from outside of the largest component. What is still apart afterwards is compared with all others of its finer bucket.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
     sketched = common.landed(rows.mapInArrow(_sketch_batches(sketches, picks), _SKETCHED))
@@ -293,7 +294,7 @@ def near_duplicates(
     def after(pairs: DataFrame) -> DataFrame:
         return _rejoined(component, _verified(common.landed(pairs), texts, similarity))
 
-    component = after(_hub_pairs(members.join(component, "doc"), similarity, F.lit(0), False))
+    component = after(_hub_pairs(members.join(component, "doc"), similarity, F.lit(0)))
     apart = members.join(component, "doc")
     apart = apart.join(_mixed(apart).select("bucket"), "bucket", "left_semi").select("doc", "n").distinct()
     fine = common.landed(texts.join(apart, "doc").select("doc", "n", "items").mapInArrow(
@@ -302,12 +303,8 @@ def near_duplicates(
     sizes = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shares = drawn.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("share"))
     closer = common.landed(drawn.join(sizes.select("bucket"), "bucket", "left_semi").join(shares, "doc"))
-    for turn in range(ROUNDS):
-        order = -F.col("share") if turn == 0 else F.xxhash64("doc", F.lit(turn))
-        component = after(_hub_pairs(closer.join(component, "doc"), similarity, order, turn > 0))
-    for best in (True, False):
-        now = closer.drop("share").join(component, "doc")
-        component = after(_tiled_pairs(now, fine, similarity, best))
+    component = after(_hub_pairs(closer.join(component, "doc"), similarity, -F.col("share"), HUBS - 1))
+    component = after(_tiled_pairs(closer.drop("share").join(component, "doc"), fine, similarity))
 
     own = known.select("doc", "text_key").join(classes, "text_key", "left")
     placed = own.join(component.withColumnRenamed("doc", "class_id"), "class_id", "left").select(
