@@ -43,7 +43,7 @@ def table_changes(
                 order, lambda name: (F.array_position(F.col("columns.name"), name) - 1).cast("int")
             ).alias("slots"),
         )
-        rows = bind(rows, mine, registry.small)
+        rows = bind(rows, mine)
         slots = [F.get(F.col("_v_slots"), F.lit(i)) for i in range(len(shape.columns))]
 
     def typed(values: str) -> Column:

@@ -1,8 +1,6 @@
 """Relation messages as a table of versions, and binding changes to them."""
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names, wire
 from ..functions.pgtypes import SourceColumn, widest
-from ..shared import local_frame
+from ..shared import shared_folder
 from .decode import with_header
 
 COLUMNS = "array<struct<name:string,oid:int,typmod:int,is_key:boolean>>"
@@ -25,9 +23,6 @@ END = 2**63 - 1
 # reduced in two steps.
 SPAN_BITS = 20
 
-# Versions up to this many are sent to every executor; more are joined by span.
-BROADCAST_VERSIONS = 4096
-
 # Replica identities.
 IDENTITY_NONE, IDENTITY_FULL = "n", "f"
 
@@ -53,51 +48,53 @@ def relation_runs(log: DataFrame, span_bits: int = SPAN_BITS) -> DataFrame:
     return points.select("relid", F.col("seq").alias("from_seq"), following.alias("to_seq"), "data")
 
 
+_HEAD = r"(?s)^R.{4}([^\x00]*)\x00([^\x00]*)\x00(.)(..)"
+_EACH = r"(?s)(.[^\x00]*\x00.{8})"
+
+
 def parse_relations(runs: DataFrame) -> DataFrame:
-    """Read the definitions; one row per version, ``err`` set when unreadable."""
-    rows = runs.select("relid", "from_seq", "to_seq", wire.body(F.col("data")).alias("body"))
-    return rows.mapInArrow(_parse_batches, VERSIONS)
-
-
-def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [
-            ("relid", pa.int64()), ("from_seq", pa.int64()), ("to_seq", pa.int64()),
-            ("schema_name", pa.string()), ("table_name", pa.string()), ("identity", pa.string()),
-            ("columns", pa.list_(pa.struct(
-                [("name", pa.string()), ("oid", pa.int32()), ("typmod", pa.int32()), ("is_key", pa.bool_())]
-            ))),
-            ("err", pa.string()),
-        ]
-    )
-    for batch in batches:
-        rows = batch.to_pylist()
-        for item in rows:
-            item.update(_parse(item.pop("body")))
-        yield pa.RecordBatch.from_pylist(rows, schema)
-
-
-def _parse(body: bytes | None) -> dict:
-    try:
-        schema, table, rest = body[5:].split(b"\0", 2)
-        identity, count = struct.unpack_from(">ch", rest)
-        rest, columns = rest[3:], []
-        for _ in range(count):
-            name, tail = rest[1:].split(b"\0", 1)
-            oid, typmod = struct.unpack_from(">ii", tail)
-            columns.append(
-                {"name": name.decode(), "oid": oid, "typmod": typmod, "is_key": rest[0] == 1}
-            )
-            rest = tail[8:]
-        return {
-            "schema_name": schema.decode(), "table_name": table.decode(),
-            "identity": identity.decode(), "columns": columns, "err": None,
-        }
-    except (TypeError, IndexError, ValueError, struct.error):
-        return {
-            "schema_name": None, "table_name": None, "identity": None, "columns": None,
-            "err": "bad_relation",
-        }
+    """Read the definitions, with one character per byte; one row per version, ``err`` set when unreadable."""
+    text = F.decode(wire.body(F.col("data")), "ISO-8859-1")
+    rows = runs.select("relid", "from_seq", "to_seq", text.alias("t"))
+
+    def raw(part: Column) -> Column:
+        return F.encode(part, "ISO-8859-1")
+
+    def signed(part: Column, bits: int) -> Column:
+        number = F.conv(F.hex(raw(part)), 16, 10).cast("bigint")
+        return F.when(number >= 1 << bits - 1, number - (1 << bits)).otherwise(number).cast("int")
+
+    def column(part: Column) -> Column:
+        n = F.length(part)
+        return F.struct(
+            raw(F.substring(part, F.lit(2), n - 10)).alias("name"), signed(F.substring(part, n - 7, F.lit(4)), 32).alias("oid"),
+            signed(F.substring(part, n - 3, F.lit(4)), 32).alias("typmod"), (F.ascii(part) == 1).alias("is_key"))
+
+    def head(k: int) -> Column:
+        return F.regexp_extract("t", _HEAD, k)
+
+    each = F.regexp_extract_all(F.regexp_replace("t", _HEAD, ""), F.lit(_EACH), F.lit(1))
+    rows = rows.select(
+        "relid", "from_seq", "to_seq", F.col("t").rlike(_HEAD).alias("whole"), raw(head(1)).alias("schema_name"),
+        raw(head(2)).alias("table_name"), head(3).alias("identity"), F.greatest(signed(head(4), 16), F.lit(0)).alias("n"), each.alias("each"))
+    rows = rows.withColumn("columns", F.transform(F.slice("each", F.lit(1), F.col("n")), column))
+    readable = F.col("whole") & (F.size("each") >= F.col("n")) & F.is_valid_utf8(F.col("schema_name").cast("string")) & F.is_valid_utf8(
+        F.col("table_name").cast("string")) & F.forall("columns", lambda c: F.is_valid_utf8(c["name"].cast("string")))
+    ok = F.coalesce(readable, F.lit(False))
+    named = F.transform("columns", lambda c: c.withField("name", c["name"].cast("string")))
+    return rows.select(
+        "relid", "from_seq", "to_seq",
+        *[F.when(ok, F.col(c).cast("string")).alias(c) for c in ("schema_name", "table_name", "identity")],
+        F.when(ok, named).alias("columns"), F.when(~ok, "bad_relation").alias("err"))
+
+
+def changed_runs(runs: DataFrame, known: DataFrame) -> DataFrame:
+    """Runs (as ``relation_runs`` gives them) of the relations of which they say anything that is not in force at the end of
+    ``known``, a log of relation messages."""
+    last = with_header(known).groupBy("relid").agg(F.max_by("data", "seq").alias("_last"))
+    said = runs.join(last, "relid", "left").groupBy("relid").agg(
+        F.bool_or(~F.col("data").eqNullSafe(F.col("_last"))).alias("new")).where("new")
+    return runs.join(said, "relid", "left_semi")
 
 
 @dataclass(frozen=True)
@@ -115,52 +112,23 @@ class TableShape:
 
 
 class Registry:
-    """All relation versions of a log.
+    """All relation versions of a log: a table of definitions that is written once and joined like any other.
 
-    A small registry is also ``known`` on the driver, so that asking for a
-    table's shape runs no job.
+    Only the definitions of a table that is asked for reach the driver, where they are needed to name and type its columns.
     """
 
-    def __init__(self, versions: DataFrame, known: list[dict] | None = None):
+    def __init__(self, versions: DataFrame):
         named = names.qualify(F.col("schema_name"), F.col("table_name"))
         versions = versions.withColumn("name", named)
-        self.known = known
         self.versions = versions.where(F.col("err").isNull()).drop("err")
         self.damaged = versions.where(F.col("err").isNotNull()).select("relid", "from_seq", "err")
-
-    @property
-    def small(self) -> bool:
-        return self.known is not None
-
-    @classmethod
-    def load(cls, log: DataFrame, limit: int = BROADCAST_VERSIONS) -> "Registry":
-        """Read the relation messages of a log once.
-
-        Up to ``limit`` versions are kept at hand; a larger registry stays a
-        distributed table and is joined as one.
-        """
-        return cls.from_runs(relation_runs(log), limit)
+        self._known: dict[str, list[dict]] = {}
+        self._effective: DataFrame | None = None
 
     @classmethod
-    def from_runs(cls, runs: DataFrame, limit: int = BROADCAST_VERSIONS) -> "Registry":
-        head = runs.orderBy("relid", "from_seq").limit(limit + 1).collect()
-        if len(head) > limit:
-            return cls(parse_relations(runs))
-        known = [
-            {"relid": r.relid, "from_seq": r.from_seq, "to_seq": r.to_seq, **_parse(_unhex(r.data))}
-            for r in head
-        ]
-        return cls(local_frame(runs.sparkSession, known, VERSIONS), known)
-
-    def adds_to(self, other: "Registry | None") -> bool:
-        """Whether this registry says anything that is not in force at the end of another."""
-        if other is None or not (self.small and other.small):
-            return True
-        said = ("schema_name", "table_name", "identity", "columns", "err")
-        final = {v["relid"]: v for v in sorted(other.known, key=lambda v: v["from_seq"])}
-        return any(
-            any(v[k] != final.get(v["relid"], {}).get(k, ...) for k in said) for v in self.known
-        )
+    def load(cls, log: DataFrame) -> "Registry":
+        """Read the relation messages of a log once."""
+        return cls(_written(parse_relations(relation_runs(log))))
 
     def published(self, tables: list[str]) -> DataFrame:
         """Versions of the listed tables only."""
@@ -175,32 +143,36 @@ class Registry:
         return self.versions.where(F.col("identity") != IDENTITY_NONE)
 
     def table_names(self) -> list[str]:
-        if self.small:
-            return sorted({_name(v) for v in self.known if v["err"] is None and v["identity"] != IDENTITY_NONE})
         return sorted(r.name for r in self.replicated().select("name").distinct().collect())
 
     def effective(self) -> DataFrame:
         """All versions with their columns in the types their table has over all versions: what a change's
-        values must fit. A relation that is not replicated keeps its own types."""
-        if self.small:
-            tables = {t: self.shape(t) for t in self.table_names()}
-            rows = [
-                {**v, "columns": _widened(v["columns"], tables.get(_name(v)))} for v in self.known if v["err"] is None
-            ]
-            return local_frame(self.versions.sparkSession, rows, VERSIONS).drop("err")
-        fields = "relid bigint, from_seq bigint, to_seq bigint, schema_name string, table_name string, " \
-            f"identity string, columns {COLUMNS}"
-        # Definitions only: a table's versions meet in one task.
-        return self.versions.groupBy("name").applyInArrow(_widen_versions, fields)
+        values must fit. A relation that is not replicated keeps its own types. The versions of a table meet in one task."""
+        if self._effective is None:
+            fields = "relid bigint, from_seq bigint, to_seq bigint, schema_name string, table_name string, " \
+                f"identity string, columns {COLUMNS}"
+            self._effective = _written(self.versions.groupBy("name").applyInArrow(_widen_versions, fields))
+        return self._effective
+
+    def shapes(self, relids: list[int]) -> list[TableShape]:
+        """Replicated tables that ever had one of some relation ids; one job."""
+        hit = self.replicated().where(F.col("relid").isin(relids)).select("name").distinct()
+        found: dict[str, list[dict]] = {}
+        for r in self.versions.join(F.broadcast(hit), "name").collect():
+            found.setdefault(r["name"], []).append(r.asDict(recursive=True))
+        self._known |= {name: sorted(rows, key=_place) for name, rows in found.items()}
+        return [self.shape(name) for name in sorted(found)]
+
+    def _of(self, name: str) -> list[dict]:
+        if name not in self._known:
+            rows = self.versions.where(F.col("name") == name).collect()
+            self._known[name] = sorted((r.asDict(recursive=True) for r in rows), key=_place)
+        return self._known[name]
 
     def shape(self, table: str) -> TableShape:
-        """Columns, key and relation ids of a table; reads definitions only."""
+        """Columns, key and relation ids of a table; reads its definitions only."""
         name = names.normalize_text(table)
-        if self.small:
-            mine = [v for v in self.known if v["err"] is None and _name(v) == name]
-            facts = _facts(sorted(mine, key=lambda v: v["from_seq"]))
-        else:
-            facts = _distributed_facts(self.versions.where(F.col("name") == name))
+        facts = _facts(self._of(name))
         if facts is None:
             raise ValueError(f"no relation message for table {name}")
         return TableShape(name, *facts)
@@ -208,25 +180,28 @@ class Registry:
     def runs(self, shape: TableShape) -> list[tuple[int, int | None, TableShape]]:
         """(from_seq, to_seq, shape) of the stretches of the log in which a table is matched in one way: full rows,
         one key, or none. Versions of identity ``n`` lie inside or between them; their changes are skipped."""
-        if self.small:
-            mine = [v for v in self.known if v["err"] is None and _name(v) == shape.name and v["identity"] != IDENTITY_NONE]
-            said = sorted((v["from_seq"], v["identity"], [c["name"] for c in v["columns"] if c["is_key"]]) for v in mine)
-        else:
-            keys = F.transform(F.filter("columns", lambda c: c["is_key"]), lambda c: c["name"])
-            mine = self.replicated().where(F.col("name") == shape.name).select("from_seq", "identity", keys.alias("key"))
-            by_place = Window.orderBy("from_seq")
-            before = F.lag(F.struct("identity", "key")).over(by_place)
-            new = mine.withColumn("new", ~F.struct("identity", "key").eqNullSafe(before)).where("new")
-            said = sorted((r.from_seq, r.identity, list(r.key)) for r in new.collect())
         found: list[tuple[int, str, list[str]]] = []
-        for seq, identity, key in said:
+        for v in self._of(shape.name):
+            identity, key = v["identity"], [c["name"] for c in v["columns"] if c["is_key"]]
+            if identity == IDENTITY_NONE:
+                continue
             full = identity == IDENTITY_FULL
             if not found or (found[-1][1] == IDENTITY_FULL) != full or not full and found[-1][2] != key:
-                found.append((seq, identity, key))
+                found.append((v["from_seq"], identity, key))
         ends = [seq for seq, *_ in found[1:]] + [None]
         return [(seq, end, replace(shape, identity=identity, key=key)) for (seq, identity, key), end in zip(found, ends)]
 
 
+def _place(version: dict) -> int:
+    return version["from_seq"]
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    path = shared_folder(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _widened(columns: list[dict], shape: "TableShape | None") -> list[dict]:
     wide = {c.name: c for c in shape.columns} if shape else {}
     return [{**c, "oid": wide[c["name"]].oid, "typmod": wide[c["name"]].typmod} if c["name"] in wide else c for c in columns]
@@ -243,10 +218,6 @@ def _widen_versions(versions: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(rows, versions.schema)
 
 
-def _name(version: dict) -> str:
-    return f"{version['schema_name'] or names.DEFAULT_SCHEMA}.{version['table_name']}"
-
-
 def _facts(versions: list[dict]) -> tuple | None:
     if not versions:
         return None
@@ -263,38 +234,6 @@ def _facts(versions: list[dict]) -> tuple | None:
     )
 
 
-def _distributed_facts(versions: DataFrame) -> tuple | None:
-    facts = versions.agg(
-        F.collect_set("relid").alias("relids"),
-        F.count("*").alias("versions"),
-        F.min("from_seq").alias("first_seq"),
-        F.max("to_seq").alias("end_seq"),
-        F.max_by(F.struct("identity", "columns"), "from_seq").alias("last"),
-    ).first()
-    if not facts.versions:
-        return None
-    # Definitions only: one row per different column of the table.
-    each = versions.select("from_seq", F.posexplode("columns").alias("pos", "col"))
-    place = F.struct("from_seq", "pos")
-    kinds = each.groupBy("col").agg(F.min(place).alias("at")).orderBy("at").collect()
-    union: dict[str, SourceColumn] = {}
-    for kind in kinds:
-        column = SourceColumn(**kind["col"].asDict())
-        union[column.name] = widest(union.get(column.name, column), column)
-    return (
-        list(union.values()),
-        [c["name"] for c in facts.last["columns"] if c.is_key], facts.last["identity"],
-        sorted(facts.relids), facts.versions, facts.first_seq, facts.end_seq,
-    )
-
-
-def _unhex(data: str) -> bytes | None:
-    try:
-        return bytes.fromhex(data[2:])
-    except ValueError:
-        return None
-
-
 def merge_columns(versions: DataFrame) -> DataFrame:
     """Schema union per table: every column name once, with its first type."""
     each = versions.select("name", "from_seq", F.posexplode("columns").alias("pos", "col"))
@@ -351,14 +290,11 @@ def primary_keys(
     )
 
 
-def bind(
-    changes: DataFrame, versions: DataFrame, small: bool, how: str = "inner", span_bits: int = SPAN_BITS
-) -> DataFrame:
+def bind(changes: DataFrame, versions: DataFrame, how: str = "inner") -> DataFrame:
     """Join every change with the relation version in force at its position.
 
-    A small registry is broadcast. A large one is cut into spans of the log and
-    joined on ``(relid, span)``: log rows spread evenly over spans, so
-    one busy relation does not fill one task.
+    An equality of relation ids and a range: Spark sends the definitions to the changes when it finds them small, and
+    else splits a relation with very many changes by itself.
     """
     right = versions.select([F.col(c).alias(f"_v_{c}") for c in versions.columns])
     inside = (
@@ -366,30 +302,19 @@ def bind(
         & (F.col("seq") >= F.col("_v_from_seq"))
         & (F.col("seq") < F.col("_v_to_seq"))
     )
-    if small:
-        bound = changes.join(F.broadcast(right), inside, how)
-    else:
-        # Versions that stay in force are cut off at the newest change.
-        newest = changes.agg(F.max("seq")).scalar()
-        last = F.least(F.col("_v_to_seq") - 1, newest)
-        spans = F.sequence(F.shiftright("_v_from_seq", span_bits), F.shiftright(last, span_bits))
-        right = right.where(F.col("_v_from_seq") <= newest).withColumn("_v_span", F.explode(spans))
-        left = changes.withColumn("_span", F.shiftright("seq", span_bits))
-        bound = left.join(right, inside & (F.col("_span") == F.col("_v_span")), how)
-        bound = bound.drop("_span", "_v_span")
-    return bound.drop("_v_relid", "_v_from_seq", "_v_to_seq")
+    return changes.join(right, inside, how).drop("_v_relid", "_v_from_seq", "_v_to_seq")
 
 
 def published_rows(log: DataFrame, registry: Registry, tables: list[str]) -> DataFrame:
     """Log rows of the listed tables, with their table name; decided on headers alone."""
     rows = with_header(log).where(F.col("op").isin(*wire.CHANGES))
     versions = registry.published(tables).select("relid", "from_seq", "to_seq", "name")
-    return bind(rows, versions, registry.small).withColumnRenamed("_v_name", "table")
+    return bind(rows, versions).withColumnRenamed("_v_name", "table")
 
 
 def replicated_rows(log: DataFrame, registry: Registry) -> DataFrame:
     """Changes without those of relations that have no replica identity in force."""
     rows = with_header(log).where(F.col("op").isin(*wire.CHANGES))
     versions = registry.versions.where(F.col("identity") == IDENTITY_NONE)
-    skipped = bind(rows, versions.select("relid", "from_seq", "to_seq"), registry.small, how="left_anti")
+    skipped = bind(rows, versions.select("relid", "from_seq", "to_seq"), how="left_anti")
     return skipped

@@ -20,7 +20,7 @@ def operation_counts(log: DataFrame, registry: Registry | None = None) -> DataFr
         return kinds.groupBy("op").agg(F.count("*").alias("messages"))
     rows = with_header(log).select("seq", "op", "relid")
     changes = rows.where(F.col("op").isin(*wire.CHANGES))
-    bound = bind(changes, registry.versions.select("relid", "from_seq", "to_seq", "name"), registry.small)
+    bound = bind(changes, registry.versions.select("relid", "from_seq", "to_seq", "name"))
     counts = bound.groupBy(F.col("_v_name").alias("table"), "op")
     return counts.agg(F.count("*").alias("messages"))
 
@@ -60,7 +60,7 @@ def quarantine(log: DataFrame, registry: Registry) -> DataFrame:
 def set_aside(staged: DataFrame, registry: Registry) -> DataFrame:
     """QUARANTINE rows among decoded messages (``part`` as ``stage_changes`` says), in one pass."""
     versions = registry.effective().select("relid", "from_seq", "to_seq", "identity", "columns")
-    bound = bind(staged.where("part <> 'control'"), versions, registry.small, how="left")
+    bound = bind(staged.where("part <> 'control'"), versions, how="left")
     reason = F.when(F.col("part") == "bad", _bad_reason()).otherwise(_change_reason())
     message = message_text(*[F.col(c) for c in ("op", "relid", "tag", "old", "new")])
     return bound.withColumn("reason", reason).where("reason is not null").select(
@@ -89,7 +89,7 @@ def _change_reason() -> Column:
 def damaged_relations(log: DataFrame, registry: Registry) -> DataFrame:
     """Relation messages that could not be read."""
     rows = with_header(log).where(F.col("op") == wire.RELATION)
-    hit = rows.join(F.broadcast(registry.damaged) if registry.small else registry.damaged, "relid")
+    hit = rows.join(registry.damaged, "relid")
     return hit.where("seq = from_seq").select("seq", "lsn", F.col("err").alias("reason"), "data")
 
 

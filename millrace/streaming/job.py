@@ -23,7 +23,7 @@ from ..operators.project import (
     conform, digits_of_changes, digits_of_rows, open_numerics, settled, snapshot_misfits, table_changes, with_digits,
 )
 from ..operators.registry import (
-    IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, relation_runs,
+    IDENTITY_FULL, IDENTITY_NONE, VERSIONS, Registry, TableShape, bind, changed_runs, relation_runs,
 )
 from ..operators.report import QUARANTINE, set_aside
 from ..operators.transactions import INDEX, commit_index, poll_end
@@ -170,9 +170,8 @@ class Replication:
 
         registry = self.registry()
         changes = decided.where("part = 'change'")
-        named = {r.relid for r in changes.select("relid").distinct().collect()}
-        shapes = [registry.shape(t) for t in self._selected(registry)]
-        shapes = [s for s in shapes if set(s.relids) & named]
+        named = sorted(r.relid for r in changes.select("relid").distinct().collect())
+        shapes = [s for s in registry.shapes(named) if self.only is None or s.name in self.only]
         with ThreadPoolExecutor(self.tables_at_once) as pool:
             done = list(pool.map(
                 lambda s: self._apply_table(s, changes, registry, last, version, (low + 1, cut)), shapes))
@@ -216,33 +215,35 @@ class Replication:
     def _learn(self, relations: DataFrame, version: int) -> None:
         """Keep definitions that differ from those in force."""
         runs = relation_runs(relations.select("seq", "lsn", "data"))
-        if self._registry is None and self.store.last().confirmed_seq >= 0:
-            self.registry()
-        if Registry.from_runs(runs).adds_to(self._registry):
-            points = runs.select(F.col("from_seq").alias("seq"), F.lit("").alias("lsn"), "data")
-            self.store.write(points, "registry", version)
-            self._registry = None
+        try:
+            runs = changed_runs(runs, self._announced())
+            if runs.isEmpty():
+                return
+        except AnalysisException:  # nothing has been announced yet
+            pass
+        points = runs.select(F.col("from_seq").alias("seq"), F.lit("").alias("lsn"), "data")
+        self.store.write(points, "registry", version)
+        self._registry = None
+
+    def _announced(self) -> DataFrame:
+        return self.spark.read.schema(RELATIONS).parquet(self.store.path("registry"))
 
     def _listed(self, rows: DataFrame) -> DataFrame:
         """Rows without those of other tables: told by their headers, before anything is decoded."""
         registry = self.registry()
         others = registry.versions.where(~F.col("name").isin(*self.only) if self.only else F.lit(True))
         others = others.select("relid", "from_seq", "to_seq")
-        return bind(with_header(rows), others, registry.small, how="left_anti").select("seq", "lsn", "data")
+        return bind(with_header(rows), others, how="left_anti").select("seq", "lsn", "data")
 
     def registry(self) -> Registry:
         if self._registry is None:
             # Definitions of a poll that died are the same when it is repeated.
             try:
-                stored = self.spark.read.schema(RELATIONS).parquet(self.store.path("registry"))
-                self._registry = Registry.load(stored)
+                self._registry = Registry.load(self._announced())
             except AnalysisException:  # nothing has been announced yet
-                self._registry = Registry(local_frame(self.spark, [], VERSIONS), [])
+                self._registry = Registry(local_frame(self.spark, [], VERSIONS))
         return self._registry
 
-    def _selected(self, registry: Registry) -> list[str]:
-        return [t for t in registry.table_names() if self.only is None or t in self.only]
-
     def _apply_table(
         self, shape: TableShape, changes: DataFrame, registry: Registry, last: Progress, version: int,
         places: tuple[int, int],

@@ -37,19 +37,31 @@ def test_repeated_definitions_collapse(versions_log):
     assert registry.damaged.count() == 1
 
 
-def test_large_registry_is_treated_alike(versions_log):
-    """Beyond the size that is kept at hand the same answers come from joins."""
-    small, large = Registry.load(versions_log), Registry.load(versions_log, limit=1)
-    assert small.small and not large.small
-    assert collect(small.versions) == collect(large.versions)
-    assert small.table_names() == large.table_names()
-    for table in small.table_names():
-        assert small.shape(table) == large.shape(table)
-        both = [
-            collect(table_changes(decode_changes(versions_log), r, r.shape(table))) for r in (small, large)
-        ]
-        assert both[0] == both[1] and both[0]
-    assert collect(report.quarantine(versions_log, small)) == collect(report.quarantine(versions_log, large))
+def test_definitions_of_asked_tables(versions_log):
+    """One job for the tables of some relation ids; the same shapes as asked for one by one."""
+    registry = Registry.load(versions_log)
+    found = registry.shapes([7, 8, 9])
+    assert [s.name for s in found] == ["public.renamed", "public.t", "public.u"]
+    assert found == [Registry.load(versions_log).shape(s.name) for s in found]
+
+
+def test_odd_definitions(spark):
+    """Names beyond ASCII, no columns, a negative count, bytes behind the end, cut and broken text."""
+    wide = [("größe", 23, True), ("naïve \U0001f600", 1700, False, ((5 << 16) | 2) + 4)]
+    whole = m.relation(11, "tâble", wide, "f", "schéma")
+    none = m.relation(12, "none", [])
+    texts = [
+        whole, none, m.relation(13, "more", A) + "ff", m.relation(14, "cut", A)[:-2], whole.replace("b6", "ff").replace("0b", "0f", 1),
+        none[:-4] + "ffff", "\\x52" + "00" * 20,
+    ]
+    registry = Registry.load(m.log(spark, texts))
+    got = {r.table_name: r for r in registry.versions.collect()}
+    one = got["tâble"]
+    assert (one.schema_name, one.identity, one.name) == ("schéma", "f", "schéma.tâble")
+    assert [tuple(c) for c in one.columns] == [("größe", 23, -1, True), ("naïve \U0001f600", 1700, ((5 << 16) | 2) + 4, False)]
+    assert got["none"].columns == [] and [c.name for c in got["more"].columns] == ["id", "a"]
+    assert {r.relid for r in registry.damaged.collect()} >= {14}
+    assert "cut" not in got
 
 
 def test_rows_follow_the_version_in_force(versions_log):
@@ -62,13 +74,6 @@ def test_rows_follow_the_version_in_force(versions_log):
     assert collect(table_changes(decode_changes(versions_log), registry, renamed).select("new.*")) == [(4, 40, "w")]
 
 
-def test_spans_of_a_large_registry(spark, versions_log):
-    changes = versions_log.select("seq", F.lit(7).cast("bigint").alias("relid"))
-    versions = Registry.load(versions_log).versions.select("relid", "from_seq", "to_seq", "table_name")
-    near = collect(reg.bind(changes, versions, True, "left"))
-    assert near == collect(reg.bind(changes, versions, False, "left", span_bits=1))
-
-
 def test_union_of_frames(spark):
     one = spark.createDataFrame([(1, "x")], "id bigint, a string")
     two = spark.createDataFrame([("2", 5)], "id string, b int")

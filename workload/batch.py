@@ -208,7 +208,7 @@ def asof_binding(spark: SparkSession, sf: str) -> DataFrame:
     registry = Registry.load(log)
     versions = registry.versions.select("relid", "from_seq", "to_seq", F.size("columns").alias("width"))
     changes = with_header(log).where(F.col("op") == wire.INSERT)
-    return reg.bind(changes, versions, registry.small).select("seq", F.col("_v_width").alias("width"))
+    return reg.bind(changes, versions).select("seq", F.col("_v_width").alias("width"))
 
 
 @query
