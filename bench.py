@@ -86,6 +86,25 @@ def workloads(spark: SparkSession, sf: str) -> dict:
     }
 
 
+def polls(spark: SparkSession, sf: str) -> dict:
+    """The job over more polls and more tables than one: run once each, not part of the total."""
+    orders, snapshot = logs.landed(logs.orders_log(spark, sf)), logs.orders_snapshot(spark, sf)
+    last = orders.agg(F.max("seq")).first()[0]
+    parts = logs.landed(logs.many_tables_log(spark, sf, 50))
+
+    def ten_polls() -> None:
+        job = Replication(spark, shared_folder(spark), buckets=8)
+        job.bootstrap({"orders": snapshot})
+        for i in range(10):
+            low, high = last * i // 10, last * (i + 1) // 10
+            job.apply(orders.where((F.col("seq") > (low if i else -1)) & (F.col("seq") <= high)))
+
+    def fifty_tables() -> None:
+        Replication(spark, shared_folder(spark), buckets=4, tables_at_once=8).apply(parts)
+
+    return {"stream_ten_polls": ten_polls, "stream_fifty_tables": fifty_tables}
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session()
@@ -99,10 +118,16 @@ def main() -> None:
             taken.append(time.perf_counter() - began)
         seconds[name] = round(statistics.median(taken), 3)
         rates[name] = round(rows / seconds[name])
+    scaling = {}
+    for name, work in polls(spark, sf).items():
+        began = time.perf_counter()
+        work()
+        scaling[name] = round(time.perf_counter() - began, 3)
     print(json.dumps({
         "metric": "total_median_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "changes_per_second": rates, "sf": os.path.basename(sf.rstrip("/")),
         "cpus": int(os.environ.get("BENCH_CPUS", "8")), "runs": RUNS,
+        "scaling": scaling,
     }))
 
 

@@ -47,14 +47,15 @@ def apply_weights(base: DataFrame, weights: DataFrame, shape: TableShape) -> Dat
 def expand(rows: DataFrame) -> DataFrame:
     """Write every copy out as a row.
 
-    Every row is first cut into chunks of copies that are spread over the cluster, so the
-    copies of a very frequent row do not come from one task.
+    Rows stay in their tasks, but for those with more than ``CHUNK`` copies: these are cut into chunks that are
+    spread over the cluster, so the copies of a very frequent row do not come from one task.
     """
     chunks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(COPIES) - 1) / CHUNK))
-    cut = rows.withColumn("_chunk", F.explode(chunks)).withColumn(
+    cut = rows.where(F.col(COPIES) > CHUNK).withColumn("_chunk", F.explode(chunks)).withColumn(
         COPIES, F.least(F.lit(CHUNK), F.col(COPIES) - F.col("_chunk") * CHUNK)
     )
     cut = cut.repartition("_chunk", *[c for c in rows.columns if c != COPIES]).drop("_chunk")
-    return cut.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), COPIES))).drop(
+    both = rows.where(F.col(COPIES) <= CHUNK).unionByName(cut)
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), COPIES))).drop(
         "_copy", COPIES
     )

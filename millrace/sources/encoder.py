@@ -77,7 +77,7 @@ def relation(
     )
 
 
-def insert(relid: int, values: Sequence[Column]) -> Column:
+def insert(relid: Column | int, values: Sequence[Column]) -> Column:
     return _message("I", integer(relid, 4), _byte("N"), row(values))
 
 

@@ -260,6 +260,20 @@ def catalog_log(spark: SparkSession, sf: str) -> DataFrame:
     return emit(rows, k * 8, [(1, F.lit(True), described)])
 
 
+def many_tables_log(spark: SparkSession, sf: str, tables: int) -> DataFrame:
+    """All parts as inserts, dealt over many tables, in one transaction."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    k, number = F.col("p_partkey"), F.col("p_partkey") % tables
+    columns = [SourceColumn("p_partkey", 20, is_key=True), SourceColumn("p_name", 1043), SourceColumn("p_size", 23)]
+    relid = F.lit(CATALOG_BASE) + number
+    return emit(rows, (k + 1) * 8, [
+        (-8, k == 0, enc.begin(F.lit(BASE_POSITION))),
+        (1, k < tables, enc.relation(relid, "public", F.concat(F.lit("part_"), number.cast("string")), "d", columns)),
+        (3, F.lit(True), enc.insert(relid, [enc.text_value(F.col(c.name)) for c in columns])),
+        (7, k == rows.agg(F.max("p_partkey")).scalar(), enc.commit(F.lit(BASE_POSITION))),
+    ])
+
+
 def customer_log(spark: SparkSession, sf: str) -> DataFrame:
     """All customers as inserts; the last column appears halfway."""
     rows = table(spark, sf, "customer")
@@ -341,7 +355,7 @@ def lineitem_log(spark: SparkSession, sf: str, left_out: bool = False) -> DataFr
 def nation_log(spark: SparkSession, sf: str) -> DataFrame:
     """A relation without replica identity, one row change per customer of the nation."""
     rows = table(spark, sf, "customer").join(
-        F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
+        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     k = F.col("c_custkey")
     values = [enc.text_value(F.col(c.name)) for c in NATION_COLUMNS]
