@@ -151,14 +151,17 @@ class Registry:
         if self._effective is None:
             fields = "relid bigint, from_seq bigint, to_seq bigint, schema_name string, table_name string, " \
                 f"identity string, columns {COLUMNS}"
-            self._effective = _written(self.versions.groupBy("name").applyInArrow(_widen_versions, fields))
+            counted = self.versions.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("name")))
+            several = counted.where("_n > 1").drop("_n").groupBy("name").applyInArrow(_widen_versions, fields)
+            alone = counted.where("_n = 1").select(*several.columns)
+            self._effective = _written(alone.unionByName(several))
         return self._effective
 
-    def shapes(self, relids: list[int]) -> list[TableShape]:
-        """Replicated tables that ever had one of some relation ids; one job."""
-        hit = self.replicated().where(F.col("relid").isin(relids)).select("name").distinct()
+    def shapes(self, changes: DataFrame) -> list[TableShape]:
+        """Replicated tables that ever had one of the relation ids (``relid``) of some rows; one job."""
+        hit = self.replicated().join(changes.select("relid").distinct(), "relid", "left_semi").select("name").distinct()
         found: dict[str, list[dict]] = {}
-        for r in self.versions.join(F.broadcast(hit), "name").collect():
+        for r in self.versions.join(hit, "name", "left_semi").collect():
             found.setdefault(r["name"], []).append(r.asDict(recursive=True))
         self._known |= {name: sorted(rows, key=_place) for name, rows in found.items()}
         return [self.shape(name) for name in sorted(found)]

@@ -42,13 +42,13 @@ BAD = "seq bigint, lsn string, reason string, data string"
 
 class Applied(NamedTuple):
     """What a poll left of one table: its buckets (None when none changed), the newest contents version used, the digits
-    its numerics need, and snapshot rows that did not fit."""
+    its numerics need, and the row files written for it."""
 
     table: str
     held: list[tuple[int, int, str]] | None
     state: int
     digits: dict[str, Digits]
-    misfits: DataFrame | None
+    logs: list[tuple[str, str]]
 
 
 class Replication:
@@ -165,17 +165,21 @@ class Replication:
         decided = window.where(F.col("seq").between(low + 1, cut))
         pending = []
         if newest > cut:  # only the open transaction at the end is carried on
-            self.store.write(window.where(F.col("seq") > cut).drop("version"), "open", version)
             pending = [f"open/{version}"]
 
         registry = self.registry()
         changes = decided.where("part = 'change'")
-        named = sorted(r.relid for r in changes.select("relid").distinct().collect())
-        shapes = [s for s in registry.shapes(named) if self.only is None or s.name in self.only]
-        with ThreadPoolExecutor(self.tables_at_once) as pool:
+        shapes = [s for s in registry.shapes(changes) if self.only is None or s.name in self.only]
+        with ThreadPoolExecutor(self.tables_at_once + 2) as pool:
+            beside = [pool.submit(lambda: self.store.write(
+                set_aside(decided, registry).select(*QUARANTINE), "quarantine", version))]
+            if pending:
+                tail = window.where(F.col("seq") > cut).drop("version")
+                beside.append(pool.submit(lambda: self.store.write(tail, "open", version)))
             done = list(pool.map(
                 lambda s: self._apply_table(s, changes, registry, last, version, (low + 1, cut)), shapes))
-        self._set_aside(decided, registry, [d.misfits for d in done if d.misfits is not None], version)
+            for task in beside:
+                task.result()
         held = {d.table: d.held for d in done if d.held is not None}
         if held:
             self.store.write_manifests(version, held)
@@ -185,7 +189,7 @@ class Replication:
         progress = Progress(
             version, cut, facts.commit.lsn, last.snapshot_lsn, pending, newest if pending else -1, False,
             max([last.state, *[d.state for d in done]]), {**last.tables, **{t: version for t in held}},
-            ["quarantine", *[self.store.log_name("changelog", s.name) for s in shapes]], digits)
+            ["quarantine", *[self.store.log_name(*name) for d in done for name in d.logs]], digits)
         self.store.commit(progress)
         return progress
 
@@ -266,7 +270,12 @@ class Replication:
                 found[name] = found[name].with_(Digits(*last.digits.get(f"{table}/{name}", (0, 0, 0))))
             shape = with_digits(shape, found)
             feed = settled(feed, shape)
-        misfits = snapshot_misfits(store.contents(table, raw, None), shape, self.profile) if raw else None
+        logs = [("changelog", table)]
+        if raw:  # rows of the snapshot meet their types now
+            store.write(snapshot_misfits(store.contents(table, raw, None), shape, self.profile).select(
+                F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("lsn"), "reason", "data"),
+                "misfits", version, table)
+            logs.append(("misfits", table))
 
         runs = [
             (first, end, replace(run, columns=shape.columns)) for first, end, run in registry.runs(shape)
@@ -286,7 +295,7 @@ class Replication:
             after = self._apply_run(run, mine, held, version, turn, state + 1)
             if after is not None:
                 held, state, changed = after, state + 1, True
-        return Applied(table, held if changed else None, state, found, misfits)
+        return Applied(table, held if changed else None, state, found, logs)
 
     def _apply_run(
         self, shape: TableShape, feed: DataFrame, held: list, version: int, turn: int, state: int
@@ -376,14 +385,6 @@ class Replication:
         rows = merge.merge_stored(base, net, shape)
         return rows.withColumn("bucket", self._bucket(shape))
 
-    def _set_aside(self, decided: DataFrame, registry: Registry, misfits: list[DataFrame], version: int) -> None:
-        """Messages of this poll that could not be applied whole, and snapshot rows that did not fit when they were first merged."""
-        found = set_aside(decided, registry)
-        for rows in misfits:
-            found = found.unionByName(rows.select(
-                F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("lsn"), "reason", "data"))
-        self.store.write(found.select(*QUARANTINE), "quarantine", version)
-
     def _feed_schema(self, shape: TableShape) -> T.StructType:
         # Numerics without a modifier are kept as text here, whatever type their table has by now.
         row = schema_of([replace(c, digits=None) for c in shape.columns], self.profile)
@@ -415,7 +416,11 @@ class Replication:
             c.name: Digits(*digits[f"{shape.name}/{c.name}"]) for c in shape.columns if f"{shape.name}/{c.name}" in digits})
 
     def quarantine(self) -> DataFrame:
-        return self.store.read("quarantine", BAD)
+        """Messages that could not be applied whole, and snapshot rows (place -1) that did not fit their table's types."""
+        found = self.store.read("quarantine", BAD)
+        for table in self.store.tables_with("misfits"):
+            found = found.unionByName(self.store.read("misfits", BAD, table=table))
+        return found
 
     def progress(self) -> DataFrame:
         return self.store.progress()

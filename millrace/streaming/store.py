@@ -111,6 +111,11 @@ class Store:
             return rows.join(listed.select("version"), "version", "left_semi").select(*rows.columns)
         return reader.parquet(*[self.path(kind, v, table) for v in versions])
 
+    def tables_with(self, kind: str) -> list[str]:
+        """Tables that some progress row lists row files of a kind for."""
+        names = self.progress().select(F.explode("logs").alias("name")).where(F.col("name").startswith(f"{kind}/"))
+        return sorted(r.name.split("/", 1)[1] for r in names.distinct().collect())
+
     @staticmethod
     def log_name(kind: str, table: str | None = None) -> str:
         return f"{kind}/{table}" if table else kind

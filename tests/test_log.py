@@ -40,7 +40,7 @@ def test_repeated_definitions_collapse(versions_log):
 def test_definitions_of_asked_tables(versions_log):
     """One job for the tables of some relation ids; the same shapes as asked for one by one."""
     registry = Registry.load(versions_log)
-    found = registry.shapes([7, 8, 9])
+    found = registry.shapes(versions_log.sparkSession.createDataFrame([(7,), (8,), (9,), (9,)], "relid bigint"))
     assert [s.name for s in found] == ["public.renamed", "public.t", "public.u"]
     assert found == [Registry.load(versions_log).shape(s.name) for s in found]
 
