@@ -1,9 +1,11 @@
 """Small helpers shared by the operators: tables, hashes, positions within groups, components."""
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,21 @@ def landed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(run: Batches) -> Batches:
+    """``run``, giving freed memory back to the system at the end of a task: Python workers outlive their task, and
+    what they keep is missing in the stages that follow."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+    return task
+
+
 def row_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 

@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
 from .words import IS_LETTER, Words, hashed_words, parts
 
 RUN = 32  # letters
@@ -236,7 +237,7 @@ def train(docs: DataFrame, tokenizer: str = TOKENIZER) -> tuple[tuple[str, ...],
     pieces = tuple(read_pieces(tokenizer))
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL AND lang <> ''").where(
         F.coalesce(remainder(F.col("doc_id")), F.lit(0)) != 1)
-    counts = rows.select("lang", F.lower("text").alias("text")).mapInArrow(_count_batches(pieces), "lang string, piece long, n double")
+    counts = rows.select("lang", F.lower("text").alias("text")).mapInArrow(released(_count_batches(pieces)), "lang string, piece long, n double")
     got = counts.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique())
     table = np.full((len(pieces) + 2, len(langs)), SMOOTHING)
@@ -304,7 +305,7 @@ def identify(docs: DataFrame, model=None) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score (posterior of lang_pred under equal priors)."""
     pieces, langs, probability = model or train(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
-    scored = rows.mapInArrow(_score_batches(pieces, langs, probability), "doc_id long, lang_pred string, score double")
+    scored = rows.mapInArrow(released(_score_batches(pieces, langs, probability)), "doc_id long, lang_pred string, score double")
     return scored.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
@@ -323,4 +324,4 @@ def _keep_batches(pieces: tuple[str, ...], langs: list[str], probability: np.nda
 def identified(docs: DataFrame, least: float = 0.3, model=None) -> DataFrame:
     """The rows of ``docs`` whose language is told with a score of at least ``least``, with all their columns."""
     pieces, langs, probability = model or train(docs)
-    return docs.mapInArrow(_keep_batches(pieces, langs, probability, least), docs.schema)
+    return docs.mapInArrow(released(_keep_batches(pieces, langs, probability, least)), docs.schema)

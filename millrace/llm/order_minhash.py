@@ -132,7 +132,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     left = texts.select(F.col("doc").alias("a"), F.col("items").alias("left_items"))
     right = texts.select(F.col("doc").alias("b"), F.col("items").alias("right_items"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left_items", "right_items")
-    return common.landed(joined.mapInArrow(_verify_batches(least), "a long, b long, similarity double"))
+    return common.landed(joined.mapInArrow(common.released(_verify_batches(least)), "a long, b long, similarity double"))
 
 
 def _mixed(members: DataFrame) -> DataFrame:
@@ -274,7 +274,7 @@ def near_duplicates(
     hubs: the text that shares most, and others from outside of the largest component. What is still apart afterwards is compared with all others of its finer bucket.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
-    sketched = common.landed(rows.mapInArrow(_sketch_batches(sketches, picks), _SKETCHED))
+    sketched = common.landed(rows.mapInArrow(common.released(_sketch_batches(sketches, picks)), _SKETCHED))
     known = sketched.where("doc IS NOT NULL")
     classes = common.landed(known.where("text_key IS NOT NULL").groupBy("text_key").agg(F.min("doc").alias("class_id")))
     # A doc_id with several texts is compared by the first of them that it stands for.
@@ -286,7 +286,7 @@ def near_duplicates(
     # Windows are needed for texts in a shared bucket only: those texts are read again.
     needed = common.landed(reps.select("doc", "text_key").join(members, "doc", "left_semi"))
     texts = common.landed(
-        rows.join(needed.select("doc"), "doc", "left_semi").mapInArrow(_item_batches, _ITEMS)
+        rows.join(needed.select("doc"), "doc", "left_semi").mapInArrow(common.released(_item_batches), _ITEMS)
         .join(needed, ["doc", "text_key"], "left_semi").dropDuplicates(["doc"]).select("doc", "items"))
 
     component = common.landed(members.select("doc").distinct().withColumn("component", F.col("doc")))
@@ -298,7 +298,7 @@ def near_duplicates(
     apart = members.join(component, "doc")
     apart = apart.join(_mixed(apart).select("bucket"), "bucket", "left_semi").select("doc", "n").distinct()
     fine = common.landed(texts.join(apart, "doc").select("doc", "n", "items").mapInArrow(
-        _fine_batches, "doc long, n int, sketches array<long>, signature binary"))
+        common.released(_fine_batches), "doc long, n int, sketches array<long>, signature binary"))
     drawn = common.landed(fine.select("doc", "n", F.explode("sketches").alias("bucket")))
     sizes = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shares = drawn.join(sizes, "bucket").groupBy("doc").agg(F.sum("size").alias("share"))
