@@ -8,8 +8,10 @@ saturated: its list is too short. For these the list is enlarged to all saturate
 label, compared tile by tile; of that enlarged list only the number of links is written, never the pairs, and between tiles
 of two components one bond for each linked vector. A tile is the ball around its mean; tiles of two components whose balls are too far apart
 for a link are passed over.
-A sample of vectors is compared with all others to audit recall; below ``recall`` the graph is refined by another round, and
-after the last round all vectors of a label are compared tile by tile.
+A sample of vectors, which grows with the root of their number, is compared with all others to audit recall: the links of a sampled
+vector count up to the number that it really has, so a surplus of one hides no loss of another. Below ``recall`` the graph is refined by
+another round, and after the last round nothing rests on the lists any more: the tiles of all components are compared, inside of a
+component all with all, between components where their balls are close enough for a link.
 All links are confirmed in double precision.
 
 Defined results: a vector that is null or empty, has null or non-finite components or zero length, or has a null label
@@ -31,7 +33,8 @@ THRESHOLD, NEIGHBOURS, REVERSE = 0.98, 10, 8
 ORDERS, STRETCH, BITS = 4, 128, 24
 ROUNDS, MOST_ROUNDS, RECALL = 2, 6, 1.0
 BEST = 4  # new neighbours that one local join proposes for a member
-TILE, AUDITED = 256, 256
+TILE = 256
+AUDITED = 256, 4096  # least and most sampled vectors of the audit; between them the root of the number of vectors
 MARGIN = 1e-5  # single precision is trusted to this; links are confirmed in double precision
 
 
@@ -254,8 +257,11 @@ def _across(placed: DataFrame, threshold: float) -> DataFrame | None:
     """(node, n, bond): links between components of one label; None if no two can be linked."""
     if placed.select("grp", "component").distinct().groupBy("grp").count().where("count > 1").isEmpty():
         return None
-    balls = common.landed(placed.groupBy("grp", "component", "own").applyInArrow(
-        _ball, "grp long, component long, own int, centre binary, radius double"))
+    tile = ["grp", "component", "own"]
+    tiles = common.landed(placed.groupBy(*tile).agg(F.count(F.lit(1)).alias("k"), F.first("unit").alias("centre")))
+    full = placed.join(tiles.where("k > 1").select(*tile), tile, "left_semi").groupBy(*tile).applyInArrow(
+        _ball, "grp long, component long, own int, centre binary, radius double")
+    balls = common.landed(full.unionByName(tiles.where("k = 1").select(*tile, "centre", F.lit(0.0).alias("radius"))))
     sizes = balls.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     dealt = _paired(balls.join(sizes, "grp"), ["grp"], F.pmod(F.xxhash64("component", "own"), "tiles").cast("int"))
     close = common.landed(dealt.groupBy("grp", "i", "j").applyInArrow(
@@ -269,12 +275,18 @@ def _across(placed: DataFrame, threshold: float) -> DataFrame | None:
         _tile_counts(threshold), "node long, n long, bond long").where("n > 0"))
 
 
-def _exact(classes: DataFrame, threshold: float) -> DataFrame:
-    """(node, n_links, component) of every class, by comparing all vectors of a label tile by tile."""
-    found = common.landed(_inside(_placed(classes.select("node", F.col("grp").alias("component")), classes), threshold).where("n > 0"))
-    joined = common.components(found.select(F.col("node").alias("a"), F.col("bond").alias("b")))
-    counts = found.groupBy("node").agg(F.sum("n").alias("n"))
-    return _named(classes, counts, joined)
+def _exact(classes: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """(node, n_links, component) of every class, by comparing all vectors of a label. The components of ``links``
+    only say which vectors share tiles: balls of tiles that are too far apart for a link are passed over."""
+    placed = common.landed(_placed(links.select("node", "component"), classes))
+    several = placed.groupBy("component").count().where("count > 1").select("component")
+    counts = _inside(placed.join(several, "component", "left_semi"), threshold).select("node", "n")
+    joined = links.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    across = _across(placed, threshold)
+    if across is not None:
+        counts = counts.unionByName(across.select("node", "n"))
+        joined = joined.union(across.select("node", "bond"))
+    return _named(classes, counts.groupBy("node").agg(F.sum("n").alias("n")), common.components(joined.where("a <> b")))
 
 
 def _named(classes: DataFrame, counts: DataFrame, joined: DataFrame) -> DataFrame:
@@ -310,8 +322,10 @@ def _links(graph: DataFrame, classes: DataFrame, threshold: float, most: int) ->
     return _named(classes, counts.groupBy("node").agg(F.sum("n").alias("n")), joined)
 
 
-def audit(classes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, audited: int = AUDITED) -> float:
+def audit(classes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, audited: int | None = None) -> float:
     """Share of the links of a sample of ``audited`` vectors that were found; the sample meets all vectors."""
+    if audited is None:
+        audited = min(max(int(classes.count() ** 0.5), AUDITED[0]), AUDITED[1])
     order = F.xxhash64("node", F.lit(3))
     sample = classes.orderBy(order).limit(audited).join(links.select("node", "n_links"), "node").select(
         "node", "grp", "weight", "unit", "n_links").collect()
@@ -332,8 +346,9 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float = THRESHOLD, au
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sample))), pa.array(total)], names=["i", "n"])
 
     seen = classes.select("node", "grp", "weight", "unit").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-    true = sum(r["n"] + sample[r["i"]]["weight"] - 1 for r in seen)
-    return min(1.0, sum(r["n_links"] for r in sample) / true) if true else 1.0
+    true = {r["i"]: r["n"] + sample[r["i"]]["weight"] - 1 for r in seen}
+    total = sum(true.values())
+    return sum(min(sample[i]["n_links"], n) for i, n in true.items()) / total if total else 1.0
 
 
 def near_duplicates(
@@ -351,7 +366,7 @@ def near_duplicates(
         graph = found if graph is None else graph.unionByName(found)
     graph = _top(graph, neighbours)
     classes32 = common.landed(classes.select("node", "unit").mapInArrow(_narrow_batches, "node long, unit binary"))
-    for done in range(1, MOST_ROUNDS + 1):
+    for done in range(1, max(rounds, MOST_ROUNDS) + 1):
         graph = _round(graph, classes32, neighbours)
         if done < rounds:
             continue
@@ -359,7 +374,7 @@ def near_duplicates(
         if audit(classes, links, threshold) >= recall:
             break
     else:
-        links = _exact(classes, threshold)
+        links = _exact(classes, links, threshold)
     named = rows.join(links, "node", "left")
     smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("component_id"))
     out = named.join(smallest, "component", "left").select(

@@ -226,6 +226,17 @@ def test_near_vectors_below_recall_are_compared_exactly(spark, monkeypatch):
     assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == Counter(brute_links(rows))
 
 
+def test_audit_lets_no_surplus_hide_a_loss(spark):
+    rows = cap_groups([30, 20], 0.5, 0.02)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _, classes = near_vectors._classes(frame)
+    true = near_vectors._exact(classes, classes.select("node", F.lit(0).alias("n_links"), F.col("node").alias("component")), 0.98)
+    assert sorted(r["n_links"] for r in true.collect()) == [19] * 20 + [29] * 30
+    assert near_vectors.audit(classes, true) == 1.0
+    moved = true.withColumn("n_links", F.when(F.col("n_links") == 29, 31).otherwise(18))
+    assert near_vectors.audit(classes, moved) == (29 * 30 + 18 * 20) / (29 * 30 + 19 * 20)
+
+
 def test_near_vectors_of_an_empty_table(spark):
     assert near_vectors.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
