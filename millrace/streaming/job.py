@@ -38,6 +38,7 @@ STAGED = (
 RELATIONS = "seq bigint, lsn string, data string"
 FEED = ["seq", "lsn", "op", "tag", "old", "new", "unchanged", "bad"]
 BAD = "seq bigint, lsn string, reason string, data string"
+APPENDED = 8  # parts of a table without key that are written together once there are so many of a tier
 
 
 class Applied(NamedTuple):
@@ -307,7 +308,11 @@ class Replication:
         net = self._net(feed, shape)
         if net is None:
             inserts = feed.where(F.col("op") == wire.INSERT).select("new.*")
-            return held + store.write_contents(inserts.withColumn("bucket", F.lit(0)), table, state, layout)
+            tier, joined = self._full_tiers(held, layout)
+            if joined:
+                inserts = inserts.unionByName(store.contents(table, joined, None).select(*inserts.columns))
+            return [r for r in held if r not in joined] + store.write_contents(
+                inserts.withColumn("bucket", F.lit(0)), table, state, f"{layout}:{tier}")
 
         kept_as = f"{table}@{turn}" if turn else table
         store.write(net, "net", version, kept_as, by=["bucket"])
@@ -322,6 +327,16 @@ class Replication:
         merged = self._merged(shape, base, net, feed, held)
         return kept + store.write_contents(merged, table, state, layout)
 
+    @staticmethod
+    def _full_tiers(held: list, layout: str) -> tuple[int, list]:
+        """(tier, parts) of the next part of a table without key: a part takes in the tiers below its own once the next one
+        would fill them, so a table has a number of parts that grows with the logarithm of its polls, and a row is
+        written as often as there are tiers."""
+        tier, joined = 0, []
+        while len(full := [r for r in held if r[2] == f"{layout}:{tier}"]) >= APPENDED - 1:
+            joined, tier = joined + full, tier + 1
+        return tier, joined
+
     def _kind(self, shape: TableShape) -> str:
         if shape.identity == IDENTITY_FULL:
             return "bag"
