@@ -88,9 +88,10 @@ def _stored(rows: DataFrame) -> DataFrame:
 def _applied(typed: Callable[[], DataFrame], base: DataFrame, shape: TableShape, toast: str) -> DataFrame:
     """The table after changes that are all matched in the way of ``shape``."""
     if shape.identity == IDENTITY_FULL:
-        return bag.expand(
+        # Copies are read twice when they are written out: the sums are computed once.
+        return bag.expand(_stored(
             bag.apply_weights(bag.counted(base, shape), bag.row_weights(typed(), shape), shape)
-        )
+        ))
     if not shape.key:
         return base.unionByName(typed().where(F.col("op") == wire.INSERT).select("new.*"))
 

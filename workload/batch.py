@@ -489,7 +489,7 @@ def match_old_or_new(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def full_row_match(spark: SparkSession, sf: str) -> DataFrame:
-    log = logs.landed(logs.lineitem_log(spark, sf))
+    log = logs.landed(logs.lineitem_log(spark, sf), in_order=True)
     registry = Registry.load(log)
     shape = registry.shape("lineitem")
     changes = table_changes(decode_changes(log, shape.relids), registry, shape)
@@ -588,13 +588,13 @@ def aligned_start(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def apply_bag(spark: SparkSession, sf: str) -> DataFrame:
-    return replica(logs.landed(logs.lineitem_log(spark, sf)), logs.table(spark, sf, "lineitem"), "lineitem")
+    return replica(logs.landed(logs.lineitem_log(spark, sf), in_order=True), logs.table(spark, sf, "lineitem"), "lineitem")
 
 
 @query
 def bag_toast(spark: SparkSession, sf: str) -> DataFrame:
     """Rows matched as a whole whose updates leave a value out."""
-    log = logs.landed(logs.lineitem_log(spark, sf, left_out=True))
+    log = logs.landed(logs.lineitem_log(spark, sf, left_out=True), in_order=True)
     return replica(log, logs.table(spark, sf, "lineitem"), "lineitem")
 
 
