@@ -10,6 +10,8 @@ from millrace.operators.decode import decode_changes
 from millrace.operators.project import conform, table_changes
 from millrace.operators.registry import Registry
 from millrace.plans.replicate import replica
+from millrace.streaming.job import Replication
+from workload import logs
 
 ROW = "id bigint, n int, body string"
 
@@ -281,3 +283,27 @@ def test_shared_folder_needs_a_setting_on_a_cluster():
     for master in ("yarn", "spark://x", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError):
             shared_folder(session(master))
+
+
+def test_a_bag_is_merged_in_one_shuffle(spark, tmp_path):
+    """Signed rows are not written or added up before they meet the table; rows that cancel leave it as it is."""
+    columns = [("id", 20, True), ("n", 23, True)]
+    job = Replication(spark, str(tmp_path), buckets=2)
+    job.bootstrap({"t": spark.createDataFrame([(1, 1), (1, 1), (2, 2)], "id bigint, n int")})
+    job.apply(m.log(spark, [
+        m.begin(), m.relation(7, "t", columns, identity="f"), m.update(7, [1, 9], [1, 1], tag="O"),
+        m.update(7, [2, 2], [2, 2], tag="O"), m.commit()]))
+    assert sorted(tuple(r) for r in job.table("t").collect()) == [(1, 1), (1, 9), (2, 2)]
+    assert not (tmp_path / "net").exists()
+
+
+def test_a_log_made_in_order_is_written_as_it_comes(spark, tmp_path):
+    rows = [(i, i % 3, 1, i % 4, 1.0, 2.0, 0.0, 0.0, "RAN"[i % 3], "OF"[i % 2]) for i in range(40)]
+    names = [c.name for c in logs.LINEITEM_COLUMNS[:-1]]
+    table = spark.createDataFrame(rows, names).withColumn("l_shipdate", F.timestamp_seconds(F.lit(0)))
+    table.repartition(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+    log = logs.lineitem_log(spark, str(tmp_path))
+    found = spark.read.parquet(logs.landed_files(log, [], in_order=True))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, logs.landed(log).collect()))
+    ends = found.groupBy(F.input_file_name()).agg(F.min("seq").alias("a"), F.max("seq").alias("b")).orderBy("a").collect()
+    assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
