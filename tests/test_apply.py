@@ -307,3 +307,25 @@ def test_a_log_made_in_order_is_written_as_it_comes(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, logs.landed(log).collect()))
     ends = found.groupBy(F.input_file_name()).agg(F.min("seq").alias("a"), F.max("seq").alias("b")).orderBy("a").collect()
     assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
+
+
+def test_messages_are_made_in_generated_code_and_each_text_once(spark, tmp_path):
+    """No lambda over the messages of a row; a value's text serves the delete, the old and the new row."""
+    rows = [(i, i, 1, i, 1.5, 2.0, 0.0, 0.0, flag, status) for i, (flag, status) in enumerate([
+        ("R", "F"), ("R", "O"), ("N", "O"), ("N", "O"), ("A", "F"), (None, "O"), ("N", None), ("R", None), (None, None)])]
+    rows.append(rows[2])
+    kinds = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, " \
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    table = spark.createDataFrame(rows, kinds).withColumn("l_shipdate", F.lit(None).cast("timestamp_ntz"))
+    table.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for left_out in (False, True):
+        log = logs.lineitem_log(spark, str(tmp_path), left_out)
+        plan = log._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambdafunction" not in plan
+        assert plan.count("cast(l_extendedprice") <= 2
+        kinds_of = sorted(chr(int(r.data[2:4], 16)) for r in log.collect())
+        assert "".join(kinds_of) == "BCDDDRUUU"
+        found = replica(logs.landed(log, in_order=True), logs.table(spark, str(tmp_path), "lineitem"), "lineitem")
+        left = sorted(str((r.l_orderkey, r.l_returnflag, r.l_linestatus)) for r in found.collect())
+        assert left == sorted(map(str, [
+            (2, "N", "X"), (2, "N", "X"), (3, "N", "X"), (4, "A", "F"), (5, None, "O"), (6, "N", None), (8, None, None)]))

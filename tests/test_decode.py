@@ -142,3 +142,12 @@ def test_dropped_tables_are_not_decoded(spark):
 def test_unreadable_type(spark, text):
     row = m.log(spark, [text]).select(wire.header_error(F.col("data")).alias("e")).first()
     assert row.e == "bad_hex"
+
+
+def test_bodies_and_types_of_odd_texts(spark):
+    texts = ["\\x4901ff", "\\x4901f", "\\x4901fé", "\\x49é", "é\\4901", "éx4901", "49", "\\", "", "\\x", "\\xzz01", "\\x69", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "data string")
+    found = frame.select(wire.body(F.col("data")).alias("b"), wire.message_type(F.col("data")).alias("t")).collect()
+    bodies = [None if r.b is None else bytes(r.b).hex() for r in found]
+    assert bodies == ["4901ff", None, None, None, "4901", "4901", "", "", "", "", None, "69", None]
+    assert [r.t for r in found] == ["I", "I", "I", "I", "I", "I", "", "", "", "", None, "i", None]
