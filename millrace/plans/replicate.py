@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import wire
 from ..functions.pgtypes import NATIVE
 from ..operators import bag, links, merge
-from ..operators.decode import decode_changes
+from ..operators.decode import decode_texts
 from ..operators.project import (
     conform, digits_of_changes, digits_of_rows, open_numerics, settled, table_changes, with_digits,
 )
@@ -49,7 +49,7 @@ def replica(
     changes = None
     if open_:
         # The values tell the type, so they are read before they are merged: decode them once.
-        changes = _stored(table_changes(decode_changes(rows, shape.relids), registry, shape, profile))
+        changes = _stored(table_changes(decode_texts(rows, shape.relids), registry, shape, profile))
         found = digits_of_changes(changes, shape)
         for name, need in digits_of_rows(snapshot, shape).items():
             found[name] = found[name].with_(need)
@@ -72,7 +72,7 @@ def replica(
                 source = source.where(F.col("seq") < end)
             if changes is not None:
                 return source
-            return table_changes(decode_changes(source, run.relids), registry, run, profile)
+            return table_changes(decode_texts(source, run.relids), registry, run, profile)
 
         base = _applied(typed, base, run, toast)
     return base

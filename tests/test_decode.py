@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 import messages as m
 from millrace.functions import positions, wire
 from millrace.operators import tuples
-from millrace.operators.decode import decode_changes, stage_changes
+from millrace.operators.decode import decode_changes, decode_texts, stage_changes
+from millrace.operators.project import table_changes
+from millrace.operators.registry import Registry
+from millrace.sources import encoder as enc
 
 
 def decode(*texts):
@@ -151,3 +154,44 @@ def test_bodies_and_types_of_odd_texts(spark):
     bodies = [None if r.b is None else bytes(r.b).hex() for r in found]
     assert bodies == ["4901ff", None, None, None, "4901", "4901", "", "", "", "", None, "69", None]
     assert [r.t for r in found] == ["I", "I", "I", "I", "I", "I", "", "", "", "", None, "i", None]
+
+
+def test_texts_hold_what_values_hold(spark):
+    """Old and new values of readable messages, kinds of the new ones; nothing of the rest that a table does not need."""
+    messages = [
+        m.insert(7, [1, None, "\u00e4"]), m.update(7, [1, m.U, ""], [1, None, "x" * 300], tag="O"), m.update(7, [2, b"\xff\xfe", m.U]),
+        m.update(7, [3], [1, "k"]), m.delete(7, [1, "v", None]), m.delete(8, [1]), m.insert(7, [])]
+    messages += ["\\x" + messages[0][2:].upper(), messages[1][:-6], messages[4][:12], messages[0] + "0", "\\x49", None,
+                 messages[2].replace("4e", "51", 1), m.begin(), m.commit()]
+    log = m.log(spark, messages)
+    for relids in ([7], [7, 8], []):
+        whole = decode_changes(log, relids).where("err is null").selectExpr(
+            "seq", "op", "relid", "transform(old, x -> x.v) o", "transform(new, x -> x.v) n", "transform(new, x -> x.k) k")
+        texts = decode_texts(log, relids)
+        assert texts.columns == ["seq", "op", "relid", "old", "new", "kinds", "err"]
+        lean = texts.where("err is null").selectExpr(
+            "seq", "op", "relid", "transform(old, x -> cast(x as binary)) o", "transform(new, x -> cast(x as binary)) n", "kinds k")
+        assert sorted(map(str, lean.collect())) == sorted(map(str, whole.collect()))
+        assert lean.count() == {1: 7, 2: 8, 0: 0}[len(relids)]
+
+
+def test_a_table_is_typed_from_texts_as_from_values(spark):
+    one = [("id", 20, True), ("n", 23, False), ("t", 25, False)]
+    two = [("t", 25, False), ("id", 20, True), ("n", 20, False)]
+    for later in ([], [m.relation(7, "t", two, identity="f"), m.update(7, [m.U, 4, 5], ["a", 4, "no"], tag="O")]):
+        log = m.log(spark, [m.begin(), m.relation(7, "t", one, identity="f"), m.insert(7, [1, "x", "a"]),
+                            m.update(7, [1, m.U, "b"], [1, 2, "a"], tag="O"), m.delete(7, [1, None, "b"], tag="O"), *later, m.commit()])
+        registry = Registry.load(log)
+        shape = registry.shape("t")
+        names = ["seq", "op", "old", "new", "unchanged", "bad"]
+        found = [
+            sorted(map(str, table_changes(f(log, shape.relids), registry, shape).select(*names).collect()))
+            for f in (decode_changes, decode_texts)]
+        assert found[0] == found[1] and len(found[0]) == 3 + len(later) // 2
+
+
+def test_marks_and_sizes_of_texts_of_any_length(spark):
+    values = [None, "", "\u00e4", "\U0001f600" * 16, *["y" * n for n in (1, 62, 63, 64, 65, 255, 256, 70000)]]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    found = [r.m for r in rows.select(enc.text_value(F.col("v")).alias("m")).collect()]
+    assert found == ["6E" if v is None else f"74{len(v.encode()):08X}{v.encode().hex().upper()}" for v in values]
